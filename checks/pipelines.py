@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.inputs import collector, table
-from rowbridge.common import scratch_path
+from rowbridge.common import scratch_path, stage
 from rowbridge.operators.numbering import number_rows
 from rowbridge.plans import pipelines as flows
 from rowbridge.plans.job import Job
@@ -301,7 +301,7 @@ def _stable(summary):
 )
 def upsert_summary(spark, sf):
     """An older summary with stale values and rows the new one lacks."""
-    summary = _summary(spark, sf)
+    summary = stage(_summary(spark, sf), "summary")
     blank = [
         F.lit(0).cast(summary.schema["total_sales"].dataType).alias("total_sales"),
         F.lit(0).cast("bigint").alias("total_quantity"),

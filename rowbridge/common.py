@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,6 +37,11 @@ def column(name: str) -> Column:
     return F.col(quoted(name))
 
 
+@cache
+def _local_scratch() -> str:
+    return tempfile.mkdtemp(prefix="rowbridge-")
+
+
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A fresh path in the shared folder the cluster names for checkpoints.
 
@@ -45,8 +52,7 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"{CHECKPOINT_DIR} must name a folder all executors share")
-        base = tempfile.mkdtemp(prefix="rowbridge-")
-        spark.conf.set(CHECKPOINT_DIR, base)
+        base = _local_scratch()
     return f"{base.rstrip('/')}/rowbridge/{purpose}-{uuid.uuid4().hex}"
 
 
@@ -69,14 +75,19 @@ def _cell_bytes(field: T.StructField) -> Column:
     return F.coalesce(F.octet_length(F.to_json(F.struct(cell))), F.lit(0)) + 16
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Size of everything the plan of ``df`` reads, by Catalyst's statistics."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
 def is_small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> bool:
     """True when the rows of ``df`` are measured to take at most ``limit`` bytes.
 
-    Catalyst's estimate rules out large inputs without a job; what is left is
-    measured exactly, so a broadcast never rests on an estimate alone.
+    A result of large inputs counts as large without a job; otherwise its rows
+    are measured, so a broadcast never rests on an estimate.
     """
-    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    if int(str(estimate)) > 16 * limit:
+    if input_bytes(df) > 16 * limit:
         return False
     row = F.lit(16)
     for field in df.schema.fields:
@@ -89,6 +100,11 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame
     return F.broadcast(df) if is_small(df, limit) else df
 
 
+def local_rows(spark: SparkSession, columns: dict[str, list], schema: str) -> DataFrame:
+    """A few driver-side rows as a relation whose size Catalyst knows."""
+    return spark.createDataFrame(pa.table(columns)).to(T.StructType.fromDDL(schema))
+
+
 def row_hash(df: DataFrame) -> Column:
     """Hash of the whole row: spreads equal sort keys and settles ties."""
     cells = [

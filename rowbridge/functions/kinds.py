@@ -7,6 +7,8 @@ the matrix lacks are errors. Everything here is built from JVM-side functions.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,7 +41,10 @@ DATE_FORMAT = "yyyy-MM-dd"
 TIME_FORMAT = "HH:mm:ss"
 
 _NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+_ORDINARY = r"^[+-]?[0-9]{1,19}(\.[0-9]*)?$"
+_ZERO = r"^[+-]?[0.]+([eE].*)?$"
 _TWO_53 = float(1 << 53)
+_LARGEST = 1.7976931348623157e308
 
 
 def kind_of(data_type: T.DataType) -> str:
@@ -68,34 +73,38 @@ def spark_type(declared: str | None) -> T.DataType:
 # --------------------------------------------------------------- text form
 
 
-def plain_double(value: Column) -> Column:
-    """Decimal text of a double without an exponent, keeping its digits."""
-    text = value.cast("string")
+def plain_text(text: Column) -> Column:
+    """Decimal text of a double's shortest text without an exponent, same digits."""
     mantissa = F.substring_index(text, "E", 1)
     exponent = F.substring_index(text, "E", -1).cast("int")
     sign = F.when(F.startswith(text, F.lit("-")), F.lit("-")).otherwise(F.lit(""))
     whole = F.replace(F.substring_index(mantissa, ".", 1), F.lit("-"), F.lit(""))
     frac = F.substring_index(mantissa, ".", -1)
-    grown = F.when(
-        F.length(frac) <= exponent,
-        F.concat(sign, whole, frac, F.repeat(F.lit("0"), exponent - F.length(frac))),
-    ).otherwise(
-        F.concat(
-            sign,
-            whole,
-            F.substring(frac, F.lit(1), exponent),
-            F.lit("."),
-            F.substring(frac, exponent + 1, F.length(frac)),
-        )
+    # The zero after "d.0" stands only while the exponent does not use it up.
+    grown = F.concat(
+        sign,
+        whole,
+        F.rpad(F.substring(frac, F.lit(1), exponent), exponent, F.lit("0")),
+        F.when(
+            F.length(frac) > exponent,
+            F.concat(F.lit("."), F.substring(frac, exponent + 1, F.length(frac))),
+        ).otherwise(F.lit("")),
     )
     shrunk = F.concat(sign, F.lit("0."), F.repeat(F.lit("0"), -exponent - 1), whole, frac)
     return (
         F.when(~F.contains(text, F.lit("E")), text)
-        .when(exponent > 0, grown)
-        .otherwise(shrunk)
+        .when(F.contains(text, F.lit("E-")), shrunk)
+        .otherwise(grown)
     )
 
 
+def _shortest(value: Column, data_type: T.DataType) -> Column:
+    """Java text of a double; a float counts as the double its text names."""
+    if isinstance(data_type, T.FloatType):
+        return value.cast("string").cast("double").cast("string")
+    return value.cast("string")
+
+
 def _at_zone(value: Column, zone: str | None) -> Column:
     """Wall-clock time of an instant in ``zone`` (session zone when None)."""
     local = value.cast("timestamp_ntz")
@@ -108,11 +117,9 @@ def render(value: Column, data_type: T.DataType, zone: str | None = None, plain:
     """Text form of a cell; null stays null."""
     if isinstance(data_type, T.StringType):
         return value
-    if isinstance(data_type, T.FloatType):
-        value = value.cast("string").cast("double")
-        return plain_double(value) if plain else value.cast("string")
-    if isinstance(data_type, T.DoubleType):
-        return plain_double(value) if plain else value.cast("string")
+    if isinstance(data_type, (T.FloatType, T.DoubleType)):
+        text = _shortest(value, data_type)
+        return plain_text(text) if plain else text
     if isinstance(data_type, T.TimestampType):
         return F.date_format(_at_zone(value, zone), DATETIME_FORMAT)
     if isinstance(data_type, T.TimestampNTZType):
@@ -123,9 +130,19 @@ def render(value: Column, data_type: T.DataType, zone: str | None = None, plain:
 
 
 def render_text(df: DataFrame, zone: str | None = None, plain: bool = True) -> DataFrame:
-    """Every cell as text."""
-    return df.select(
-        *[render(column(f.name), f.dataType, zone, plain).alias(f.name) for f in df.schema.fields]
+    """Every cell as text.
+
+    Doubles become text in a projection of their own: their digits are looked at
+    several times but formatted once.
+    """
+    doubles = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.FloatType, T.DoubleType))}
+    text = df.select(
+        *[render(column(f.name), f.dataType, zone, plain=False).alias(f.name) for f in df.schema.fields]
+    )
+    if not plain or not doubles:
+        return text
+    return text.select(
+        *[plain_text(column(c)).alias(c) if c in doubles else column(c) for c in text.columns]
     )
 
 
@@ -151,47 +168,73 @@ def canonicalize(df: DataFrame) -> DataFrame:
 # --------------------------------------------------------------- numbers
 
 
-def _long_parts(text: Column) -> tuple[Column, Column]:
-    """(is a number, its integer part as a bigint or null when out of range).
+def _bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _moved_point(text: Column) -> Column:
+    """Integer part of number text with an exponent or many digits.
 
     The decimal point is moved in the digits themselves, so neither rounding
     nor a decimal width limit can change the truncated value.
     """
-    number = F.rlike(text, F.lit(_NUMBER))
-    mantissa = F.regexp_replace(text, r"^[+-]|[eE].*$", "")
-    exponent = F.coalesce(
-        F.regexp_extract(text, r"[eE]([+-]?[0-9]+)$", 1).try_cast("int"), F.lit(0)
-    )
-    whole = F.substring_index(mantissa, ".", 1)
-    digits = F.replace(mantissa, F.lit("."), F.lit(""))
-    significant = F.ltrim(digits, F.lit("0"))
-    point = (
-        F.length(whole).cast("bigint")
-        + exponent.cast("bigint")
-        - (F.length(digits) - F.length(significant))
-    )
-    sign = F.when(F.startswith(text, F.lit("-")), F.lit("-")).otherwise(F.lit(""))
-    width = F.least(point, F.lit(20)).cast("int")
-    shifted = F.concat(sign, F.rpad(significant, width, F.lit("0")))
-    value = F.when((F.length(significant) == 0) | (point <= 0), F.lit(0).cast("bigint")).when(
-        point <= 19, shifted.try_cast("bigint")
-    )
-    return number, value
+
+    def digits(number: Column) -> Column:
+        mantissa = F.ltrim(F.substring_index(number, "e", 1), F.lit("+-"))
+        exponent = F.when(
+            F.contains(number, F.lit("e")), F.substring_index(number, "e", -1).try_cast("int")
+        ).otherwise(0)
+        return F.struct(
+            F.replace(mantissa, F.lit("."), F.lit("")).alias("digits"),
+            F.length(F.substring_index(mantissa, ".", 1)).alias("whole"),
+            exponent.cast("bigint").alias("exponent"),
+            F.startswith(number, F.lit("-")).alias("negative"),
+        )
+
+    def stripped(parts: Column) -> Column:
+        significant = F.ltrim(parts["digits"], F.lit("0"))
+        zeros = F.length(parts["digits"]) - F.length(significant)
+        return F.struct(
+            significant.alias("digits"),
+            (parts["whole"] + parts["exponent"] - zeros).alias("point"),
+            F.when(parts["negative"], "-").otherwise("").alias("sign"),
+        )
+
+    def shifted(parts: Column) -> Column:
+        whole = F.rpad(parts["digits"], F.least(parts["point"], F.lit(20)).cast("int"), F.lit("0"))
+        zero = (F.length(parts["digits"]) == 0) | (parts["point"] <= 0)
+        return F.when(parts["point"].isNull(), None).when(zero, F.lit(0).cast("bigint")).when(
+            parts["point"] <= 19, F.concat(parts["sign"], whole).try_cast("bigint")
+        )
+
+    return _bind(_bind(_bind(F.lower(text), digits), stripped), shifted)
 
 
-def _double_parts(text: Column) -> tuple[Column, Column]:
-    """(is a number, its double or null when it over- or underflows)."""
-    special = text.isin("NaN", "Infinity", "-Infinity")
-    number = special | F.rlike(text, F.lit(_NUMBER))
+def long_value(text: Column) -> Column:
+    """Number text truncated toward zero; null when not a number or out of range.
+
+    Ordinary numbers take the short path. The rest goes through lambdas, which
+    keep their large expressions out of the generated code of every row.
+    """
+    short = F.substring_index(text, ".", 1).try_cast("bigint")
+    rare = _moved_point(text)
+    return F.when(F.rlike(text, F.lit(_ORDINARY)), short).when(F.rlike(text, F.lit(_NUMBER)), rare)
+
+
+def double_value(text: Column) -> Column:
+    """Number text as a double; null when not a number, too large or too small."""
     value = text.try_cast("double")
-    zero = F.rlike(text, F.lit(r"^[+-]?[0.]+([eE].*)?$"))
-    fits = ~F.abs(value).isin(float("inf")) & ((value != 0) | zero)
-    return number, F.when(special | fits, value)
+    finite = F.when((value != 0) | F.rlike(text, F.lit(_ZERO)), value)
+    return F.when(text.isin("NaN", "Infinity", "-Infinity"), value).when(
+        F.rlike(text, F.lit(_NUMBER)) & (F.abs(value) <= F.lit(_LARGEST)), finite
+    )
 
 
 def out_of_range(text: Column, kind: str) -> Column:
     """True for numeric text that the kind cannot hold."""
-    number, value = _long_parts(text) if kind == LONG else _double_parts(text)
+    value = long_value(text) if kind == LONG else double_value(text)
+    number = F.rlike(text, F.lit(_NUMBER))
     return F.coalesce(number & value.isNull(), F.lit(False))
 
 
@@ -213,11 +256,12 @@ def parse_dates(text: Column) -> Column:
 # --------------------------------------------------------------- conversion
 
 
-def _checked(source: Column, ok: Column, value: Column, target: str, on_error: str) -> Column:
+def _checked(source: Column, value: Column, target: str, on_error: str) -> Column:
+    """``value`` is null for a bad cell; a bad cell raises unless nulls are wanted."""
     if on_error == "null":
-        return F.when(ok, value)
-    message = F.concat(F.lit("cannot convert to "), F.lit(target), F.lit(": "), source.cast("string"))
-    return F.when(source.isNull(), None).when(ok, value).otherwise(F.raise_error(message))
+        return value
+    message = F.concat(F.lit(f"cannot convert to {target}: "), source.cast("string"))
+    return F.coalesce(value, F.when(source.isNotNull(), F.raise_error(message)))
 
 
 def convert(
@@ -238,41 +282,25 @@ def convert(
     kind = kind_of(source)
     result = SPARK_TYPES[target]
 
-    def checked(ok: Column, converted: Column) -> Column:
-        return _checked(value, ok, converted.cast(result), target, on_error)
-
-    def unsupported() -> Column:
-        if on_error == "null":
-            return F.lit(None).cast(result)
-        return _checked(value, F.lit(False), F.lit(None), target, on_error).cast(result)
+    def checked(converted: Column) -> Column:
+        return _checked(value, converted.cast(result), target, on_error)
 
     if target == INT:
-        wide = convert(value, source, LONG, on_error, zone)
-        if on_error == "null":
-            return wide.try_cast("int")
-        return wide.cast("int")
-
+        return checked(convert(value, source, LONG, on_error, zone).try_cast("int"))
+    if target == STRING:
+        return render(value, source, zone)
     if kind == STRING:
         text = value.cast("string")
-        if target == STRING:
-            return text
         if target == BYTES:
             return F.encode(text, "UTF-8")
         if target == LONG:
-            number, converted = _long_parts(text)
-            return checked(number & converted.isNotNull(), converted)
+            return checked(long_value(text))
         if target == DOUBLE:
-            number, converted = _double_parts(text)
-            return checked(number & converted.isNotNull(), converted)
+            return checked(double_value(text))
         if target == BOOL:
             lowered = F.lower(text)
-            return checked(lowered.isin("true", "false"), lowered == "true")
-        converted = parse_dates(text)
-        return checked(converted.isNotNull(), converted)
-
-    if target == STRING:
-        return render(value, source, zone)
-
+            return checked(F.when(lowered == "true", True).when(lowered == "false", False))
+        return checked(parse_dates(text))
     if kind == LONG:
         if target in (LONG, DOUBLE):
             return value.cast(result)
@@ -284,10 +312,9 @@ def convert(
         if target == DOUBLE:
             return value.cast(result)
         if target == LONG:
-            number, wide = _long_parts(value.cast("string"))
-            small = F.abs(value) < _TWO_53
-            converted = F.when(small, value.cast("bigint")).otherwise(wide)
-            return checked(small | (number & wide.isNotNull()), converted)
+            # Below 2^53 the digits of a double and its exact value truncate alike.
+            small = F.when(F.abs(value) < _TWO_53, value.cast("bigint"))
+            return checked(F.coalesce(small, long_value(_shortest(value, source))))
     if kind == BOOL:
         if target == BOOL:
             return value
@@ -300,4 +327,4 @@ def convert(
             return F.unix_millis(value.cast("timestamp"))
     if kind == BYTES and target == BYTES:
         return value
-    return unsupported()
+    return checked(F.lit(None))

@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rowbridge.common import column
 from rowbridge.functions.kinds import convert, render
@@ -63,34 +64,57 @@ def long_bytes(value: Column) -> Column:
     return F.unhex(F.lpad(F.hex(value.cast("bigint")), 16, "0"))
 
 
-def double_bits(value: Column) -> Column:
-    """IEEE-754 bits of a double as a bigint."""
-    size = F.abs(value)
-    guess = F.floor(F.log2(size))
-    # log2 may miss by one next to a power of two.
-    low = F.when(F.pow(F.lit(2.0), guess) > size, guess - 1).otherwise(guess)
-    low = F.least(low, F.lit(_BIAS).cast("bigint"))
-    exponent = F.when(size / F.pow(F.lit(2.0), low) >= 2.0, low + 1).otherwise(low)
-    fraction = size / F.pow(F.lit(2.0), exponent) - 1.0
-    normal = (exponent + _BIAS) * F.lit(_MANTISSA) + (fraction * float(_MANTISSA)).cast("bigint")
-    magnitude = (
-        F.when(size == float("inf"), F.lit(_INF_BITS))
-        .when(size == 0.0, F.lit(0).cast("bigint"))
-        .when(size < _MIN_NORMAL, (size / F.lit(_MIN_SUBNORMAL)).cast("bigint"))
-        .otherwise(normal)
+def with_double_bits(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Replace double columns by their IEEE-754 bits as a bigint.
+
+    The steps are projections of their own, so each is computed once per row.
+    """
+    two = F.lit(2.0)
+    names = list(names)
+    if not names:
+        return df
+    # log2 may miss the exponent by one next to a power of two.
+    guess = df.withColumns(
+        {f"__e{i}": F.least(F.floor(F.log2(F.abs(column(c)))), F.lit(_BIAS)) for i, c in enumerate(names)}
+    )
+    scaled = guess.withColumns(
+        {f"__m{i}": F.abs(column(c)) / F.pow(two, F.col(f"__e{i}")) for i, c in enumerate(names)}
+    )
+    shift = {
+        i: F.when(F.col(f"__m{i}") < 1.0, -1).when(F.col(f"__m{i}") >= 2.0, 1).otherwise(0)
+        for i in range(len(names))
+    }
+    exact = scaled.withColumns(
+        {
+            **{f"__e{i}": F.col(f"__e{i}") + shift[i] for i in shift},
+            **{f"__m{i}": F.col(f"__m{i}") / F.pow(two, shift[i]) for i in shift},
+        }
+    )
+    bits = {}
+    for i, name in enumerate(names):
+        value, size = column(name), F.abs(column(name))
+        normal = (F.col(f"__e{i}") + _BIAS) * F.lit(_MANTISSA) + (
+            (F.col(f"__m{i}") - 1.0) * float(_MANTISSA)
+        ).cast("bigint")
+        magnitude = (
+            F.when(size == float("inf"), F.lit(_INF_BITS))
+            .when(size == 0.0, F.lit(0).cast("bigint"))
+            .when(size < _MIN_NORMAL, (size / F.lit(_MIN_SUBNORMAL)).cast("bigint"))
+            .otherwise(normal)
+        )
+        # The sign of -0.0 shows only in its text.
+        negative = (value < 0) | ((value == 0) & F.startswith(value.cast("string"), F.lit("-")))
+        signed = F.when(negative, magnitude.bitwiseOR(F.lit(-(1 << 63)))).otherwise(magnitude)
+        bits[name] = F.when(F.isnan(value), F.lit(_NAN_BITS)).when(value.isNotNull(), signed)
+    return exact.withColumns({quoted_name: bits[quoted_name] for quoted_name in names}).drop(
+        *[f"__{k}{i}" for k in "em" for i in range(len(names))]
     )
-    # The sign of -0.0 shows only in its text.
-    negative = F.startswith(value.cast("string"), F.lit("-"))
-    signed = F.when(negative, magnitude.bitwiseOR(F.lit(-(1 << 63)))).otherwise(magnitude)
-    return F.when(value.isNull(), None).when(F.isnan(value), F.lit(_NAN_BITS)).otherwise(signed)
 
 
-def encode_cell(value: Column, data_type, kind: str) -> Column:
-    """Bytes of a cell of the declared kind."""
+def encode_cell(value: Column, data_type: T.DataType, kind: str) -> Column:
+    """Bytes of a cell of the declared kind; doubles come as their bits."""
     if kind in ("int", "long"):
         return long_bytes(convert(value, data_type, "LONG"))
-    if kind == "double":
-        return F.unhex(F.lpad(F.hex(double_bits(convert(value, data_type, "DOUBLE"))), 16, "0"))
     if kind == "bool":
         flag = convert(value, data_type, "BOOL")
         return F.when(flag, F.unhex(F.lit("FF"))).when(~flag, F.unhex(F.lit("00")))
@@ -116,23 +140,30 @@ def rows_to_cells(
     keyed = [i for i, c in enumerate(declared) if _is_rowkey(c, row_key)]
     if not keyed:
         raise ValueError(f"row key is not among the columns: {row_key}")
+    stored = [(c, n) for c, n in zip(declared, names) if not _is_rowkey(c, row_key)]
     key_field = df.schema[names[keyed[0]]]
     version = column(order_by).cast("bigint") if order_by else F.lit(0).cast("bigint")
+    doubles = [n for c, n in stored if c.kind == "double"]
+    typed = df.withColumns(
+        {"__rowkey": render(column(key_field.name), key_field.dataType), "__version": version}
+    ).withColumns({n: convert(column(n), df.schema[n].dataType, "DOUBLE") for n in doubles})
+    ready = with_double_bits(typed, doubles)
     cells = F.array(
         *[
             F.struct(
                 F.lit(c.family).alias("family"),
                 F.lit(c.qualifier).alias("qualifier"),
-                encode_cell(column(name), df.schema[name].dataType, c.kind).alias("value"),
+                (
+                    long_bytes(column(name))
+                    if c.kind == "double"
+                    else encode_cell(column(name), df.schema[name].dataType, c.kind)
+                ).alias("value"),
             )
-            for c, name in zip(declared, names)
-            if not _is_rowkey(c, row_key)
+            for c, name in stored
         ]
     )
-    exploded = df.select(
-        render(column(key_field.name), key_field.dataType).alias("rowkey"),
-        version.alias("version"),
-        F.inline(cells),
+    exploded = ready.select(
+        F.col("__rowkey").alias("rowkey"), F.col("__version").alias("version"), F.inline(cells)
     ).where(F.col("value").isNotNull())
     cells = exploded.select("rowkey", "family", "qualifier", "value", "version")
     return latest_cells(cells) if order_by else cells
@@ -161,9 +192,8 @@ def bytes_long(value: Column) -> Column:
     return F.conv(wide, 16, -10).cast("bigint")
 
 
-def bytes_double(value: Column) -> Column:
-    """Double held in 8 IEEE-754 bytes."""
-    bits = F.conv(F.hex(value), 16, -10).cast("bigint")
+def bits_double(bits: Column) -> Column:
+    """Double of IEEE-754 bits held in a bigint."""
     exponent = F.shiftrightunsigned(bits, 52).bitwiseAND(F.lit(0x7FF))
     fraction = bits.bitwiseAND(F.lit(_MANTISSA - 1))
     normal = (1.0 + fraction / F.lit(float(_MANTISSA))) * F.pow(
@@ -178,9 +208,11 @@ def bytes_double(value: Column) -> Column:
     return F.when(bits < 0, -size).otherwise(size)
 
 
-def decode_cell(value: Column, kind: str) -> Column:
+def decode_cell(value: Column, kind: str, bits: Column | None = None) -> Column:
     """Typed value of a cell; bytes that fit no form give null.
 
+    ``bits`` is the big-endian long of an 8-byte value, needed for doubles.
+
     A missing or empty cell is the empty text for text columns, else null.
     """
     width = F.octet_length(value)
@@ -197,7 +229,7 @@ def decode_cell(value: Column, kind: str) -> Column:
         )
     if kind == "double":
         number = F.rlike(text, F.lit(r"^-?[0-9]+(\.[0-9]+)?$"))
-        return F.when(width == 8, bytes_double(value)).when(number, text.try_cast("double"))
+        return F.when(width == 8, bits_double(bits)).when(number, text.try_cast("double"))
     if kind == "bool":
         return F.when(width == 1, F.hex(value) != "00").when(
             F.lower(text).isin("true", "false"), F.lower(text) == "true"
@@ -244,11 +276,20 @@ def cells_to_rows(
     if not newest:
         newest = [F.count(F.lit(1)).alias("__n")]
     rows = scan.groupBy("rowkey").agg(*newest)
-    return rows.select(
+    values = rows.select("rowkey", *[F.col(f"__c{i}.value").alias(f"__c{i}") for i, _ in stored])
+    # The bits of a double are looked at several times but read once.
+    ready = values.withColumns(
+        {
+            f"__b{i}": F.when(F.octet_length(f"__c{i}") == 8, bytes_long(F.col(f"__c{i}")))
+            for i, c in stored
+            if c.kind == "double"
+        }
+    )
+    return ready.select(
         *[
             F.col("rowkey").alias(c.qualifier)
             if _is_rowkey(c, row_key)
-            else decode_cell(F.col(f"__c{i}").getField("value"), c.kind).alias(c.qualifier)
+            else decode_cell(F.col(f"__c{i}"), c.kind, F.col(f"__b{i}")).alias(c.qualifier)
             for i, c in enumerate(declared)
         ]
     )

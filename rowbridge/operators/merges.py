@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowbridge.common import column, is_small, row_hash
+from rowbridge.common import BROADCAST_LIMIT, column, input_bytes, is_small, row_hash, stage
 
 _HIT = "__hit"
 
@@ -92,8 +92,18 @@ def _keys_of(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.select(*[column(k) for k in keys])
 
 
-def _decide(rows: DataFrame, small: bool | None) -> bool:
-    return is_small(rows) if small is None else small
+def _decide(rows: DataFrame, small: bool | None) -> tuple[DataFrame, bool]:
+    """The rows and whether they may be broadcast.
+
+    Rows that come from small inputs are staged: the plans below use them more
+    than once, and measuring is one of these uses.
+    """
+    if small is not None:
+        return rows, small
+    if input_bytes(rows) > 16 * BROADCAST_LIMIT:
+        return rows, False
+    staged = stage(rows, "merge-source")
+    return staged, is_small(staged)
 
 
 def _unmatched(source: DataFrame, target: DataFrame, keys: Sequence[str], small: bool) -> DataFrame:
@@ -147,7 +157,8 @@ def merge_ignore(
 ) -> DataFrame:
     """Existing rows win; of several new rows with one key the first wins."""
     rows = _prepare(target, source, keys, order_by, last=False, unique=unique)
-    fresh = _unmatched(rows, target, keys, _decide(rows, small))
+    rows, fits = _decide(rows, small)
+    fresh = _unmatched(rows, target, keys, fits)
     return target.unionByName(_padded(fresh, target))
 
 
@@ -164,6 +175,7 @@ def merge_update(
     Columns the source does not list keep the target's value.
     """
     rows = _prepare(target, source, keys, order_by, last=True, unique=unique)
+    rows, fits = _decide(rows, small)
     listed = [c for c in rows.columns if c not in keys]
     renamed = rows.select(
         *[column(k) for k in keys],
@@ -176,7 +188,7 @@ def merge_update(
         else column(c)
         for c in target.columns
     ]
-    if _decide(rows, small):
+    if fits:
         changed = target.join(F.broadcast(renamed), list(keys), "left_outer").select(*updated)
         fresh = _unmatched(rows, target, keys, small=True)
         return changed.unionByName(_padded(fresh, target))
@@ -196,8 +208,9 @@ def merge_replace(
 ) -> DataFrame:
     """Matched rows are deleted and the source rows inserted whole."""
     rows = _prepare(target, source, keys, order_by, last=True, unique=unique)
+    rows, fits = _decide(rows, small)
     gone = _keys_of(rows, keys)
-    if _decide(gone, small):
+    if fits:
         kept = target.join(F.broadcast(gone), list(keys), "left_anti")
     else:
         keyed = target.where(~_any_null(keys))

@@ -11,10 +11,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowbridge.common import column, row_hash, stage
+from rowbridge.common import column, is_small, local_rows, row_hash, stage
 
 _POSITION = "__position"
 # Fixed value: monotonically_increasing_id keeps the place in the low 33 bits.
@@ -28,20 +28,30 @@ def number_rows(
 
     Equal sort keys are spread and ordered by the hash of the row, so one key
     value holding many rows is still sorted by many tasks. Without ``order_by``
-    the rows keep the order in which they are read.
+    the rows keep the order in which they are read. Rows measured to fit a
+    broadcast are sorted in place by one task instead of being staged.
     """
     spark = df.sparkSession
+    if order_by and is_small(df):
+        one = df.coalesce(1).sortWithinPartitions(*order_by, row_hash(df))
+        return one.withColumn(name, F.monotonically_increasing_id())
     ordered = df.orderBy(*order_by, row_hash(df)) if order_by else df
     positioned = ordered.select("*", F.monotonically_increasing_id().alias(_POSITION))
     staged = stage(positioned, "numbered")
+    return _numbered_by_position(spark, staged, name)
+
+
+def _numbered_by_position(spark: SparkSession, staged: DataFrame, name: str) -> DataFrame:
     partition = F.shiftright(F.col(_POSITION), _PLACE_BITS)
     place = F.col(_POSITION).bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
     counts = sorted(
         staged.groupBy(partition.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()
     )
     starts = list(accumulate((c["n"] for c in counts), initial=0))
-    offsets = spark.createDataFrame(
-        [(c["p"], start) for c, start in zip(counts, starts)], "__p bigint, __start bigint"
+    offsets = local_rows(
+        spark,
+        {"__p": [c["p"] for c in counts], "__start": starts[: len(counts)]},
+        "__p bigint, __start bigint",
     )
     return (
         staged.join(F.broadcast(offsets), partition == F.col("__p"))

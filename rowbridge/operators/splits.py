@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowbridge.common import column
+from rowbridge.common import column, local_rows
 
 Range = tuple[int, int]
 
@@ -74,8 +74,14 @@ def range_splits(df: DataFrame, key: str, n: int, min_step: int = 0) -> DataFram
     spark = df.sparkSession
     bounds = key_bounds(df, key)
     ranges: list[tuple] = [(None, None)] if bounds is None else list(split_ranges(*bounds, n, min_step))
-    listed = spark.createDataFrame(
-        [(i, lo, hi) for i, (lo, hi) in enumerate(ranges)], "split_id int, lo bigint, hi bigint"
+    listed = local_rows(
+        spark,
+        {
+            "split_id": list(range(len(ranges))),
+            "lo": [lo for lo, _ in ranges],
+            "hi": [hi for _, hi in ranges],
+        },
+        "split_id int, lo bigint, hi bigint",
     )
     tagged = (
         df.select(F.lit(0).alias("split_id"))

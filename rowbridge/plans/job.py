@@ -15,6 +15,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rowbridge.common import column, stage
 from rowbridge.functions.kinds import canonicalize, spark_type
@@ -30,9 +31,9 @@ from rowbridge.sinks.chunks import DEFAULT_CHUNK_ROWS, export_column_chunks, exp
 from rowbridge.sinks.columnar import export_json, export_orc, export_parquet
 from rowbridge.sinks.delimited import export_csv, write_delimited
 from rowbridge.sinks.jdbc import check_write_mode, run_statements, write_jdbc
-from rowbridge.sinks.partitions import load_partition, rewrite_table
+from rowbridge.sinks.partitions import load_partition
 from rowbridge.sources.delimited import read_delimited, read_lines, separator
-from rowbridge.sources.jdbc import jdbc_options, read_jdbc
+from rowbridge.sources.jdbc import jdbc_options, primary_key, read_jdbc
 from rowbridge.sources.tables import declared_columns, extract_query, extract_table, read_catalog_table
 
 EXPORT, SCRIPT, MOVE = 0, 1, 2
@@ -59,7 +60,7 @@ class Job:
     """One job against one session.
 
     ``tables`` maps names used in the job to DataFrames; they take the place of
-    the database table or cell table of that name.
+    the database table or cell table of that name, also inside queries.
     """
 
     def __init__(
@@ -72,6 +73,9 @@ class Job:
         self.spark = spark
         self.body = job["job"]
         self.tables = dict(tables or {})
+        for name, rows in self.tables.items():
+            if re.fullmatch(r"\w+", name):
+                rows.createOrReplaceTempView(name)
         self.zone = zone
         self.content = self.body["content"][0]
         self.setting = self.body.get("setting") or {}
@@ -100,27 +104,37 @@ class Job:
             return self._scan_cells(parameter)
         if kind not in (*JDBC_KINDS, "hive"):
             raise ValueError(f"unknown source kind: {name}")
-        if query and table not in self.tables and kind != "hive":
-            return read_jdbc(self.spark, self._options(kind, parameter), None, query, columns, where)
-        if query:
+        if query and (self.tables or kind == "hive"):
             return extract_query(self.spark, query, columns, where, order_by)
+        if query:
+            scan = read_jdbc(self.spark, self._options(kind, parameter), None, query, columns, where)
+            return extract_table(scan, None, None, order_by)
         if table in self.tables:
             return extract_table(self.tables[table], columns, where, order_by)
         if kind == "hive":
             database = (parameter.get("connection") or {}).get("database")
             full = table if "." in table or not database else f"{database}.{table}"
             return read_catalog_table(self.spark, full, columns, where, order_by)
-        return read_jdbc(
+        options = self._options(kind, parameter)
+        split_key = parameter.get("splitPk")
+        if not split_key and self.channel > 1:
+            split_key = next(iter(self._primary_key(kind, parameter, options)), None)
+        scan = read_jdbc(
             self.spark,
-            self._options(kind, parameter),
+            options,
             table,
             None,
             columns,
             where,
-            parameter.get("splitPk"),
+            split_key,
             self.channel,
             1 if kind == "odps" else 0,
         )
+        return extract_table(scan, None, None, order_by)
+
+    def _primary_key(self, kind: str, parameter: dict, options: dict[str, str]) -> list[str]:
+        database = (parameter.get("connection") or {}).get("database")
+        return primary_key(self.spark, options, kind, parameter["table"], database)
 
     def _scan_text(self, parameter: dict) -> DataFrame:
         paths, sep = parameter.get("filePath"), parameter.get("sep", ",")
@@ -151,7 +165,7 @@ class Job:
 
     def _cell_table(self, parameter: dict) -> DataFrame:
         table = parameter["table"]
-        return self.tables[table] if table in self.tables else self.spark.table(table)
+        return self.tables[table] if table in self.tables else self.spark.table(table.replace(":", "."))
 
     # ------------------------------------------------------------- writing
 
@@ -202,13 +216,7 @@ class Job:
         declared = declared_columns(parameter.get("column"))
         if kind == "hbase":
             check_write_mode(kind, mode)
-            self.tables[table] = rows_to_cells(
-                df, parameter.get("rowkey", "id"), cell_columns(parameter["column"])
-            )
-            path = parameter.get("cellPath")
-            if path:
-                self.tables[table].write.mode("append").parquet(path)
-            return df.count()
+            return self._write_cells(df, parameter)
         names = [c for c, _ in declared] or df.columns
         if len(names) > len(df.columns):
             raise ValueError("the writer lists more columns than the reader delivers")
@@ -220,11 +228,25 @@ class Job:
         if kind not in JDBC_KINDS:
             raise ValueError(f"unknown sink kind: {name}")
         options = self._options(kind, parameter)
+        if mode in ("update", "ignore") and not keys:
+            keys = self._primary_key(kind, parameter, options)
         counter = RowCounter("sink rows")
-        run_statements(self.spark, options, parameter.get("preSql") or [])
         write_jdbc(counter.watch(named), options, kind, table, mode, keys)
         return counter.rows
 
+    def _write_cells(self, df: DataFrame, parameter: dict) -> int:
+        """Add cells under a version of this run, so they win over older ones."""
+        table = parameter["table"]
+        counter = RowCounter("put rows")
+        cells = rows_to_cells(
+            counter.watch(df), parameter.get("rowkey", "id"), cell_columns(parameter["column"])
+        ).withColumn("version", F.lit(int(time.time() * 1000)).cast("bigint"))
+        if table in self.tables:
+            self.tables[table] = self.tables[table].unionByName(stage(cells, "cells"))
+        else:
+            cells.write.mode("append").saveAsTable(table.replace(":", "."))
+        return counter.rows
+
     def _merge(self, df: DataFrame, table: str, mode: str, keys: list[str]) -> int:
         target = self.tables[table]
         bound = bind_to_target(df, target.select(*[column(c) for c in df.columns]).schema, zone=self.zone)
@@ -244,8 +266,6 @@ class Job:
         kinds = {c: spark_type(k) for c, k in declared}
         explicit = any(isinstance(c, dict) for c in parameter.get("column") or [])
         if explicit:
-            from pyspark.sql import types as T
-
             schema = T.StructType([T.StructField(c, kinds[c]) for c in df.columns])
             df = bind_to_target(df, schema, zone=self.zone)
         elif self.spark.catalog.tableExists(parameter["table"]):
@@ -296,7 +316,8 @@ class Job:
     # ------------------------------------------------------------- running
 
     def _statements(self, parameter: dict, name: str, key: str) -> None:
-        statements = parameter.get(key) or []
+        given = parameter.get(key) or []
+        statements = [given] if isinstance(given, str) else given
         if not statements:
             return
         if name.lower() in JDBC_KINDS and parameter.get("table") not in self.tables:
@@ -326,14 +347,17 @@ class Job:
         reader, source = self._side("reader")
         writer, target = self._side("writer")
         self._statements(source, reader, "preSql")
+        self._statements(target, writer, "preSql")
         counter = RowCounter("read rows")
-        rows = apply_chain(canonicalize(self._scan(reader, source)), self.content.get("transformer"))
         try:
+            scan = canonicalize(self._scan(reader, source))
+            rows = apply_chain(scan, self.content.get("transformer"))
             written = self._write(counter.watch(rows), writer, target)
             return CountCheck(counter.rows, written).as_dict()
         finally:
-            self._statements(source, reader, "postSql")
-            self._statements(target, writer, "postSql")
+            if self.setting.get("enablePostCheck", True):
+                self._statements(source, reader, "postSql")
+                self._statements(target, writer, "postSql")
 
     def run(self) -> dict:
         """Run the job; the report is returned and written if the job asks for it."""

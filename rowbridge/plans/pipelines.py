@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowbridge.common import broadcast_if_small, column
+from rowbridge.common import broadcast_if_small, column, stage
 from rowbridge.operators.merges import merge_update
 from rowbridge.operators.numbering import number_rows
 
@@ -103,7 +103,8 @@ def load_dimension(
         known = broadcast_if_small(existing.select(column(natural_key)))
         members = members.join(known, natural_key, "left_anti")
         top = existing.agg(F.max(column(surrogate_key))).head()[0] or 0
-    numbered = number_rows(members, [column(natural_key)], "__row")
+    # Sorting samples its input first; staged members are not computed twice.
+    numbered = number_rows(stage(members, "members"), [column(natural_key)], "__row")
     fresh = numbered.select(
         (F.col("__row") + F.lit(top + 1)).cast("bigint").alias(surrogate_key),
         *[column(c) for c in members.columns],

@@ -23,8 +23,8 @@ def check_write_mode(kind: str, mode: str, keys: Sequence[str] = ()) -> str:
     allowed = WRITE_MODES[kind.lower()]
     if mode not in allowed:
         raise ValueError(f"{kind} does not support the write mode {mode}")
-    if kind.lower() == "postgresql" and mode == "update" and not keys:
-        raise ValueError("update needs a primary key")
+    if kind.lower() == "postgresql" and mode in ("update", "ignore") and not keys:
+        raise ValueError(f"{mode} needs a primary key")
     return mode
 
 
@@ -46,7 +46,7 @@ def merge_statement(
             return f"insert ignore {into}"
         assignments = ", ".join(f"{c} = values({c})" for c in columns)
         return f"insert {into} on duplicate key update {assignments}"
-    conflict = f"on conflict ({', '.join(keys)})" if keys else "on conflict"
+    conflict = f"on conflict ({', '.join(keys)})"
     if mode == "ignore":
         return f"insert {into} {conflict} do nothing"
     assignments = ", ".join(f"{c} = excluded.{c}" for c in columns if c not in keys)

@@ -132,3 +132,23 @@ def read_jdbc(
         properties=properties,
     )
     return parts.select(*columns) if columns and wanted is not columns else parts
+
+
+def primary_key(
+    spark: SparkSession, options: dict[str, str], kind: str, table: str, database: str | None
+) -> list[str]:
+    """Primary key columns of a table, in order, as its database lists them."""
+    schema, _, name = table.rpartition(".")
+    schema = schema or (database if kind == "mysql" else "public")
+    if kind not in ("mysql", "postgresql"):
+        return []
+    test = "c.constraint_name = 'PRIMARY'" if kind == "mysql" else "c.constraint_type = 'PRIMARY KEY'"
+    query = (
+        "select k.column_name as name, k.ordinal_position as place"
+        " from information_schema.table_constraints c join information_schema.key_column_usage k"
+        " on c.constraint_name = k.constraint_name and c.table_schema = k.table_schema"
+        f" and c.table_name = k.table_name where {test}"
+        f" and k.table_schema = '{schema}' and k.table_name = '{name}'"
+    )
+    rows = spark.read.format("jdbc").options(**options, query=query).load()
+    return [r[0] for r in rows.orderBy("place").collect()]
