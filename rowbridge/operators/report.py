@@ -24,7 +24,10 @@ class CountCheck:
 
 
 class RowCounter:
-    """Counts the rows flowing past one point of a plan, without a job of its own."""
+    """Counts the rows flowing past one point of a plan, without a job of its own.
+
+    Watch rows above a global sort, not below: sorting reads its input twice.
+    """
 
     def __init__(self, name: str) -> None:
         self._observation = Observation(name)

@@ -22,7 +22,7 @@ from rowbridge.functions.kinds import canonicalize, spark_type
 from rowbridge.operators.cells import cell_columns, cells_to_rows, rows_to_cells
 from rowbridge.operators.merges import merge_ignore, merge_insert, merge_replace, merge_update
 from rowbridge.operators.numbering import row_chunks
-from rowbridge.operators.report import CountCheck, RowCounter, export_stats
+from rowbridge.operators.report import CountCheck, RowCounter
 from rowbridge.operators.splits import rowkey_bounds
 from rowbridge.operators.targets import bind_to_target
 from rowbridge.operators.transforms import apply_chain
@@ -37,6 +37,7 @@ from rowbridge.sources.jdbc import jdbc_options, primary_key, read_jdbc
 from rowbridge.sources.tables import declared_columns, extract_query, extract_table, read_catalog_table
 
 EXPORT, SCRIPT, MOVE = 0, 1, 2
+FILE_TYPES = ("csv", "txt", "json", "parquet", "orc")
 JDBC_KINDS = ("mysql", "postgresql", "odps")
 SUCCESS, FAILED = 0, 1
 
@@ -169,8 +170,12 @@ class Job:
 
     # ------------------------------------------------------------- writing
 
-    def _export(self, df: DataFrame, parameter: dict) -> DataFrame:
-        """Write an export and return it as read back, for counting."""
+    def _export(self, df: DataFrame, parameter: dict) -> dict:
+        """Write an export; rows are counted while writing, files by listing them.
+
+        The rows are watched above any sort: a range shuffle reads its input
+        twice, and what lies below it would be counted twice.
+        """
         path = parameter.get("saveUrl")
         if not path:
             raise ValueError("saveUrl must not be empty")
@@ -179,31 +184,24 @@ class Job:
         chunk = int(parameter.get("chunkSize") or DEFAULT_CHUNK_ROWS)
         if chunk <= 0:
             raise ValueError("chunkSize must be positive")
-        if parameter.get("isChunk"):
-            export_column_chunks(df, path, chunk, zone=self.zone)
-            return self.spark.read.text(path)
-        if file_type not in ("csv", "txt", "json", "parquet", "orc"):
+        if file_type not in FILE_TYPES:
             raise ValueError(f"unknown fileType: {file_type}")
-        if parameter.get("chunkSize"):
-            export_row_chunks(df, path, chunk, file_type, sep, zone=self.zone)
+        counter = RowCounter("exported rows")
+        rows = counter.watch(df)
+        if parameter.get("isChunk"):
+            export_column_chunks(rows, path, chunk, file_type, zone=self.zone)
+        elif parameter.get("chunkSize"):
+            export_row_chunks(rows, path, chunk, file_type, sep, zone=self.zone)
         elif file_type in ("csv", "txt"):
-            export_csv(df, path, sep, zone=self.zone)
+            export_csv(rows, path, sep, zone=self.zone)
         elif file_type == "json":
-            export_json(df, path, zone=self.zone)
+            export_json(rows, path, zone=self.zone)
         elif file_type == "parquet":
-            export_parquet(df, path, zone=self.zone)
+            export_parquet(rows, path, zone=self.zone)
         else:
-            export_orc(df, path)
-        return self._read_back(path, file_type, sep, df.columns, header=True)
-
-    def _read_back(self, path, file_type, sep, columns, header) -> DataFrame:
-        if file_type in ("csv", "txt"):
-            # Lines, not cells: a row of empty cells is a blank or bare line.
-            lines = self.spark.read.csv(
-                path, schema="value string", sep="\r", quote="\n", escape="\n", header=header
-            ) if header else self.spark.read.text(path).select("value")
-            return lines.select(*[F.col("value").alias(c) for c in columns])
-        return self.spark.read.format(file_type).load(path)
+            export_orc(rows, path)
+        files = self.spark.read.text(path).inputFiles()
+        return {"colFileNum": len(files), "tableColNum": len(df.columns), "tableRowNum": counter.rows}
 
     def _write(self, df: DataFrame, name: str, parameter: dict) -> int:
         """Write to the sink; returns the rows it took."""
@@ -330,8 +328,7 @@ class Job:
         name, parameter = self._side("common")
         source = self._scan(name, parameter, parameter.get("orderby"))
         rows = apply_chain(source, self.content.get("transformer"))
-        stats = export_stats(self._export(rows, parameter)).head()
-        return {"colFileNum": stats["files"], "tableColNum": len(rows.columns), "tableRowNum": stats["rows"]}
+        return self._export(rows, parameter)
 
     def _run_script(self) -> dict:
         _, parameter = self._side("common")
@@ -340,8 +337,7 @@ class Job:
         result = run_script(self.spark, text)
         if result is None or not (parameter.get("saveUrl") or "").strip():
             return {}
-        stats = export_stats(self._export(result, parameter)).head()
-        return {"tableColNum": len(result.columns), "tableRowNum": stats["rows"]}
+        return self._export(result, parameter)
 
     def _run_move(self) -> dict:
         reader, source = self._side("reader")

@@ -5,10 +5,10 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowbridge.common import column
+from rowbridge.common import column, local_rows, stage
 from rowbridge.functions.kinds import render, render_text
 from rowbridge.operators.numbering import column_chunks, number_rows, row_chunks
 from rowbridge.sinks.columnar import dates_as_text
@@ -23,10 +23,21 @@ INDEX_FILE = "indexMap.json"
 TEXT_TYPES = ("csv", "txt", "text")
 
 
-def _headed(lines: DataFrame, groups: Sequence[str], header) -> DataFrame:
-    """Put the header in front of the line flagged as first of its chunk."""
-    shown = F.when(F.col("__first"), F.array(header, F.col("value"))).otherwise(F.array("value"))
-    return lines.select(*groups, F.explode(shown).alias("value"))
+def _lines(rows: DataFrame, groups: Sequence[str], value: Column, first: Column, header: Column | None) -> DataFrame:
+    """Lines in the order of ``row_id`` within each chunk, its header line in front.
+
+    The order is fixed by one sort after the only shuffle; what follows keeps the
+    chunk columns in front, so the writer has no reason to sort again.
+    """
+    if header is None:
+        listed = rows.select(*groups, "row_id", F.lit(1).alias("__place"), value.alias("value"))
+    else:
+        line = F.struct(F.lit(1).alias("__place"), value.alias("value"))
+        title = F.struct(F.lit(0).alias("__place"), header.alias("value"))
+        both = F.when(first, F.array(title, line)).otherwise(F.array(line))
+        listed = rows.select(*groups, "row_id", F.inline(both))
+    moved = listed.repartition(*groups).sortWithinPartitions(*groups, "row_id", "__place")
+    return moved.select(*groups, "value")
 
 
 def _writer(df: DataFrame, groups: Sequence[str]):
@@ -50,10 +61,10 @@ def export_row_chunks(
     Rows move once, by chunk. A chunk has a fixed size, so the work per task does
     not depend on how the data is distributed.
     """
-    chunked = row_chunks(df, rows, order_by).repartition("chunk_id")
-    chunked = chunked.sortWithinPartitions("chunk_id", "row_id")
+    chunked = row_chunks(df, rows, order_by)
     if file_type not in TEXT_TYPES:
-        data = chunked.drop("row_id")
+        moved = chunked.repartition("chunk_id").sortWithinPartitions("chunk_id", "row_id")
+        data = moved.drop("row_id")
         data = data if file_type == "orc" else dates_as_text(data, zone)
         _writer(data, ["chunk_id"]).option("compression", "none").format(file_type).save(path)
         return
@@ -61,16 +72,10 @@ def export_row_chunks(
         F.coalesce(clean_cell(render(column(f.name), f.dataType, zone, plain)), F.lit(""))
         for f in df.schema.fields
     ]
-    lines = chunked.select(
-        "chunk_id",
-        F.concat_ws(separator(sep), *cells).alias("value"),
-        (F.col("row_id") % rows == 0).alias("__first"),
-    )
-    if header:
-        lines = _headed(lines, ["chunk_id"], F.lit(separator(sep).join(df.columns)))
-    else:
-        lines = lines.drop("__first")
-    _writer(lines, ["chunk_id"]).text(path)
+    sep = separator(sep)
+    title = F.lit(sep.join(df.columns)) if header else None
+    first = F.col("row_id") % rows == 0
+    _writer(_lines(chunked, ["chunk_id"], F.concat_ws(sep, *cells), first, title), ["chunk_id"]).text(path)
 
 
 def column_chunk_rows(
@@ -87,6 +92,7 @@ def export_column_chunks(
     df: DataFrame,
     path: str,
     rows: int = DEFAULT_CHUNK_ROWS,
+    file_type: str = "csv",
     header: bool = True,
     order_by: Sequence[str] | None = None,
     zone: str | None = None,
@@ -94,26 +100,42 @@ def export_column_chunks(
 ) -> dict[str, str]:
     """One folder ``col_idx=<0000000001>`` per column, cut into row chunks.
 
-    Returns the name -> index map, which is also written to ``indexMap.json``.
+    Text columns are written by one job over the long form. Typed formats keep
+    each column's type, so every column is a job reading that column alone.
+    Returns the name -> index map, which is also written next to the folders.
     """
-    long = column_chunk_rows(df, order_by, zone, plain).withColumn(
-        "chunk_id", F.call_function("div", F.col("row_id"), F.lit(rows))
-    )
-    moved = long.repartition("col_idx", "chunk_id").sortWithinPartitions(
-        "col_idx", "chunk_id", "row_id"
+    path = path.rstrip("/")
+    if file_type in TEXT_TYPES:
+        _export_text_columns(df, path, rows, header, order_by, zone, plain)
+    else:
+        _export_typed_columns(df, path, rows, file_type, order_by, zone)
+    index = {name: str(i) for i, name in enumerate(df.columns, 1)}
+    text = local_rows(df.sparkSession, {"value": [json.dumps(index, ensure_ascii=False)]}, "value string")
+    text.write.mode("overwrite").text(f"{path}/_{INDEX_FILE}")
+    return index
+
+
+def _export_text_columns(df, path, rows, header, order_by, zone, plain) -> None:
+    long = column_chunk_rows(df, order_by, zone, plain)
+    padded = long.withColumns(
+        {
+            "chunk_id": F.call_function("div", F.col("row_id"), F.lit(rows)),
+            "col_idx": F.lpad(F.col("col_idx").cast("string"), INDEX_DIGITS, "0"),
+        }
     )
+    name = F.element_at(F.array(*[F.lit(c) for c in df.columns]), F.col("col_idx").cast("int"))
+    value = F.coalesce(clean_cell(F.col("value")), F.lit(""))
     groups = ["col_idx", "chunk_id"]
-    lines = moved.select(
-        F.lpad(F.col("col_idx").cast("string"), INDEX_DIGITS, "0").alias("col_idx"),
-        "chunk_id",
-        F.coalesce(clean_cell(F.col("value")), F.lit("")).alias("value"),
-        (F.col("row_id") % rows == 0).alias("__first"),
-        F.element_at(F.array(*[F.lit(c) for c in df.columns]), F.col("col_idx")).alias("__name"),
-    )
-    lines = _headed(lines, groups, F.col("__name")) if header else lines.drop("__first", "__name")
+    lines = _lines(padded, groups, value, F.col("row_id") % rows == 0, name if header else None)
     _writer(lines, groups).text(path)
-    index = {name: str(i) for i, name in enumerate(df.columns, 1)}
-    spark = df.sparkSession
-    text = spark.createDataFrame([(json.dumps(index, ensure_ascii=False),)], "value string")
-    text.coalesce(1).write.mode("overwrite").text(f"{path.rstrip('/')}/_{INDEX_FILE}")
-    return index
+
+
+def _export_typed_columns(df, path, rows, file_type, order_by, zone) -> None:
+    data = df if file_type == "orc" else dates_as_text(df, zone)
+    # Staged, so that the jobs agree on the row numbers and read one column each.
+    chunked = stage(row_chunks(data, rows, order_by), "columns")
+    for i, name in enumerate(df.columns, 1):
+        cells = chunked.select("chunk_id", "row_id", column(name)).repartition("chunk_id")
+        ordered = cells.sortWithinPartitions("chunk_id", "row_id").select("chunk_id", column(name))
+        writer = _writer(ordered, ["chunk_id"]).option("compression", "none")
+        writer.format(file_type).save(f"{path}/col_idx={i:0{INDEX_DIGITS}d}")

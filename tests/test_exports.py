@@ -163,6 +163,13 @@ def test_column_chunks(persons, tmp_path):
     assert [json.loads(t) for t in contents(tmp_path / "c", "_indexMap.json/part-*")] == [index]
 
 
+def test_typed_column_chunks(spark, persons, tmp_path):
+    chunks.export_column_chunks(persons.select("id", "age"), str(tmp_path / "c"), 2, "parquet", order_by=["id"])
+    ages = spark.read.parquet(str(tmp_path / "c" / "col_idx=0000000002"))
+    assert dict(ages.dtypes)["age"] == "int"
+    assert [tuple(r) for r in ages.orderBy("chunk_id", "age").collect()] == [(18, 0), (22, 0), (25, 1), (30, 1), (28, 2)]
+
+
 def test_sizes_and_partitions():
     assert [partitions.parse_size(s) for s in ("8MB", "1gb", " 64KB ", "100")] == [8 << 20, 1 << 30, 64 << 10, 100]
     assert partitions.parse_partition("dt='2025,07',hour=01") == {"dt": "2025,07", "hour": "01"}
