@@ -42,6 +42,8 @@ TIME_FORMAT = "HH:mm:ss"
 
 _NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 _ORDINARY = r"^[+-]?[0-9]{1,19}(\.[0-9]*)?$"
+_SCIENTIFIC = r"^[+-]?[0-9](\.[0-9]{1,18})?[eE]\+?1?[0-9]$"
+_ORDINARY_DOUBLE = r"^[+-]?[0-9]{1,19}(\.[0-9]{0,19})?([eE][+-]?[0-9]{1,2})?$"
 _ZERO = r"^[+-]?[0.]+([eE].*)?$"
 _TWO_53 = float(1 << 53)
 _LARGEST = 1.7976931348623157e308
@@ -73,28 +75,43 @@ def spark_type(declared: str | None) -> T.DataType:
 # --------------------------------------------------------------- text form
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once.
+
+    The lambda also keeps ``use`` out of the generated code, where a large
+    expression repeated over many columns would exceed what the JVM compiles;
+    it suits the rare branch of a conditional.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _large_text(text: Column) -> Column:
+    """Digits of a double of 1e20 and more: always a whole number."""
+
+    def digits(t: Column) -> Column:
+        mantissa = F.substring_index(t, "E", 1)
+        frac = F.substring_index(mantissa, ".", -1)
+        places = F.substring_index(t, "E", -1).cast("int")
+        return F.concat(F.substring_index(mantissa, ".", 1), F.rpad(frac, places, F.lit("0")))
+
+    return bound(text, digits)
+
+
 def plain_text(text: Column) -> Column:
     """Decimal text of a double's shortest text without an exponent, same digits."""
-    mantissa = F.substring_index(text, "E", 1)
-    exponent = F.substring_index(text, "E", -1).cast("int")
-    sign = F.when(F.startswith(text, F.lit("-")), F.lit("-")).otherwise(F.lit(""))
-    whole = F.replace(F.substring_index(mantissa, ".", 1), F.lit("-"), F.lit(""))
-    frac = F.substring_index(mantissa, ".", -1)
-    # The zero after "d.0" stands only while the exponent does not use it up.
-    grown = F.concat(
-        sign,
-        whole,
-        F.rpad(F.substring(frac, F.lit(1), exponent), exponent, F.lit("0")),
-        F.when(
-            F.length(frac) > exponent,
-            F.concat(F.lit("."), F.substring(frac, exponent + 1, F.length(frac))),
-        ).otherwise(F.lit("")),
+    small = F.concat(
+        F.when(F.startswith(text, F.lit("-")), "-0.").otherwise("0."),
+        F.repeat(F.lit("0"), F.substring_index(text, "E-", -1).cast("int") - 1),
+        F.translate(F.substring_index(text, "E", 1), ".-", ""),
     )
-    shrunk = F.concat(sign, F.lit("0."), F.repeat(F.lit("0"), -exponent - 1), whole, frac)
+    # Such a number has at most 20 whole digits and fewer than 18 after the point.
+    exact = text.cast("decimal(38,18)").cast("string")
+    medium = F.rtrim(F.rtrim(exact, F.lit("0")), F.lit("."))
     return (
         F.when(~F.contains(text, F.lit("E")), text)
-        .when(F.contains(text, F.lit("E-")), shrunk)
-        .otherwise(grown)
+        .when(F.contains(text, F.lit("E-")), small)
+        .when(F.rlike(text, F.lit("E1?[0-9]$")), medium)
+        .otherwise(_large_text(text))
     )
 
 
@@ -132,8 +149,8 @@ def render(value: Column, data_type: T.DataType, zone: str | None = None, plain:
 def render_text(df: DataFrame, zone: str | None = None, plain: bool = True) -> DataFrame:
     """Every cell as text.
 
-    Doubles become text in a projection of their own: their digits are looked at
-    several times but formatted once.
+    Doubles are formatted in a projection of their own, as their text is then
+    looked at more than once.
     """
     doubles = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.FloatType, T.DoubleType))}
     text = df.select(
@@ -168,11 +185,6 @@ def canonicalize(df: DataFrame) -> DataFrame:
 # --------------------------------------------------------------- numbers
 
 
-def _bind(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with the value computed once."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def _moved_point(text: Column) -> Column:
     """Integer part of number text with an exponent or many digits.
 
@@ -208,27 +220,37 @@ def _moved_point(text: Column) -> Column:
             parts["point"] <= 19, F.concat(parts["sign"], whole).try_cast("bigint")
         )
 
-    return _bind(_bind(_bind(F.lower(text), digits), stripped), shifted)
+    return bound(bound(bound(F.lower(text), digits), stripped), shifted)
 
 
 def long_value(text: Column) -> Column:
-    """Number text truncated toward zero; null when not a number or out of range.
+    """Number text truncated toward zero; null when not a number or out of range."""
+
+    def rare(t: Column) -> Column:
+        return F.when(F.rlike(t, F.lit(_NUMBER)), _moved_point(t))
 
-    Ordinary numbers take the short path. The rest goes through lambdas, which
-    keep their large expressions out of the generated code of every row.
-    """
     short = F.substring_index(text, ".", 1).try_cast("bigint")
-    rare = _moved_point(text)
-    return F.when(F.rlike(text, F.lit(_ORDINARY)), short).when(F.rlike(text, F.lit(_NUMBER)), rare)
+    # Eighteen digits moved to the left fit the decimal unrounded.
+    shifted = text.try_cast("decimal(38,18)").try_cast("bigint")
+    return (
+        F.when(F.rlike(text, F.lit(_ORDINARY)), short)
+        .when(F.rlike(text, F.lit(_SCIENTIFIC)), shifted)
+        .otherwise(bound(text, rare))
+    )
 
 
 def double_value(text: Column) -> Column:
     """Number text as a double; null when not a number, too large or too small."""
-    value = text.try_cast("double")
-    finite = F.when((value != 0) | F.rlike(text, F.lit(_ZERO)), value)
-    return F.when(text.isin("NaN", "Infinity", "-Infinity"), value).when(
-        F.rlike(text, F.lit(_NUMBER)) & (F.abs(value) <= F.lit(_LARGEST)), finite
-    )
+
+    def rare(t: Column) -> Column:
+        value = t.try_cast("double")
+        finite = F.when((value != 0) | F.rlike(t, F.lit(_ZERO)), value)
+        return F.when(t.isin("NaN", "Infinity", "-Infinity"), value).when(
+            F.rlike(t, F.lit(_NUMBER)) & (F.abs(value) <= F.lit(_LARGEST)), finite
+        )
+
+    ordinary = F.rlike(text, F.lit(_ORDINARY_DOUBLE))
+    return F.when(ordinary, text.try_cast("double")).otherwise(bound(text, rare))
 
 
 def out_of_range(text: Column, kind: str) -> Column:

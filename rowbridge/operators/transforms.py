@@ -21,6 +21,7 @@ from rowbridge.functions.kinds import DATE, LONG, kind_of, render
 
 Transform = Callable[[DataFrame, dict], DataFrame]
 
+_BLANKS = "".join(map(chr, range(0x21)))
 _REGISTRY: dict[str, Transform] = {}
 
 
@@ -111,9 +112,7 @@ def trim(df: DataFrame, parameter: dict | None = None) -> DataFrame:
     return _map_cells(
         df,
         parameter or {},
-        lambda cell, kind: F.regexp_replace(cell, r"^[\x00-\x20]+|[\x00-\x20]+$", "")
-        if _is_text(kind)
-        else None,
+        lambda cell, kind: F.trim(cell, F.lit(_BLANKS)) if _is_text(kind) else None,
     )
 
 

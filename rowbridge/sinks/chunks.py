@@ -12,7 +12,7 @@ from rowbridge.common import column, local_rows, stage
 from rowbridge.functions.kinds import render, render_text
 from rowbridge.operators.numbering import column_chunks, number_rows, row_chunks
 from rowbridge.sinks.columnar import dates_as_text
-from rowbridge.sinks.delimited import clean_cell
+from rowbridge.sinks.delimited import clean_cell, text_cell
 from rowbridge.sources.delimited import separator
 
 # Fixed values of the export layout.
@@ -69,7 +69,7 @@ def export_row_chunks(
         _writer(data, ["chunk_id"]).option("compression", "none").format(file_type).save(path)
         return
     cells = [
-        F.coalesce(clean_cell(render(column(f.name), f.dataType, zone, plain)), F.lit(""))
+        text_cell(render(column(f.name), f.dataType, zone, plain), f.dataType)
         for f in df.schema.fields
     ]
     sep = separator(sep)

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rowbridge.common import column
-from rowbridge.functions.kinds import render_text
+from rowbridge.functions.kinds import BYTES, STRING, kind_of, render_text
 from rowbridge.operators.report import RowCounter
 from rowbridge.sources.delimited import separator
 
@@ -16,12 +17,18 @@ def clean_cell(cell: Column) -> Column:
     return F.translate(cell, "\n,", "  ")
 
 
+def text_cell(cell: Column, data_type: T.DataType) -> Column:
+    """A rendered cell ready for a line; only free text can need cleaning."""
+    free = kind_of(data_type) in (STRING, BYTES) and not isinstance(data_type, T.IntegralType)
+    return F.coalesce(clean_cell(cell) if free else cell, F.lit(""))
+
+
 def delimited_rows(
     df: DataFrame, sep: str | None = ",", zone: str | None = None, plain: bool = True
 ) -> DataFrame:
     """One line of text per row in ``value``; nulls are empty cells."""
     text = render_text(df, zone, plain)
-    cells = [F.coalesce(clean_cell(column(c)), F.lit("")) for c in text.columns]
+    cells = [text_cell(column(f.name), f.dataType) for f in df.schema.fields]
     return text.select(F.concat_ws(separator(sep), *cells).alias("value"))
 
 

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rowbridge.common import column, quoted, stage
 
@@ -40,8 +41,11 @@ def rows_per_file(df: DataFrame, max_file_size: str = DEFAULT_FILE_SIZE) -> int:
     """
     width = F.lit(len(df.columns))
     for name in df.columns:
-        cell = column(name)
-        text = cell if df.schema[name].dataType.typeName() in ("string", "binary") else F.to_json(F.struct(cell))
+        kind, cell = df.schema[name].dataType, column(name)
+        if isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+            text = F.to_json(F.struct(cell))
+        else:
+            text = cell if isinstance(kind, T.BinaryType) else cell.cast("string")
         width = width + F.coalesce(F.octet_length(text), F.lit(0))
     mean = df.agg(F.avg(width)).head()[0]
     return max(1, int(parse_size(max_file_size) / mean)) if mean else 1

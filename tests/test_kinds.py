@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 from datetime import datetime
 from decimal import Decimal
 
@@ -27,6 +28,11 @@ def test_text_to_long(spark):
         ".5": 0,
         "5.": 5,
         "1.2345e2": 123,
+        "-1.9E0": -1,
+        "9.999999999999999999e0": 9,
+        "9.223372036854775807E18": 2**63 - 1,
+        "9.223372036854775808E18": None,
+        "9.9E19": None,
         "9.9999999999999999999999e0": 9,
         "99999999999999999999e-20": 0,
         "0.00000000000000000012345e20": 12,
@@ -93,7 +99,9 @@ def test_other_conversions(spark):
 
 
 def test_plain_doubles(spark):
-    values = [1.23456789123e8, 1e10, 1e-5, 5.0, -1.5e7, 0.0, 12345.678, 1e21, -2.5e-300, 1.7976931348623157e308]
+    rng = random.Random(5)
+    values = [1.23456789123e8, 1e10, 1e-5, 5.0, -1.5e7, 0.0, 12345.678, 1e21, -2.5e-300, 1.7976931348623157e308, 1e20, 9.9e19]
+    values += [rng.uniform(-1, 1) * 10.0 ** rng.randint(-12, 30) for _ in range(2000)]
     df = spark.createDataFrame([(v,) for v in values], "v double")
     rows = df.select(F.col("v").cast("string").alias("t"), kinds.render(F.col("v"), T.DoubleType()).alias("p"))
     for row in rows.collect():
