@@ -130,6 +130,11 @@ def _at_zone(value: Column, zone: str | None) -> Column:
     return F.convert_timezone(F.current_timezone(), F.lit(zone), local)
 
 
+def _second_text(local: Column) -> Column:
+    """``yyyy-MM-dd HH:mm:ss`` of a wall-clock time, whatever the session zone skips."""
+    return F.substring(local.cast("string"), 1, 19)
+
+
 def render(value: Column, data_type: T.DataType, zone: str | None = None, plain: bool = True) -> Column:
     """Text form of a cell; null stays null."""
     if isinstance(data_type, T.StringType):
@@ -138,9 +143,9 @@ def render(value: Column, data_type: T.DataType, zone: str | None = None, plain:
         text = _shortest(value, data_type)
         return plain_text(text) if plain else text
     if isinstance(data_type, T.TimestampType):
-        return F.date_format(_at_zone(value, zone), DATETIME_FORMAT)
+        return _second_text(_at_zone(value, zone))
     if isinstance(data_type, T.TimestampNTZType):
-        return F.date_format(value, DATETIME_FORMAT)
+        return _second_text(value)
     if isinstance(data_type, T.BinaryType):
         return F.make_valid_utf8(value.cast("string"))
     return value.cast("string")

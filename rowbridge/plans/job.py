@@ -176,9 +176,11 @@ class Job:
         The rows are watched above any sort: a range shuffle reads its input
         twice, and what lies below it would be counted twice.
         """
-        path = parameter.get("saveUrl")
-        if not path:
+        folder = parameter.get("saveUrl")
+        if not folder:
             raise ValueError("saveUrl must not be empty")
+        # A folder of its own: writing replaces the folder, and saveUrl may hold more.
+        path = f"{folder.rstrip('/')}/{re.sub(r'[^0-9A-Za-z_.-]', '_', parameter.get('table') or 'result')}"
         file_type = (parameter.get("fileType") or "csv").lower()
         sep = parameter.get("sep", ",")
         chunk = int(parameter.get("chunkSize") or DEFAULT_CHUNK_ROWS)
@@ -201,7 +203,12 @@ class Job:
         else:
             export_orc(rows, path)
         files = self.spark.read.text(path).inputFiles()
-        return {"colFileNum": len(files), "tableColNum": len(df.columns), "tableRowNum": counter.rows}
+        return {
+            "colFileNum": len(files),
+            "tableColNum": len(df.columns),
+            "tableRowNum": counter.rows,
+            "path": path,
+        }
 
     def _write(self, df: DataFrame, name: str, parameter: dict) -> int:
         """Write to the sink; returns the rows it took."""

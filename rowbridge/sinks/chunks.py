@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowbridge.common import column, local_rows, stage
-from rowbridge.functions.kinds import render, render_text
+from rowbridge.functions.kinds import render
 from rowbridge.operators.numbering import column_chunks, number_rows, row_chunks
 from rowbridge.sinks.columnar import dates_as_text
 from rowbridge.sinks.delimited import clean_cell, text_cell
@@ -85,7 +85,9 @@ def column_chunk_rows(
     plain: bool = False,
 ) -> DataFrame:
     """(row_id, col_idx, value): rows are numbered once, so columns stay aligned."""
-    return column_chunks(number_rows(render_text(df, zone, plain), order_by))
+    numbered = number_rows(df, order_by)
+    cells = [render(column(f.name), f.dataType, zone, plain).alias(f.name) for f in df.schema.fields]
+    return column_chunks(numbered.select("row_id", *cells))
 
 
 def export_column_chunks(

@@ -163,6 +163,15 @@ def test_column_chunks(persons, tmp_path):
     assert [json.loads(t) for t in contents(tmp_path / "c", "_indexMap.json/part-*")] == [index]
 
 
+def test_column_chunks_follow_typed_order(spark, tmp_path):
+    df = spark.range(0, 12, 1, 3).selectExpr("id", "id * 0.5 as half")
+    chunks.export_column_chunks(df, str(tmp_path / "c"), 7, header=False, order_by=["id"])
+    first = contents(tmp_path / "c", "col_idx=0000000001/chunk_id=0/part-*")
+    assert first == ["".join(f"{i}\n" for i in range(7))]
+    second = contents(tmp_path / "c", "col_idx=0000000002/chunk_id=1/part-*")
+    assert second == ["".join(f"{i * 0.5}\n" for i in range(7, 12))]
+
+
 def test_typed_column_chunks(spark, persons, tmp_path):
     chunks.export_column_chunks(persons.select("id", "age"), str(tmp_path / "c"), 2, "parquet", order_by=["id"])
     ages = spark.read.parquet(str(tmp_path / "c" / "col_idx=0000000002"))

@@ -64,7 +64,7 @@ def test_export_query_with_chunks(spark, persons, tmp_path):
         "orderby": "id", "saveUrl": str(tmp_path / "q"), "chunkSize": 3,
     }
     report = run_job(spark, common(0, parameter), {"test_table": persons})
-    assert report["data"] == {"colFileNum": 2, "tableColNum": 1, "tableRowNum": 4}
+    assert report["data"] == {"colFileNum": 2, "tableColNum": 1, "tableRowNum": 4, "path": f"{tmp_path}/q/result"}
     assert texts(tmp_path / "q").count("email") == 2
 
 
@@ -74,7 +74,7 @@ def test_export_by_column(spark, persons, tmp_path):
     }
     report = run_job(spark, common(0, parameter), {"test_table": persons})
     assert report["data"]["colFileNum"] == 15
-    assert len(list((tmp_path / "c").glob("col_idx=*"))) == 5
+    assert len(list((tmp_path / "c" / "test_table").glob("col_idx=*"))) == 5
 
 
 def test_script_job(spark, tmp_path):
@@ -87,7 +87,7 @@ def test_script_job(spark, tmp_path):
     out = tmp_path / "result"
     report = run_job(spark, common(1, {"sqlFile": str(script), "sql": "select 1", "saveUrl": str(out)}))
     assert report["data"]["tableRowNum"] == 2
-    assert "".join(p.read_text() for p in sorted(out.glob("part-*"))).replace("v,id\n", "") == "c,2\na;b,1\n"
+    assert "".join(p.read_text() for p in sorted(out.glob("result/part-*"))).replace("v,id\n", "") == "c,2\na;b,1\n"
     assert run_job(spark, common(1, {"sql": "create or replace temp view s as select 1"}))["data"] == {}
     for bad in ({"sql": "  "}, {"sql": "SELEC * FROM s"}):
         with pytest.raises(Exception):

@@ -126,3 +126,13 @@ def test_canonical_kinds(spark):
     ]
     row = out.head()
     assert (row.a, row.c, row.d, row.e.microsecond) == ("1", "1.50", 0.1, 123000)
+
+
+def test_text_of_a_time_the_session_zone_skips(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.sql("select timestamp_ntz '2024-03-10 02:30:00.5' n, timestamp '2024-03-09 18:30:00 UTC' t")
+        row = kinds.render_text(df, zone="GMT+8").head()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert (row.n, row.t) == ("2024-03-10 02:30:00", "2024-03-10 02:30:00")
