@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 from functools import cache
 
 import pyarrow as pa
@@ -14,6 +15,8 @@ from pyspark.sql import types as T
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 BROADCAST_LIMIT = 64 * 1024 * 1024
 
+_scopes: list[list[str]] = []
+
 _FIXED_WIDTH = (
     T.BooleanType,
     T.ByteType,
@@ -56,10 +59,31 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/rowbridge/{purpose}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def staging(spark: SparkSession):
+    """Delete what is staged inside the block when it ends.
+
+    For work that is complete by then, such as an export; rows handed on lazily
+    still need their staged files.
+    """
+    paths: list[str] = []
+    _scopes.append(paths)
+    try:
+        yield
+    finally:
+        _scopes.remove(paths)
+        hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in paths:
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(hadoop).delete(target, True)
+
+
 def stage(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` once to the shared folder and continue from the files."""
     spark = df.sparkSession
     path = scratch_path(spark, purpose)
+    if _scopes:
+        _scopes[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowbridge.common import column, local_rows, stage
+from rowbridge.common import column, local_rows, stage, staging
 from rowbridge.functions.kinds import render
 from rowbridge.operators.numbering import column_chunks, number_rows, row_chunks
 from rowbridge.sinks.columnar import dates_as_text
@@ -61,21 +61,23 @@ def export_row_chunks(
     Rows move once, by chunk. A chunk has a fixed size, so the work per task does
     not depend on how the data is distributed.
     """
-    chunked = row_chunks(df, rows, order_by)
-    if file_type not in TEXT_TYPES:
-        moved = chunked.repartition("chunk_id").sortWithinPartitions("chunk_id", "row_id")
-        data = moved.drop("row_id")
-        data = data if file_type == "orc" else dates_as_text(data, zone)
-        _writer(data, ["chunk_id"]).option("compression", "none").format(file_type).save(path)
-        return
-    cells = [
-        text_cell(render(column(f.name), f.dataType, zone, plain), f.dataType)
-        for f in df.schema.fields
-    ]
-    sep = separator(sep)
-    title = F.lit(sep.join(df.columns)) if header else None
-    first = F.col("row_id") % rows == 0
-    _writer(_lines(chunked, ["chunk_id"], F.concat_ws(sep, *cells), first, title), ["chunk_id"]).text(path)
+    with staging(df.sparkSession):
+        chunked = row_chunks(df, rows, order_by)
+        if file_type in TEXT_TYPES:
+            cells = [
+                text_cell(render(column(f.name), f.dataType, zone, plain), f.dataType)
+                for f in df.schema.fields
+            ]
+            sep = separator(sep)
+            title = F.lit(sep.join(df.columns)) if header else None
+            first = F.col("row_id") % rows == 0
+            lines = _lines(chunked, ["chunk_id"], F.concat_ws(sep, *cells), first, title)
+            _writer(lines, ["chunk_id"]).text(path)
+        else:
+            moved = chunked.repartition("chunk_id").sortWithinPartitions("chunk_id", "row_id")
+            data = moved.drop("row_id")
+            data = data if file_type == "orc" else dates_as_text(data, zone)
+            _writer(data, ["chunk_id"]).option("compression", "none").format(file_type).save(path)
 
 
 def column_chunk_rows(
@@ -107,10 +109,11 @@ def export_column_chunks(
     Returns the name -> index map, which is also written next to the folders.
     """
     path = path.rstrip("/")
-    if file_type in TEXT_TYPES:
-        _export_text_columns(df, path, rows, header, order_by, zone, plain)
-    else:
-        _export_typed_columns(df, path, rows, file_type, order_by, zone)
+    with staging(df.sparkSession):
+        if file_type in TEXT_TYPES:
+            _export_text_columns(df, path, rows, header, order_by, zone, plain)
+        else:
+            _export_typed_columns(df, path, rows, file_type, order_by, zone)
     index = {name: str(i) for i, name in enumerate(df.columns, 1)}
     text = local_rows(df.sparkSession, {"value": [json.dumps(index, ensure_ascii=False)]}, "value string")
     text.write.mode("overwrite").text(f"{path}/_{INDEX_FILE}")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowbridge.common import column, quoted, stage
+from rowbridge.common import column, quoted, stage, staging
 
 # Fixed value: a new file starts when the current one passes this size.
 DEFAULT_FILE_SIZE = "128MB"
@@ -123,8 +123,9 @@ def rewrite_table(spark: SparkSession, table: str, rows: DataFrame) -> None:
 
     The result is staged first: a table is never overwritten while it is read.
     """
-    staged = stage(rows, "rewrite")
-    staged.select(*[column(c) for c in spark.table(table).columns]).write.insertInto(table, overwrite=True)
+    with staging(spark):
+        staged = stage(rows, "rewrite").select(*[column(c) for c in spark.table(table).columns])
+        staged.write.insertInto(table, overwrite=True)
 
 
 def delete_where(df: DataFrame, condition: str) -> DataFrame:

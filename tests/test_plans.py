@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 from decimal import Decimal
+from pathlib import Path
+from urllib.parse import urlparse
 
 import pytest
 from pyspark.sql import functions as F
@@ -100,6 +102,15 @@ def test_scratch_follows_the_session():
         scratch_path(FakeSession("spark://host:7077"), "y")
 
 
+def test_finished_work_leaves_nothing_staged(spark):
+    from rowbridge.common import stage, staging
+
+    with staging(spark):
+        files = stage(spark.range(3), "short").inputFiles()
+        assert files and all(Path(urlparse(f).path).exists() for f in files)
+    assert not any(Path(urlparse(f).path).exists() for f in files)
+
+
 def test_script_statements(spark):
     text = "select ';' as a; -- one; two\n/* x;y */ select \"b;\" as `c;`;;\n select /*+ broadcast(t) */ 1 as d from range(1) t"
     assert split_statements(text) == [
