@@ -59,6 +59,20 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/rowbridge/{purpose}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def session_setting(spark: SparkSession, key: str, value: object):
+    """A setting changed for the duration of a block."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 @contextmanager
 def staging(spark: SparkSession):
     """Delete what is staged inside the block when it ends.

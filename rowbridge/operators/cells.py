@@ -137,6 +137,8 @@ def rows_to_cells(
     """
     declared = cell_columns(columns or [c for c in df.columns if c != order_by], family)
     names = [c for c in df.columns if c != order_by or any(d.qualifier == c for d in declared)]
+    if len(declared) > len(names):
+        raise ValueError("more columns are declared than the rows have")
     keyed = [i for i, c in enumerate(declared) if _is_rowkey(c, row_key)]
     if not keyed:
         raise ValueError(f"row key is not among the columns: {row_key}")

@@ -26,7 +26,7 @@ from rowbridge.operators.report import CountCheck, RowCounter
 from rowbridge.operators.splits import rowkey_bounds
 from rowbridge.operators.targets import bind_to_target
 from rowbridge.operators.transforms import apply_chain
-from rowbridge.plans.script import run_script
+from rowbridge.plans.script import execute, run_script
 from rowbridge.sinks.chunks import DEFAULT_CHUNK_ROWS, export_column_chunks, export_row_chunks
 from rowbridge.sinks.columnar import export_json, export_orc, export_parquet
 from rowbridge.sinks.delimited import export_csv, write_delimited
@@ -286,6 +286,7 @@ class Job:
             parameter.get("compress") or "NONE",
             parameter.get("maxFileSize"),
             parameter.get("location"),
+            separator(parameter.get("sep", ",")),
         )
         return counter.rows
 
@@ -329,7 +330,7 @@ class Job:
             run_statements(self.spark, self._options(name.lower(), parameter), statements)
         else:
             for statement in statements:
-                self.spark.sql(statement)
+                execute(self.spark, statement)
 
     def _run_export(self) -> dict:
         name, parameter = self._side("common")

@@ -5,8 +5,11 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from rowbridge.sinks.partitions import delete_where, rewrite_table
+
 _PIECES = re.compile(
     r"""--[^\n]*                    # line comment
       | /\*(?!\+).*?\*/             # block comment, hints stay
@@ -18,6 +21,8 @@ _PIECES = re.compile(
     re.VERBOSE | re.DOTALL,
 )
 
+_DELETE = re.compile(r"^delete\s+from\s+([\w.`]+)(?:\s+where\s+(.+))?$", re.IGNORECASE | re.DOTALL)
+
 _RESULT = re.compile(r"^\(*\s*(select|with|values|table|from|show|describe|desc|explain)\b", re.IGNORECASE)
 
 
@@ -40,6 +45,19 @@ def returns_rows(statement: str) -> bool:
     return bool(_RESULT.match(statement))
 
 
+def execute(spark: SparkSession, statement: str) -> DataFrame:
+    """Run one statement; DELETE also works on plain tables, by rewriting them."""
+    try:
+        return spark.sql(statement)
+    except AnalysisException as error:
+        delete = _DELETE.match(statement)
+        if delete is None or "UNSUPPORTED" not in (error.getCondition() or ""):
+            raise
+    table, condition = delete.groups()
+    rewrite_table(spark, table, delete_where(spark.table(table), condition or "true"))
+    return spark.range(0)
+
+
 def run_script(spark: SparkSession, statements: str | Sequence[str]) -> DataFrame | None:
     """Run statements in order; the last one's rows, or None if it returns none.
 
@@ -53,5 +71,5 @@ def run_script(spark: SparkSession, statements: str | Sequence[str]) -> DataFram
         raise ValueError("the SQL script is empty")
     result = None
     for statement in listed:
-        result = spark.sql(statement)
+        result = execute(spark, statement)
     return result if returns_rows(listed[-1]) else None

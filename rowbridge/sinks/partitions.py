@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowbridge.common import column, quoted, stage, staging
+from rowbridge.common import column, quoted, session_setting, stage, staging
 
 # Fixed value: a new file starts when the current one passes this size.
 DEFAULT_FILE_SIZE = "128MB"
@@ -65,11 +65,13 @@ def load_partition(
     compression: str = "NONE",
     max_file_size: str | None = None,
     location: str | None = None,
+    sep: str = ",",
 ) -> None:
     """Load rows into a static partition, appending or replacing only that partition.
 
     A missing table is created with the rows' types, the partition columns as
-    text. ``max_file_size`` bounds the rows per file by the measured row width.
+    text; text files become CSV tables with ``sep``. ``max_file_size`` bounds the
+    rows per file by the measured row width.
     """
     if mode not in ("insert", "overwrite"):
         raise ValueError(f"a partition load inserts or overwrites, not {mode}")
@@ -78,23 +80,20 @@ def load_partition(
     if not spark.catalog.tableExists(table):
         clauses = f" PARTITIONED BY ({', '.join(quoted(k) for k in keys)})" if keys else ""
         place = f" LOCATION '{location}'" if location else ""
+        text = file_type in ("csv", "txt", "text")
+        options = f", sep '{_literal(sep)}'" if text else ""
         spark.sql(
-            f"CREATE TABLE {table} ({_ddl(df, keys)}) USING {file_type}"
-            f" OPTIONS (compression '{compression.lower()}'){clauses}{place}"
+            f"CREATE TABLE {table} ({_ddl(df, keys)}) USING {'csv' if text else file_type}"
+            f" OPTIONS (compression '{compression.lower()}'{options}){clauses}{place}"
         )
     columns = [c for c in spark.table(table).columns if c not in keys]
     rows = df.select(*[column(c) for c in columns])
     verb = "OVERWRITE" if mode == "overwrite" else "INTO"
     spec = ", ".join(f"{quoted(k)} = '{_literal(v)}'" for k, v in keys.items())
     target = f"{table} PARTITION ({spec})" if keys else table
-    limit = "spark.sql.files.maxRecordsPerFile"
-    before = spark.conf.get(limit)
-    if max_file_size:
-        spark.conf.set(limit, rows_per_file(rows, max_file_size))
-    try:
+    limit = rows_per_file(rows, max_file_size) if max_file_size else 0
+    with session_setting(spark, "spark.sql.files.maxRecordsPerFile", limit):
         spark.sql(f"INSERT {verb} {target} SELECT * FROM {{rows}}", rows=rows)
-    finally:
-        spark.conf.set(limit, before)
 
 
 def _literal(value: str) -> str:
@@ -122,8 +121,10 @@ def rewrite_table(spark: SparkSession, table: str, rows: DataFrame) -> None:
     """Replace a table's rows by a result computed from it.
 
     The result is staged first: a table is never overwritten while it is read.
+    Partitions left without rows disappear whatever the session's overwrite mode.
     """
-    with staging(spark):
+    static = session_setting(spark, "spark.sql.sources.partitionOverwriteMode", "static")
+    with staging(spark), static:
         staged = stage(rows, "rewrite").select(*[column(c) for c in spark.table(table).columns])
         staged.write.insertInto(table, overwrite=True)
 

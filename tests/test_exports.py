@@ -214,6 +214,16 @@ def test_load_partition_replaces_only_its_partition(spark, tmp_path):
         spark.sql("drop table if exists loads")
 
 
+def test_text_table(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a|b"), (2, "c")], "id int, v string").coalesce(1)
+    try:
+        partitions.load_partition(df.where("id = 2"), "text_loads", file_type="text", sep="|", location=str(tmp_path / "t"))
+        assert contents(tmp_path / "t") == ["2|c\n"]
+        assert [tuple(r) for r in spark.table("text_loads").collect()] == [(2, "c")]
+    finally:
+        spark.sql("drop table if exists text_loads")
+
+
 def test_targets(spark):
     df = spark.createDataFrame([("12.9", "long text", "null", '""')], "a string, b string, c string, d string")
     schema = "x bigint, y string, z string, w string"

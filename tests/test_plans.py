@@ -122,6 +122,30 @@ def test_script_statements(spark):
         run_script(spark, " -- nothing\n;")
 
 
+@pytest.mark.parametrize("overwrite", ["static", "dynamic"])
+def test_script_deletes_from_a_plain_table(spark, tmp_path, overwrite):
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", overwrite)
+    try:
+        result = run_script(
+            spark,
+            f"""
+            create table loose (id int, v string, p int) using parquet partitioned by (p) location '{tmp_path}/{overwrite}';
+            insert into loose values (1, 'a;b', 1), (2, null, 1), (3, 'c', 2);
+            delete from loose where v = 'c' or v is null;
+            select id from loose
+            """,
+        )
+        assert [r.id for r in result.collect()] == [1]
+        assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == overwrite
+        run_script(spark, "delete from loose")
+        assert spark.table("loose").count() == 0
+        with pytest.raises(Exception):
+            run_script(spark, "delete from nowhere")
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+        spark.sql("drop table if exists loose")
+
+
 def test_extract(spark, persons):
     out = extract_table(persons, ["id", "age + 1 as next"], "And email like '%@test.com' and id <> '{x}'", "create_time desc")
     assert [tuple(r) for r in out.collect()] == [("5", 29), ("4", 26), ("3", 31), ("2", 23), ("1", 19)]
