@@ -89,9 +89,10 @@ def load_dimension(
     New members are numbered in the order of their natural key, so a rerun gives
     the same keys. Members already present keep their row.
     """
-    members = source.distinct()
-    if len(source.columns) > 1:
-        rest = [c for c in source.columns if c != natural_key]
+    rest = [c for c in source.columns if c != natural_key]
+    if not rest:
+        members = source.distinct()
+    else:
         first = F.min(F.struct(*[column(c) for c in rest])).alias("__rest")
         members = (
             source.groupBy(column(natural_key))

@@ -43,7 +43,7 @@ def legacy_orc(df: DataFrame) -> DataFrame:
     cells = []
     for field in df.schema.fields:
         cell, data_type = column(field.name), field.dataType
-        if isinstance(data_type, (T.IntegerType, T.LongType, T.BooleanType)):
+        if isinstance(data_type, (T.IntegralType, T.BooleanType)):
             cell = cell.cast("int") if isinstance(data_type, T.BooleanType) else cell
             cell = F.coalesce(cell.cast("bigint"), F.lit(0).cast("bigint"))
         elif kind_of(data_type) == DATE:

@@ -18,6 +18,11 @@ SEPARATORS = {
     "pipe": "|",
     "space": " ",
 }
+# The characters of which a line counts as blank.
+WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2008\u2009\u200a\u2028\u2029\u205f\u3000"
+)
 
 
 def separator(name: str | None) -> str:
@@ -35,10 +40,12 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str], skip_header: boo
     if not files:
         raise ValueError("no input path given")
     if skip_header:
-        return spark.read.csv(
+        lines = spark.read.csv(
             files, schema="value string", sep="\r", quote="\n", escape="\n", header=True, enforceSchema=True
         )
-    return spark.read.text(files).where(F.trim("value") != "")
+    else:
+        lines = spark.read.text(files).select("value")
+    return lines.where(F.trim("value", F.lit(WHITESPACE)) != "")
 
 
 def read_delimited(

@@ -56,8 +56,10 @@ def oracle(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
-def differences(spark, con, sf_dir, name, query, sql) -> str | None:
+def differences(spark, con, sf_dir, name, query, sql, inspect=None) -> str | None:
     df = query(spark, sf_dir)
+    if inspect is not None:
+        inspect(df._jdf.queryExecution().executedPlan().toString())
     got_columns, got = normal(df.columns, df.collect())
     if sql is None:
         return None

@@ -67,6 +67,8 @@ def test_reading_keeps_cells_as_they_are(spark, tmp_path):
     rows = sorted(tuple(r) for r in read_delimited(spark, paths, ["id", "v"], "|", True).fillna("<null>").collect())
     assert rows == [("#3", "b"), ("1", ' "a\\'), ("2", "<null>"), ("id", "v")]
     assert read_delimited(spark, paths, ["id", "v"], "pipe").count() == 6
+    (tmp_path / "blank.txt").write_text("\t \u3000\na\n\n", encoding="utf-8")
+    assert read_lines(spark, str(tmp_path / "blank.txt")).count() == 1
     with pytest.raises(ValueError):
         read_lines(spark, [])
 
