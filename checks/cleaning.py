@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from checks.inputs import collector, table
-from rowbridge.common import scratch_path
+from rowbridge.common import scratch_path, session_setting
 from rowbridge.functions import kinds
 from rowbridge.operators import targets
 from rowbridge.operators.transforms import apply_chain, register, register_batches
@@ -301,9 +301,11 @@ def parse_dates(spark, sf):
 def convert_date_long(spark, sf):
     events = table(spark, sf, "events").selectExpr("event_id", "ts")
     ms = kinds.convert(F.col("ts"), events.schema["ts"].dataType, "LONG")
-    rows = events.select("event_id", ms.alias("ms"))
     back = kinds.convert(F.col("ms"), T.LongType(), "DATE")
-    return rows.select("event_id", "ms", kinds.render(back, T.TimestampType()).alias("back"))
+    # Wall-clock times become instants in the zone the plan is built under.
+    with session_setting(spark, "spark.sql.session.timeZone", "UTC"):
+        rows = events.select("event_id", ms.alias("ms"))
+        return rows.select("event_id", "ms", kinds.render(back, T.TimestampType()).alias("back"))
 
 
 @check(
@@ -431,5 +433,6 @@ def export_orc_legacy(spark, sf):
         "event_id % 2 = 0 as even",
     )
     path = scratch_path(spark, "orc")
-    export_orc(rows, path, legacy_nulls=True)
+    with session_setting(spark, "spark.sql.session.timeZone", "UTC"):
+        export_orc(rows, path, legacy_nulls=True)
     return spark.read.schema(legacy_orc(rows).schema).orc(path)

@@ -24,13 +24,11 @@ from rowbridge.sources.delimited import read_delimited
 CHECKS: dict = {}
 check = collector(CHECKS)
 
-# The target holds two thirds of the customers; the source is one row per order
-# under its customer's key, so keys repeat and some are new.
-_TARGET = """
-    t as (select c_custkey, c_name, c_mktsegment, c_acctbal from customer where c_custkey % 3 <> 0)
-"""
+# The target is the customers; the source is one row per order under twice its
+# customer's key, so keys repeat and about half of them are new.
+_TARGET = "t as (select c_custkey, c_name, c_mktsegment, c_acctbal from customer)"
 _SOURCE = """
-    s0 as (select o_custkey as c_custkey, 'order ' || o_orderkey as c_name,
+    s0 as (select o_custkey * 2 as c_custkey, 'order ' || o_orderkey as c_name,
                   case when o_orderkey % 4 <> 0 then o_totalprice end as c_acctbal, o_orderkey as seq
            from orders)
 """
@@ -44,24 +42,27 @@ def _pick(order):
 
 
 def _target(spark, sf):
-    rows = table(spark, sf, "customer").where("c_custkey % 3 <> 0")
-    return rows.select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
+    return table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
 
 
 def _source(spark, sf):
     return table(spark, sf, "orders").selectExpr(
-        "o_custkey as c_custkey",
+        "o_custkey * 2 as c_custkey",
         "concat('order ', o_orderkey) as c_name",
         "case when o_orderkey % 4 <> 0 then o_totalprice end as c_acctbal",
         "o_orderkey as seq",
     )
 
 
-@check("select c_custkey, c_name, case when c_custkey % 3 <> 0 then c_mktsegment end as c_mktsegment from customer")
+@check(
+    """
+    select c_custkey, c_name, c_mktsegment from customer
+    union all select -s_suppkey - 1, s_name, null from supplier
+    """
+)
 def merge_insert(spark, sf):
-    customer = table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment")
-    target = customer.where("c_custkey % 3 <> 0")
-    source = customer.where("c_custkey % 3 = 0").select("c_custkey", "c_name")
+    target = table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    source = table(spark, sf, "supplier").selectExpr("-s_suppkey - 1 as c_custkey", "s_name as c_name")
     return merges.merge_insert(target, source, ["c_custkey"])
 
 
@@ -117,26 +118,28 @@ def _loaded(spark, name, schema, path):
 
 def _load(spark, sf, mode):
     name, path = f"checked_load_{uuid.uuid4().hex[:12]}", scratch_path(spark, "load")
-    customer = table(spark, sf, "customer").select("c_custkey", "c_name")
-    partitions.load_partition(
-        customer.where("c_custkey % 2 = 0"), name, "dt='20250719',part='it''s'", location=path
-    )
+    customer = table(spark, sf, "customer").selectExpr("c_custkey as id", "c_name as name")
+    supplier = table(spark, sf, "supplier").selectExpr("s_suppkey as id", "s_name as name")
+    day = "dt='20250719',part='it''s'"
+    partitions.load_partition(customer, name, day, location=path)
     partitions.load_partition(customer, name, {"dt": "20250720", "part": "b"}, "insert")
-    partitions.load_partition(
-        customer.where("c_custkey % 2 = 1"), name, "dt='20250719',part='it''s'", mode, max_file_size="64KB"
-    )
+    partitions.load_partition(supplier, name, day, mode, max_file_size="64KB")
     return _loaded(spark, name, spark.table(name).schema, path)
 
 
-_LOADED = "select c_custkey, c_name, '20250720' as dt, 'b' as part from customer union all select c_custkey, c_name, '20250719', 'it''s' from customer"
+_OTHER_DAY = "select c_custkey as id, c_name as name, '20250720' as dt, 'b' as part from customer"
+_SAME_DAY = "select s_suppkey, s_name, '20250719', 'it''s' from supplier"
 
 
-@check(_LOADED)
+@check(
+    f"{_OTHER_DAY} union all {_SAME_DAY}"
+    " union all select c_custkey, c_name, '20250719', 'it''s' from customer"
+)
 def load_partition_append(spark, sf):
     return _load(spark, sf, "insert")
 
 
-@check(_LOADED + " where c_custkey % 2 = 1")
+@check(f"{_OTHER_DAY} union all {_SAME_DAY}")
 def load_partition_overwrite(spark, sf):
     return _load(spark, sf, "overwrite")
 
