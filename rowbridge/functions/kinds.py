@@ -42,7 +42,7 @@ TIME_FORMAT = "HH:mm:ss"
 
 _NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 _ORDINARY = r"^[+-]?[0-9]{1,19}(\.[0-9]*)?$"
-_SCIENTIFIC = r"^[+-]?[0-9](\.[0-9]{1,18})?[eE]\+?1?[0-9]$"
+_SCIENTIFIC = r"^[+-]?[1-9][0-9]*(\.[0-9]{1,18})?[eE]\+?[0-9]+$"
 _ORDINARY_DOUBLE = r"^[+-]?[0-9]{1,19}(\.[0-9]{0,19})?([eE][+-]?[0-9]{1,2})?$"
 _ZERO = r"^[+-]?[0.]+([eE].*)?$"
 _TWO_53 = float(1 << 53)
@@ -235,7 +235,8 @@ def long_value(text: Column) -> Column:
         return F.when(F.rlike(t, F.lit(_NUMBER)), _moved_point(t))
 
     short = F.substring_index(text, ".", 1).try_cast("bigint")
-    # Eighteen digits moved to the left fit the decimal unrounded.
+    # Up to 18 digits after the point, moved to the left, fit the decimal unrounded;
+    # what has too many digits before the point for it is beyond a long as well.
     shifted = text.try_cast("decimal(38,18)").try_cast("bigint")
     return (
         F.when(F.rlike(text, F.lit(_ORDINARY)), short)

@@ -29,6 +29,10 @@ class DuplicateKeyError(ValueError):
     """A plain insert met a key that already exists."""
 
 
+def _listed(keys: str | Sequence[str]) -> list[str]:
+    return [keys] if isinstance(keys, str) else list(keys)
+
+
 def _any_null(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [column(k).isNull() for k in keys])
 
@@ -136,9 +140,10 @@ def conflicting_keys(target: DataFrame, source: DataFrame, keys: Sequence[str])
 
 
 def merge_insert(
-    target: DataFrame, source: DataFrame, keys: Sequence[str] = (), check: bool = True
+    target: DataFrame, source: DataFrame, keys: str | Sequence[str] = (), check: bool = True
 ) -> DataFrame:
     """Target plus source; an existing or repeated key raises DuplicateKeyError."""
+    keys = _listed(keys)
     rows = _prepare(target, source, keys, None, last=True, unique=True)
     if keys and check:
         clash = conflicting_keys(target, rows, keys).head(1)
@@ -150,12 +155,13 @@ def merge_insert(
 def merge_ignore(
     target: DataFrame,
     source: DataFrame,
-    keys: Sequence[str],
+    keys: str | Sequence[str],
     order_by: str | Sequence[str] | None = None,
     unique: bool = False,
     small: bool | None = None,
 ) -> DataFrame:
     """Existing rows win; of several new rows with one key the first wins."""
+    keys = _listed(keys)
     rows = _prepare(target, source, keys, order_by, last=False, unique=unique)
     rows, fits = _decide(rows, small)
     fresh = _unmatched(rows, target, keys, fits)
@@ -165,7 +171,7 @@ def merge_ignore(
 def merge_update(
     target: DataFrame,
     source: DataFrame,
-    keys: Sequence[str],
+    keys: str | Sequence[str],
     order_by: str | Sequence[str] | None = None,
     unique: bool = False,
     small: bool | None = None,
@@ -174,6 +180,7 @@ def merge_update(
 
     Columns the source does not list keep the target's value.
     """
+    keys = _listed(keys)
     rows = _prepare(target, source, keys, order_by, last=True, unique=unique)
     rows, fits = _decide(rows, small)
     listed = [c for c in rows.columns if c not in keys]
@@ -201,12 +208,13 @@ def merge_update(
 def merge_replace(
     target: DataFrame,
     source: DataFrame,
-    keys: Sequence[str],
+    keys: str | Sequence[str],
     order_by: str | Sequence[str] | None = None,
     unique: bool = False,
     small: bool | None = None,
 ) -> DataFrame:
     """Matched rows are deleted and the source rows inserted whole."""
+    keys = _listed(keys)
     rows = _prepare(target, source, keys, order_by, last=True, unique=unique)
     rows, fits = _decide(rows, small)
     gone = _keys_of(rows, keys)

@@ -33,6 +33,11 @@ def test_text_to_long(spark):
         "9.223372036854775807E18": 2**63 - 1,
         "9.223372036854775808E18": None,
         "9.9E19": None,
+        "15.000e2": 1500,
+        "123456789012345678901e0": None,
+        "1e999999999": None,
+        "0.0e50": 0,
+        "-0.123456789012345678e+18": -123456789012345678,
         "9.9999999999999999999999e0": 9,
         "99999999999999999999e-20": 0,
         "0.00000000000000000012345e20": 12,

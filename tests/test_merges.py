@@ -80,6 +80,11 @@ def test_null_source_key_fails(spark, target):
             merges.merge_update(target, source, ["k", "r"], small=small).collect()
 
 
+def test_one_key_may_be_a_name(spark):
+    df = spark.createDataFrame([(1, "a")], "id int, v string")
+    assert merges.merge_update(df, df.selectExpr("id", "'b' as v"), "id", small=True).collect() == [(1, "b")]
+
+
 def test_unknown_column_fails(spark, target):
     source = spark.createDataFrame([(1, 1, "x")], "k int, r int, nickname string")
     with pytest.raises(ValueError):
