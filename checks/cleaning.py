@@ -161,12 +161,14 @@ def _upper_segment(df, parameter):
     return df.withColumn(parameter["column"], F.upper(parameter["column"]))
 
 
-def _mask(batch, parameter):
-    batch["c_name"] = batch["c_name"].str.replace(parameter["mask"], "#", regex=False)
-    return batch
-
-
-register_batches("maskname", _mask)
+# A lambda travels to the executors whole; a named function of this module would
+# have to be importable there.
+register_batches(
+    "maskname",
+    lambda batch, parameter: batch.assign(
+        c_name=batch["c_name"].str.replace(parameter["mask"], "#", regex=False)
+    ),
+)
 
 
 @check(

@@ -38,7 +38,8 @@ def register(name: str, transform: Transform | None = None):
 def register_batches(name: str, fn: Callable, schema: str | T.StructType | None = None) -> None:
     """Register a function over pandas batches: ``fn(batch, parameter) -> batch``.
 
-    Batches arrive through Arrow; ``schema`` is needed when columns change.
+    Batches arrive through Arrow; ``schema`` is needed when columns change. A
+    function of a module needs that module on the executors (``--py-files``).
     """
 
     def run(df: DataFrame, parameter: dict) -> DataFrame:
