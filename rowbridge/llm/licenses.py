@@ -304,9 +304,12 @@ def base_places(docs: DataFrame, text: str = "text") -> DataFrame:
 
     last = words(F.element_at(gaps, -1)) + words(F.element_at(hits, -1))
     df = df.withColumn("__n_words", n_words.cast("long"))
-    found = F.array_compact(
-        F.array(*[F.when(F.exists(F.col(hits), lambda h, p=p: h.rlike("(?i)^" + phrase(p) + "$")), F.lit(label)) for p, label in BASE])
-    )
+
+    def hit(words_of_phrase: str) -> Column:
+        whole = "(?i)^" + phrase(words_of_phrase) + "$"
+        return F.exists(F.col(hits), lambda h: h.rlike(whole))
+
+    found = F.array_compact(F.array(*[F.when(hit(p), F.lit(label)) for p, label in BASE]))
     return put(
         df,
         n_words=F.col("__n_words"),

@@ -171,21 +171,21 @@ with pages_at as (
   select page_id, url, date '2024-01-01' + cast(coalesce(page_id, 0) % 366 as integer) as day,
     nullif(rtrim(lower(regexp_extract(url, '^(?:[a-z][a-z0-9+.\-]*:)?//(?:[^/?#@]*@)?([^/?#:@]*)', 1, 'i')), '.'), '') as host
   from pages
-), at as (
+), placed as (
   select *, host || regexp_replace(regexp_replace(regexp_replace(url, '^(?:[a-z][a-z0-9+.\-]*:)?//[^/?#]*', '', 'i'),
     '#.*$', ''), '/+$', '') as address from pages_at
 ), events as (
-  select 'hosts' as list, 'domain' as kind, host as value, day, page_id // 50 % 2 = 0 as active from at where page_id % 50 = 0
+  select 'hosts' as list, 'domain' as kind, host as value, day, page_id // 50 % 2 = 0 as active from placed where page_id % 50 = 0
   union all
-  select 'domains', 'domain', regexp_replace(host, '^[^.]*\.', ''), day, page_id // 400 % 3 = 1 from at where page_id % 400 = 0
+  select 'domains', 'domain', regexp_replace(host, '^[^.]*\.', ''), day, page_id // 400 % 3 = 1 from placed where page_id % 400 = 0
   union all
-  select 'pages', 'url', address, day, page_id // 20 % 4 <> 0 from at where page_id % 20 = 0
+  select 'pages', 'url', address, day, page_id // 20 % 4 <> 0 from placed where page_id % 20 = 0
 ), daily as (
   select list, kind, value, day, bool_or(active) as active from events where value is not null group by all
 ), intervals as (
   select *, coalesce(lead(day) over (partition by list, kind, value order by day), date '9999-12-31') as until from daily
 ), hits as (
-  select a.page_id, a.url, i.list from (select distinct page_id, url, host, address, day from at) a
+  select a.page_id, a.url, i.list from (select distinct page_id, url, host, address, day from placed) a
   join intervals i on i.active and a.day >= i.day and a.day < i.until and
     (case when i.kind = 'url' then a.address = i.value else a.host = i.value or ends_with(a.host, '.' || i.value) end)
 ), counted as (
@@ -193,7 +193,7 @@ with pages_at as (
 )
 select a.page_id, a.host, a.day as fetched, coalesce(c.lists, '') as lists, coalesce(c.n, 0) as n_entries,
   coalesce(c.n, 0) > 0 as blocked
-from at a left join counted c on a.page_id is not distinct from c.page_id and a.url is not distinct from c.url
+from placed a left join counted c on a.page_id is not distinct from c.page_id and a.url is not distinct from c.url
 """
 
 
