@@ -1,0 +1,215 @@
+"""The registered corpus queries against plain Python over every row."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+from collections import Counter, defaultdict
+
+import corpus_pipeline
+import duckdb
+import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
+import sentencepiece
+import xxhash
+
+from rowbridge.llm import pii, queries
+
+SPACE = "[\x20\x09-\x0d]+"
+
+
+def words(text: str | None) -> list[str]:
+    return [w for w in re.split(SPACE, text or "") if w]
+
+
+def lower(text: str) -> str:
+    return re.sub("[A-Z]+", lambda m: m.group().lower(), text)
+
+
+def sha(text: str) -> str:
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def rows(spark, name: str, folder: str) -> dict[int, dict]:
+    got = [r.asDict(recursive=True) for r in queries.QUERIES[name](spark, folder).collect()]
+    found = {r["doc_id"]: r for r in got}
+    assert len(found) == len(got)
+    return found
+
+
+def test_simhash(spark, tables, texts):
+    prints = []
+    for text in texts:
+        told = words(lower(text or ""))
+        grams = [" ".join(told[i : i + 3]) for i in range(len(told) - 2)] if len(told) > 2 else [" ".join(told)] if told else []
+        bits = Counter(b for g in grams for h in [xxhash.xxh64_intdigest(g.encode(), 42)] for b in range(64) if h >> b & 1)
+        prints.append(sum(1 << b for b, n in bits.items() if 2 * n > len(grams)))
+    component = list(range(len(prints)))
+    changed = True
+    while changed:
+        changed = False
+        for i, a in enumerate(prints):
+            for j, b in enumerate(prints):
+                if (a ^ b).bit_count() <= 2 and component[j] < component[i]:
+                    component[i], changed = component[j], True
+    got = rows(spark, "op3_simhash", tables)
+    assert {i: (r["fingerprint"], r["component_id"]) for i, r in got.items()} == {
+        i: (f"{p:016x}", component[i]) for i, p in enumerate(prints)
+    }
+
+
+def test_sentencepiece(spark, tables, texts):
+    library = sentencepiece.SentencePieceProcessor(model_file=queries.piece_model())
+    got = rows(spark, "op4_sentencepiece", tables)
+    for i, text in enumerate(texts):
+        ids = library.encode(text or "", add_eos=True)
+        expected = (len(ids), sha(" ".join(map(str, ids))), sha(library.decode(ids)))
+        assert (got[i]["n_tokens"], got[i]["ids_sha256"], got[i]["decoded_sha256"]) == expected, text
+
+
+def test_license_scan(spark, tables, texts):
+    phrases = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
+    got = rows(spark, "op5_license_scan", tables)
+    for i, text in enumerate(texts):
+        told = re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", lower(text or ""))
+        places, labels = [], set()
+        for phrase, label in phrases.items():
+            parts = phrase.split()
+            at = [k for k in range(len(told)) if told[k : k + len(parts)] == parts]
+            places += at
+            labels |= {label} if at else set()
+        r = got[i]
+        assert (r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"]) == (
+            len(told), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(labels)),
+        ), text
+        assert labels <= set(r["labels"].split(",")) and 0 <= r["score"] <= 1
+        assert r["labels"].split(",") == sorted(set(r["labels"].split(",")))
+
+
+def test_quality_rules(spark, tables, texts):
+    got = rows(spark, "op9_quality_rules", tables)
+    for i, text in enumerate(texts):
+        told = words(text)
+        lines = [x for x in (text or "").split("\n") if words(x)]
+        windows = Counter(zip(told, told[1:], told[2:], strict=False))
+        covered = {j + d for j in range(len(told) - 2) if windows[tuple(told[j : j + 3])] > 1 for d in range(3)}
+        failed = len(told) < 50 or 100 * len(covered) > 50 * len(told)
+        r = got[i]
+        assert [r[c] for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")] == [
+            len(told), sum(map(len, told)), len(re.findall("[#*$%&|<>]", text or "")), len(lines) - len(set(lines)),
+            len(covered), failed,
+        ], text
+        assert r["kept"] in (True, False) and not (failed and r["kept"])
+
+
+def test_substring_dedup(spark, tables, texts):
+    told = [words(t) for t in texts]
+    seen = Counter(tuple(w[i : i + 35]) for w in told for i in range(len(w) - 34))
+    got = rows(spark, "op10_substring_dedup", tables)
+    for i, w in enumerate(told):
+        gone = {j + d for j in range(len(w) - 34) if seen[tuple(w[j : j + 35])] > 1 for d in range(35)}
+        left = " ".join(x for j, x in enumerate(w) if j not in gone)
+        assert (got[i]["n_words"], got[i]["n_removed"], got[i]["kept_sha256"]) == (len(w), len(gone), sha(left)), i
+
+
+def test_mix_sources(spark, tables, texts):
+    docs = pq.read_table(f"{tables}/documents.parquet").to_pylist()
+    sizes = defaultdict(int)
+    for d in docs:
+        sizes[d["source"]] += len(words(d["text"]))
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: (3, 1, 2)[i % 3] for i, s in enumerate(order)}
+    target, demand, free = {}, 1.5 * sum(sizes.values()), set(order)
+    while free:
+        share = {s: demand * weight[s] / sum(weight[x] for x in free) for s in free}
+        over = {s for s in free if share[s] > 2 * sizes[s]}
+        target |= {s: 2.0 * sizes[s] for s in over} if over else share
+        demand -= sum(2.0 * sizes[s] for s in over)
+        free = free - over if over else set()
+    got = rows(spark, "op1_mix_sources", tables)
+    assert got == rows(spark, "op1_mix_sources", tables)
+    taken, largest = defaultdict(int), defaultdict(int)
+    for d in docs:
+        r, n = got[d["doc_id"]], len(words(d["text"]))
+        assert (r["size"], r["source_size"]) == (n, sizes[d["source"]])
+        assert r["target"] == pytest.approx(target[d["source"]])
+        assert r["taken"] in (0, n, 2 * n)
+        taken[d["source"]] += r["taken"]
+        largest[d["source"]] = max(largest[d["source"]], n)
+    for s in order:
+        assert abs(taken[s] - target[s]) <= largest[s]
+
+
+def test_pii_leaves_nothing_and_keeps_people_apart(spark, tables, texts):
+    got = rows(spark, "op7_pii_surrogates", tables)
+    before = {pii.canonical(e.kind, e.value) for t in texts for e in pii.find(t)}
+    for i, text in enumerate(texts):
+        entities = pii.find(text)
+        r = got[i]
+        assert r["n_entities"] == len(entities)
+        if not entities:
+            assert r["text"] == text
+        for e in entities:
+            assert e.value not in r["text"]
+    assert before
+    first = got[24]["text"]
+    mails = re.findall(r"\S+@\S+?(?=[ ,])", first)
+    assert len({m.lower() for m in mails}) == 1 and len(mails) == 6
+
+
+def test_top_k(spark, tmp_path):
+    rng = np.random.default_rng(3)
+    vectors = rng.normal(size=(300, 8)).astype("float32").tolist()
+    vectors[5], vectors[6], vectors[7] = None, [float("nan")] * 8, [None] + [1.0] * 7
+    vectors[10] = vectors[11] = vectors[12]
+    vectors[200] = [float("inf")] * 8
+    pq.write_table(
+        pa.table({"vec_id": pa.array(range(300), pa.int64()), "embedding": pa.array(vectors, pa.list_(pa.float32()))}),
+        tmp_path / "embeddings.parquet",
+    )
+    con = duckdb.connect()
+    con.execute(f"create view embeddings as select * from '{tmp_path}/embeddings.parquet'")
+    expected = con.execute(queries.OP6_SQL).fetchall()
+    got = [tuple(r) for r in queries.QUERIES["op6_top_k"](spark, str(tmp_path)).collect()]
+    assert sorted(got) == sorted(expected) and len(got) == 20
+
+
+@pytest.mark.parametrize("name", sorted(queries.QUERIES))
+def test_empty_tables(spark, empty_tables, name):
+    got = queries.QUERIES[name](spark, empty_tables).collect()
+    assert [r.conv_id for r in got] == [-1] if name == "op2_chat_format" else got == []
+
+
+def test_pipeline(spark, tables, texts):
+    """Every stage on what the stage before kept, by the plain rules of each."""
+    library = sentencepiece.SentencePieceProcessor(model_file=queries.piece_model())
+    docs = spark.read.parquet(f"{tables}/documents.parquet")
+    verdicts = rows(spark, "op9_quality_rules", tables)
+    classes = rows(spark, "op3_simhash", tables)
+    steps = {}
+    for name, apply in corpus_pipeline.STAGES:
+        docs = corpus_pipeline.stage(apply(spark, docs, tables), "test-pipeline")
+        steps[name] = [r.asDict() for r in docs.collect()]
+    kept = {i for i, r in verdicts.items() if r["kept"]}
+    assert {r["doc_id"] for r in steps["quality_rules"]} == kept
+    first = {}
+    for i in sorted(kept):
+        first.setdefault(classes[i]["component_id"], i)
+    # Classes of the kept alone may be finer than those of all documents, never coarser.
+    alone = {r["doc_id"] for r in steps["simhash_dedup"]}
+    assert set(first.values()) <= alone <= kept
+    assert len(alone) == len(steps["simhash_dedup"])
+    assert {r["doc_id"] for r in steps["pii_surrogates"]} == alone
+    for r in steps["pii_surrogates"]:
+        assert r["n_chars"] == len(r["text"])
+        assert all(e.value not in r["text"] for e in pii.find(texts[r["doc_id"]]))
+    clean = {r["doc_id"]: r for r in steps["pii_surrogates"]}
+    copies = Counter(r["doc_id"] for r in steps["mix_sources"])
+    assert set(copies) <= alone and max(copies.values()) <= 2
+    encoded = Counter()
+    for r in steps["sentencepiece"]:
+        assert list(r["ids"]) == library.encode(clean[r["doc_id"]]["text"], add_eos=True)
+        encoded[r["doc_id"]] += 1
+    assert encoded == copies
