@@ -27,6 +27,7 @@ FLOORS = (0.10, 0.05, 0.15, 0.12, 0.50)
 DIMENSIONS = len(FLOORS)
 _GRID = 256
 _BINS_PER_E = 16
+SALTS = 32
 _PAIRS = [(i, j) for i in range(DIMENSIONS) for j in range(i + 1)]
 
 
@@ -103,8 +104,14 @@ def _f(i: int) -> Column:
 
 
 def _with_distance(df: DataFrame, estimates: DataFrame) -> DataFrame:
-    """Add ``d2``, the squared Mahalanobis distance, by forward substitution."""
-    joined = df.join(estimates, "grp", "left")
+    """Add ``d2``, the squared Mahalanobis distance, by forward substitution.
+
+    Estimates are repeated per salt, so that a join that shuffles splits a group
+    over ``SALTS`` tasks, and a later aggregate combines before it gathers a group.
+    """
+    salted = estimates.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salt = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")
+    joined = df.withColumn("__salt", salt).join(salted, ["grp", "__salt"], "left").drop("__salt")
     solved: list[Column] = []
     for i in range(DIMENSIONS):
         rest = _f(i) - F.col(f"m{i}")
