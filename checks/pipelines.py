@@ -17,22 +17,21 @@ from rowbridge.sources.delimited import read_delimited
 CHECKS: dict = {}
 check = collector(CHECKS)
 
+# Days of a run share the number of breaks before them; places count the days up to each.
 _DAYS = """
-    d as (select distinct user_id, ts::date as day from events where event_type = 'purchase'),
-    n as (select *, row_number() over (partition by user_id order by day) as rn from d),
-    i as (select user_id, day, rn, day - rn::int as island from n),
-    p as (select user_id, island::varchar as island, count(*) as consecutive_days,
-                 min(day)::varchar as period_start, max(day)::varchar as period_end
-          from i group by user_id, island)
+    active as (select user_id, cast(ts as date) as day from events group by all),
+    marked as (select user_id, day, count(*) over w as place,
+                      case when day - lag(day) over w = 1 then 0 else 1 end as breaks
+               from active window w as (partition by user_id order by day)),
+    runs as (select user_id, day, place, sum(breaks) over (partition by user_id order by day) as run from marked),
+    spans as (select user_id, run, min(day) as first_day, max(day) as last_day,
+                     min(day) - cast(min(place) as integer) as island
+              from runs group by user_id, run)
 """
 
 
-def _purchases(spark, sf):
-    return table(spark, sf, "events").where("event_type = 'purchase'")
-
-
 def _days(spark, sf):
-    return flows.distinct_days(_purchases(spark, sf), "user_id", "ts")
+    return flows.distinct_days(table(spark, sf, "events"), "user_id", "ts")
 
 
 def _text(df, *names):
@@ -41,32 +40,44 @@ def _text(df, *names):
 
 @check(
     f"""
-    with {_DAYS}, m as (select user_id, max(consecutive_days) as max_consecutive_days from p group by user_id)
-    select m.user_id, max_consecutive_days, concat(period_start, ' 至 ', period_end) as longest_period
-    from m join p on m.user_id = p.user_id and max_consecutive_days = consecutive_days
-    order by max_consecutive_days desc
+    with {_DAYS}
+    select user_id, last_day - first_day + 1 as max_consecutive_days, first_day || ' 至 ' || last_day as longest_period
+    from spans
+    qualify rank() over (partition by user_id order by last_day - first_day desc) = 1
     """
 )
 def longest_streaks(spark, sf):
-    return flows.longest_streaks(_purchases(spark, sf), "user_id", "ts")
+    return flows.longest_streaks(table(spark, sf, "events"), "user_id", "ts")
 
 
-@check(f"with {_DAYS} select user_id, day::varchar as day from d")
+@check(f"with {_DAYS} select user_id, day::varchar as day from active")
 def distinct_days(spark, sf):
     return _text(_days(spark, sf), "day")
 
 
-@check(f"with {_DAYS} select user_id, day::varchar as day, rn::int as rn from n")
+@check(f"with {_DAYS} select user_id, day::varchar as day, place::int as rn from runs")
 def row_number_days(spark, sf):
     return _text(flows.numbered_days(_days(spark, sf)), "day")
 
 
-@check(f"with {_DAYS} select user_id, day::varchar as day, island::varchar as island from i")
+@check(
+    f"""
+    with {_DAYS} select user_id, day::varchar as day, island::varchar as island
+    from runs join spans using (user_id, run)
+    """
+)
 def island_key(spark, sf):
     return _text(flows.island_keys(_days(spark, sf)), "day", "island")
 
 
-@check(f"with {_DAYS} select * from p")
+@check(
+    f"""
+    with {_DAYS}
+    select user_id, island::varchar as island, last_day - first_day + 1 as consecutive_days,
+           first_day::varchar as period_start, last_day::varchar as period_end
+    from spans
+    """
+)
 def consecutive_periods(spark, sf):
     return _text(flows.consecutive_periods(_days(spark, sf)), "island", "period_start", "period_end")
 

@@ -93,10 +93,8 @@ def merge_update(spark, sf):
 
 @check(_UPDATE_SQL)
 def merge_update_large_source(spark, sf):
-    """The plan for a source beyond the broadcast limit."""
-    return merges.merge_update(
-        _target(spark, sf), _source(spark, sf), ["c_custkey"], "seq", small=False
-    )
+    """The joins as they run for a source beyond the broadcast threshold: both sides shuffled."""
+    return merges.merge_update(_target(spark, sf).hint("merge"), _source(spark, sf), ["c_custkey"], "seq")
 
 
 @check(

@@ -40,11 +40,11 @@ DATETIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 DATE_FORMAT = "yyyy-MM-dd"
 TIME_FORMAT = "HH:mm:ss"
 
-_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
-_ORDINARY = r"^[+-]?[0-9]{1,19}(\.[0-9]*)?$"
-_SCIENTIFIC = r"^[+-]?[1-9][0-9]*(\.[0-9]{1,18})?[eE]\+?[0-9]+$"
-_ORDINARY_DOUBLE = r"^[+-]?[0-9]{1,19}(\.[0-9]{0,19})?([eE][+-]?[0-9]{1,2})?$"
-_ZERO = r"^[+-]?[0.]+([eE].*)?$"
+_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\z"
+_ORDINARY = r"^[+-]?[0-9]{1,19}(\.[0-9]*)?\z"
+_SCIENTIFIC = r"^[+-]?[1-9][0-9]*(\.[0-9]{1,18})?[eE]\+?[0-9]+\z"
+_ORDINARY_DOUBLE = r"^[+-]?[0-9]{1,19}(\.[0-9]{0,19})?([eE][+-]?[0-9]{1,2})?\z"
+_ZERO = r"^[+-]?[0.]+([eE].*)?\z"
 _TWO_53 = float(1 << 53)
 _LARGEST = 1.7976931348623157e308
 

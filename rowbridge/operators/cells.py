@@ -219,7 +219,7 @@ def decode_cell(value: Column, kind: str, bits: Column | None = None) -> Column:
     """
     width = F.octet_length(value)
     text = F.make_valid_utf8(value.cast("string"))
-    digits = F.rlike(text, F.lit(r"^-?[0-9]+$"))
+    digits = F.rlike(text, F.lit(r"^-?[0-9]+\z"))
     if kind in ("int", "long"):
         wide = "int" if kind == "int" else "bigint"
         binary = (width == 8) | (width == 4) if kind == "int" else width == 8
@@ -230,7 +230,7 @@ def decode_cell(value: Column, kind: str, bits: Column | None = None) -> Column:
             .otherwise(F.lit(None).cast(wide))
         )
     if kind == "double":
-        number = F.rlike(text, F.lit(r"^-?[0-9]+(\.[0-9]+)?$"))
+        number = F.rlike(text, F.lit(r"^-?[0-9]+(\.[0-9]+)?\z"))
         return F.when(width == 8, bits_double(bits)).when(number, text.try_cast("double"))
     if kind == "bool":
         return F.when(width == 1, F.hex(value) != "00").when(

@@ -5,9 +5,8 @@ compared all together. ``order_by`` gives the order in which source rows
 arrive: the first one per key wins for *ignore*, the last one otherwise.
 Rows that tie get a fixed order by their hash.
 
-Two plans exist. A source measured to be small is broadcast and the target is
-never shuffled; otherwise both sides are shuffled once on the keys (``small``
-overrides the measurement; True asserts that the source fits a broadcast). Repeated
+There is one plan for any size: the reduced source is written once and joined
+without hints, so Spark broadcasts it below its threshold and else shuffles. Repeated
 source keys are reduced by an aggregate, which combines before the shuffle, so
 a key holding a large share of the source does not land in one task.
 """
@@ -20,7 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowbridge.common import BROADCAST_LIMIT, column, input_bytes, is_small, row_hash, stage
+from rowbridge.common import column, row_hash, stage
 
 _HIT = "__hit"
 
@@ -96,25 +95,18 @@ def _keys_of(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.select(*[column(k) for k in keys])
 
 
-def _decide(rows: DataFrame, small: bool | None) -> tuple[DataFrame, bool]:
-    """The rows and whether they may be broadcast.
+def _staged(rows: DataFrame) -> DataFrame:
+    """The reduced source, evaluated once: every plan below reads it more than once.
 
-    Rows that come from small inputs are staged: the plans below use them more
-    than once, and measuring is one of these uses.
+    Joins carry no hints: Spark broadcasts the files if they are below its
+    threshold and else shuffles, splitting skewed keys at run time.
     """
-    if small is not None:
-        return rows, small
-    if input_bytes(rows) > 16 * BROADCAST_LIMIT:
-        return rows, False
-    staged = stage(rows, "merge-source")
-    return staged, is_small(staged)
+    return stage(rows, "merge-source")
 
 
-def _unmatched(source: DataFrame, target: DataFrame, keys: Sequence[str], small: bool) -> DataFrame:
+def _unmatched(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Source rows whose key the target lacks, reading only the target's keys."""
-    present = _keys_of(target, keys)
-    if small:
-        present = present.join(F.broadcast(_keys_of(source, keys)), list(keys), "left_semi")
+    present = _keys_of(target, keys).where(~_any_null(keys))
     return source.join(present, list(keys), "left_anti")
 
 
@@ -133,8 +125,6 @@ def conflicting_keys(target: DataFrame, source: DataFrame, keys: Sequence[str])
     wanted = _keys_of(source, keys)
     repeated = wanted.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").drop("__n")
     present = _keys_of(target, keys)
-    if is_small(wanted):
-        present = present.join(F.broadcast(wanted), list(keys), "left_semi")
     existing = wanted.join(present, list(keys), "left_semi")
     return repeated.unionByName(existing)
 
@@ -144,7 +134,7 @@ def merge_insert(
 ) -> DataFrame:
     """Target plus source; an existing or repeated key raises DuplicateKeyError."""
     keys = _listed(keys)
-    rows = _prepare(target, source, keys, None, last=True, unique=True)
+    rows = _staged(_prepare(target, source, keys, None, last=True, unique=True))
     if keys and check:
         clash = conflicting_keys(target, rows, keys).head(1)
         if clash:
@@ -158,13 +148,13 @@ def merge_ignore(
     keys: str | Sequence[str],
     order_by: str | Sequence[str] | None = None,
     unique: bool = False,
-    small: bool | None = None,
 ) -> DataFrame:
     """Existing rows win; of several new rows with one key the first wins."""
     keys = _listed(keys)
+    if not keys:
+        raise ValueError("this merge needs key columns")
     rows = _prepare(target, source, keys, order_by, last=False, unique=unique)
-    rows, fits = _decide(rows, small)
-    fresh = _unmatched(rows, target, keys, fits)
+    fresh = _unmatched(_staged(rows), target, keys)
     return target.unionByName(_padded(fresh, target))
 
 
@@ -174,15 +164,16 @@ def merge_update(
     keys: str | Sequence[str],
     order_by: str | Sequence[str] | None = None,
     unique: bool = False,
-    small: bool | None = None,
 ) -> DataFrame:
     """Matched rows take the source's columns, nulls included; others are added.
 
     Columns the source does not list keep the target's value.
     """
     keys = _listed(keys)
+    if not keys:
+        raise ValueError("this merge needs key columns")
     rows = _prepare(target, source, keys, order_by, last=True, unique=unique)
-    rows, fits = _decide(rows, small)
+    rows = _staged(rows)
     listed = [c for c in rows.columns if c not in keys]
     renamed = rows.select(
         *[column(k) for k in keys],
@@ -195,14 +186,11 @@ def merge_update(
         else column(c)
         for c in target.columns
     ]
-    if fits:
-        changed = target.join(F.broadcast(renamed), list(keys), "left_outer").select(*updated)
-        fresh = _unmatched(rows, target, keys, small=True)
-        return changed.unionByName(_padded(fresh, target))
     # Null keys match nothing; kept out of the join they cannot crowd one task.
     keyed = target.where(~_any_null(keys))
-    merged = keyed.join(renamed, list(keys), "full_outer").select(*updated)
-    return merged.unionByName(target.where(_any_null(keys)))
+    changed = keyed.join(renamed, list(keys), "left_outer").select(*updated)
+    fresh = _padded(_unmatched(rows, target, keys), target)
+    return changed.unionByName(fresh).unionByName(target.where(_any_null(keys)))
 
 
 def merge_replace(
@@ -211,16 +199,14 @@ def merge_replace(
     keys: str | Sequence[str],
     order_by: str | Sequence[str] | None = None,
     unique: bool = False,
-    small: bool | None = None,
 ) -> DataFrame:
     """Matched rows are deleted and the source rows inserted whole."""
     keys = _listed(keys)
+    if not keys:
+        raise ValueError("this merge needs key columns")
     rows = _prepare(target, source, keys, order_by, last=True, unique=unique)
-    rows, fits = _decide(rows, small)
+    rows = _staged(rows)
     gone = _keys_of(rows, keys)
-    if fits:
-        kept = target.join(F.broadcast(gone), list(keys), "left_anti")
-    else:
-        keyed = target.where(~_any_null(keys))
-        kept = keyed.join(gone, list(keys), "left_anti").unionByName(target.where(_any_null(keys)))
+    keyed = target.where(~_any_null(keys))
+    kept = keyed.join(gone, list(keys), "left_anti").unionByName(target.where(_any_null(keys)))
     return kept.unionByName(_padded(rows, target))

@@ -14,7 +14,7 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowbridge.common import column, is_small, local_rows, row_hash, stage
+from rowbridge.common import column, local_rows, row_hash, stage
 
 _POSITION = "__position"
 # Fixed value: monotonically_increasing_id keeps the place in the low 33 bits.
@@ -28,13 +28,10 @@ def number_rows(
 
     Equal sort keys are spread and ordered by the hash of the row, so one key
     value holding many rows is still sorted by many tasks. Without ``order_by``
-    the rows keep the order in which they are read. Rows measured to fit a
-    broadcast are sorted in place by one task instead of being staged.
+    the rows keep the order in which they are read. The plan is the same for any
+    number of rows: a range sort, staged with places, and one offset per partition.
     """
     spark = df.sparkSession
-    if order_by and is_small(df):
-        one = df.coalesce(1).sortWithinPartitions(*order_by, row_hash(df))
-        return one.withColumn(name, F.monotonically_increasing_id())
     ordered = df.orderBy(*order_by, row_hash(df)) if order_by else df
     positioned = ordered.select("*", F.monotonically_increasing_id().alias(_POSITION))
     staged = stage(positioned, "numbered")

@@ -121,9 +121,7 @@ def test_row_chunks_match_the_golden_files(persons, tmp_path):
     assert not (tmp_path / "c" / "chunk_id=3").exists()
 
 
-@pytest.mark.parametrize("staged", [True, False])
-def test_row_numbers_are_exact(spark, staged, monkeypatch):
-    monkeypatch.setattr(numbering, "is_small", lambda df: not staged)
+def test_row_numbers_are_exact(spark):
     # A third of the rows share one sort key.
     df = spark.range(0, 9000, 1, 6).selectExpr("if(id % 3 = 0, 5, id) as k", "id as v")
     numbered = numbering.number_rows(df, ["k"])

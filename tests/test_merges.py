@@ -32,32 +32,25 @@ def check(df, expected):
 
 
 NULL_KEYED = [(None, 1, "n", 4.0), (None, 1, "n", 4.0)]
-BOTH = pytest.mark.parametrize("small", [True, False, None])
-
-
-@BOTH
-def test_ignore(target, source, small):
-    merged = merges.merge_ignore(target, source, ["k", "r"], "seq", small=small)
+def test_ignore(target, source):
+    merged = merges.merge_ignore(target, source, ["k", "r"], "seq")
     check(merged, [(1, 1, "a", 1.0), (2, 1, "b", 2.0), (2, 2, None, 3.0), (9, 9, "new", None), *NULL_KEYED])
 
 
-@BOTH
-def test_update(target, source, small):
-    merged = merges.merge_update(target, source, ["k", "r"], "seq", small=small)
+def test_update(target, source):
+    merged = merges.merge_update(target, source, ["k", "r"], "seq")
     check(merged, [(1, 1, "a", 1.0), (2, 1, "late", 2.0), (2, 2, None, 3.0), (9, 9, "newer", None), *NULL_KEYED])
 
 
-@BOTH
-def test_update_overwrites_with_null(spark, target, small):
+def test_update_overwrites_with_null(spark, target):
     source = spark.createDataFrame([(1, 1, None)], "k int, r int, name string")
-    merged = merges.merge_update(target, source, ["k", "r"], small=small)
+    merged = merges.merge_update(target, source, ["k", "r"])
     assert merged.where("k = 1").head().name is None
     assert merged.where("k = 1").head().amount == 1.0
 
 
-@BOTH
-def test_replace(target, source, small):
-    merged = merges.merge_replace(target, source, ["k", "r"], "seq", small=small)
+def test_replace(target, source):
+    merged = merges.merge_replace(target, source, ["k", "r"], "seq")
     check(merged, [(1, 1, "a", 1.0), (2, 1, "late", None), (2, 2, None, None), (9, 9, "newer", None), *NULL_KEYED])
 
 
@@ -75,14 +68,13 @@ def test_insert(spark, target, source):
 
 def test_null_source_key_fails(spark, target):
     source = spark.createDataFrame([(None, 1, "x")], "k int, r int, name string")
-    for small in (True, False):
-        with pytest.raises(PySparkException):
-            merges.merge_update(target, source, ["k", "r"], small=small).collect()
+    with pytest.raises(PySparkException):
+        merges.merge_update(target, source, ["k", "r"]).collect()
 
 
 def test_one_key_may_be_a_name(spark):
     df = spark.createDataFrame([(1, "a")], "id int, v string")
-    assert merges.merge_update(df, df.selectExpr("id", "'b' as v"), "id", small=True).collect() == [(1, "b")]
+    assert merges.merge_update(df, df.selectExpr("id", "'b' as v"), "id").collect() == [(1, "b")]
 
 
 def test_unknown_column_fails(spark, target):
@@ -91,8 +83,7 @@ def test_unknown_column_fails(spark, target):
         merges.merge_update(target, source, ["k", "r"])
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_against_plain_python_with_a_hot_key(spark, small):
+def test_against_plain_python_with_a_hot_key(spark):
     rng = random.Random(7)
     target = {k: (k, f"t{k}", float(k)) for k in range(0, 60, 2)}
     feed = [(rng.choice([8, rng.randrange(80)]), rng.choice([None, f"s{i}"]), i) for i in range(900)]
@@ -103,12 +94,12 @@ def test_against_plain_python_with_a_hot_key(spark, small):
         first.setdefault(k, name)
         last[k] = name
     got = lambda df: {r.k: (r.k, r.name, r.amount) for r in df.collect()}
-    assert got(merges.merge_ignore(t, s, ["k"], "seq", small=small)) == {
+    assert got(merges.merge_ignore(t, s, ["k"], "seq")) == {
         **{k: (k, v, None) for k, v in first.items()}, **target
     }
     updated = {k: (k, v, target[k][2] if k in target else None) for k, v in last.items()}
-    assert got(merges.merge_update(t, s, ["k"], "seq", small=small)) == {**target, **updated}
-    assert got(merges.merge_replace(t, s, ["k"], "seq", small=small)) == {
+    assert got(merges.merge_update(t, s, ["k"], "seq")) == {**target, **updated}
+    assert got(merges.merge_replace(t, s, ["k"], "seq")) == {
         **target, **{k: (k, v, None) for k, v in last.items()}
     }
 
@@ -126,10 +117,14 @@ def test_small_source_leaves_the_target_unshuffled(spark, tmp_path):
     spark.range(1000).withColumn("v", F.lit("x")).write.parquet(str(tmp_path / "t"))
     target = spark.read.parquet(str(tmp_path / "t"))
     source = spark.range(5).withColumn("v", F.lit("y"))
-    plan = executed(merges.merge_update(target, source, ["id"], unique=True, small=True))
+    plan = executed(merges.merge_update(target, source, ["id"], unique=True))
     assert "SortMergeJoin" not in plan and "FullOuter" not in plan
-    large = executed(merges.merge_update(target, source, ["id"], unique=True, small=False))
-    assert "FullOuter" in large
+
+
+def test_merges_without_keys_are_refused(target, source):
+    for merge in (merges.merge_ignore, merges.merge_update, merges.merge_replace):
+        with pytest.raises(ValueError, match="key columns"):
+            merge(target, source, [])
 
 
 def test_one_per_key_combines_before_the_shuffle(spark):

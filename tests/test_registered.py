@@ -25,6 +25,7 @@ def test_matches_sql(spark, con, name):
     def scalable(plan):
         assert "CartesianProduct" not in plan and "NestedLoop" not in plan
         assert name in ONE_ROW or "SinglePartition" not in plan
+        assert "Coalesce 1" not in plan
         assert name == "t_custom" or ("Python" not in plan and "Pandas" not in plan)
 
     assert differences(spark, con, SF, name, all_queries()[name], SQL.get(name), scalable) is None
