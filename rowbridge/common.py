@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import cache
 
 import pyarrow as pa
@@ -15,7 +16,8 @@ from pyspark.sql import types as T
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 BROADCAST_LIMIT = 64 * 1024 * 1024
 
-_scopes: list[list[str]] = []
+# Per thread or task: two jobs in one session keep their staged paths apart.
+_scopes: ContextVar[tuple[list[str], ...]] = ContextVar("scopes", default=())
 
 _FIXED_WIDTH = (
     T.BooleanType,
@@ -81,11 +83,11 @@ def staging(spark: SparkSession):
     still need their staged files.
     """
     paths: list[str] = []
-    _scopes.append(paths)
+    token = _scopes.set((*_scopes.get(), paths))
     try:
         yield
     finally:
-        _scopes.remove(paths)
+        _scopes.reset(token)
         hadoop = spark.sparkContext._jsc.hadoopConfiguration()
         for path in paths:
             target = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -96,8 +98,8 @@ def stage(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` once to the shared folder and continue from the files."""
     spark = df.sparkSession
     path = scratch_path(spark, purpose)
-    if _scopes:
-        _scopes[-1].append(path)
+    if _scopes.get():
+        _scopes.get()[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

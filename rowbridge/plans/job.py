@@ -202,9 +202,10 @@ class Job:
             export_parquet(rows, path, zone=self.zone)
         else:
             export_orc(rows, path)
-        files = self.spark.read.text(path).inputFiles()
+        # Names only: no file is opened, and the driver gets one number.
+        files = self.spark.read.format("binaryFile").load(path).select("path").count()
         return {
-            "colFileNum": len(files),
+            "colFileNum": files,
             "tableColNum": len(df.columns),
             "tableRowNum": counter.rows,
             "path": path,
@@ -227,7 +228,7 @@ class Job:
             raise ValueError("the writer lists more columns than the reader delivers")
         named = df.select(*[column(s).alias(t) for s, t in zip(df.columns, names)])
         if table in self.tables:
-            return self._merge(named, table, mode, keys)
+            return self._merge(df, names, table, mode, keys, parameter.get("orderBy"))
         if kind == "hive":
             return self._load(named, parameter, declared, mode)
         if kind not in JDBC_KINDS:
@@ -252,19 +253,41 @@ class Job:
             cells.write.mode("append").saveAsTable(table.replace(":", "."))
         return counter.rows
 
-    def _merge(self, df: DataFrame, table: str, mode: str, keys: list[str]) -> int:
+    def _merge(
+        self, df: DataFrame, names: list[str], table: str, mode: str, keys: list[str], order_by: str | list[str] | None
+    ) -> int:
+        """Merge into a named table; returns the rows found in the written source.
+
+        ``orderBy`` names reader columns that tell which row of a key came first
+        (its last one wins, or its first one under ignore). Without it a
+        repeated key has no such row, and the job stops.
+        """
         target = self.tables[table]
-        bound = bind_to_target(df, target.select(*[column(c) for c in df.columns]).schema, zone=self.zone)
-        counter = RowCounter("merged rows")
-        rows = stage(counter.watch(bound), "merge-source")
-        merges = {"insert": merge_insert, "ignore": merge_ignore, "update": merge_update, "replace": merge_replace}
+        merges = {"ignore": merge_ignore, "update": merge_update, "replace": merge_replace}
+        if mode not in ("insert", "overwrite", *merges):
+            raise ValueError(f"unknown write mode: {mode}")
+        if mode in merges and not keys:
+            raise ValueError(f"{mode} into a named table needs primaryKey")
+        order = [order_by] if isinstance(order_by, str) else list(order_by or [])
+        # Order columns ride along under names of their own: the target may have the same ones.
+        carried = {f"__order_{i}": o for i, o in enumerate(order if mode in merges else [])}
+        given = df.select(
+            *[column(s).alias(t) for s, t in zip(df.columns, names)], *[column(o).alias(c) for c, o in carried.items()]
+        )
+        wanted = [target.schema[n] for n in names] + [given.schema[c] for c in carried]
+        rows = stage(bind_to_target(given, T.StructType(wanted), zone=self.zone), "merge-source")
         if mode == "overwrite":
             self.tables[table] = rows
-        elif mode in merges:
-            self.tables[table] = merges[mode](target, rows, keys)
+        elif mode == "insert":
+            self.tables[table] = merge_insert(target, rows, keys)
         else:
-            raise ValueError(f"unknown write mode: {mode}")
-        return counter.rows
+            if not order:
+                per_key = rows.groupBy(*[column(k) for k in keys]).agg(F.count(F.lit(1)).alias("__n"))
+                repeated = per_key.where("__n > 1").drop("__n").head(1)
+                if repeated:
+                    raise ValueError(f"key {repeated[0].asDict()} comes several times: the writer needs orderBy")
+            self.tables[table] = merges[mode](target, rows, keys, order_by=list(carried))
+        return rows.count()
 
     def _load(self, df: DataFrame, parameter: dict, declared, mode: str) -> int:
         check_write_mode("hive", mode)
@@ -317,6 +340,8 @@ class Job:
             export_orc(watched, path)
         else:
             raise ValueError(f"unknown fileType: {file_type}")
+        if file_type in ("json", "parquet", "orc") and chunk <= 0:
+            return self.spark.read.schema(df.schema).format(file_type).load(path).count()
         return counter.rows
 
     # ------------------------------------------------------------- running
@@ -339,7 +364,10 @@ class Job:
         return self._export(rows, parameter)
 
     def _run_script(self) -> dict:
-        _, parameter = self._side("common")
+        name, parameter = self._side("common")
+        if name.lower() in JDBC_KINDS and (parameter.get("connection") or parameter.get("url")):
+            # Scripts are Spark SQL on Spark's tables; a connection must not be passed over in silence.
+            raise ValueError(f"scripts run in Spark SQL, not on the {name} connection of this job")
         path = (parameter.get("sqlFile") or "").strip()
         text = Path(path).read_text(encoding="utf-8") if path else parameter.get("sql") or ""
         result = run_script(self.spark, text)

@@ -5,10 +5,10 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, UnsupportedOperationException
 from pyspark.sql import DataFrame, SparkSession
 
-from rowbridge.sinks.partitions import delete_where, rewrite_table
+from rowbridge.sinks.partitions import delete_where, rewrite_table, update_where
 
 _PIECES = re.compile(
     r"""--[^\n]*                    # line comment
@@ -22,6 +22,8 @@ _PIECES = re.compile(
 )
 
 _DELETE = re.compile(r"^delete\s+from\s+([\w.`]+)(?:\s+where\s+(.+))?$", re.IGNORECASE | re.DOTALL)
+_UPDATE = re.compile(r"^update\s+([\w.`]+)\s+set\s+(.+)$", re.IGNORECASE | re.DOTALL)
+_OPENING, _CLOSING = "([", ")]"
 
 _RESULT = re.compile(r"^\(*\s*(select|with|values|table|from|show|describe|desc|explain)\b", re.IGNORECASE)
 
@@ -45,16 +47,49 @@ def returns_rows(statement: str) -> bool:
     return bool(_RESULT.match(statement))
 
 
+def parse_assignments(text: str) -> tuple[dict[str, str], str]:
+    """Assignments and condition of ``a = 1, b = f(c, d) WHERE e``; text in quotes or brackets is not cut."""
+    parts, depth, condition = [""], 0, None
+    pieces = re.findall(r"'(?:[^'\\]|\\.|'')*'|\"(?:[^\"\\]|\\.)*\"|`[^`]*`|\w+|.", text, re.DOTALL)
+    cases = 0
+    for place, piece in enumerate(pieces):
+        depth += (piece in _OPENING) - (piece in _CLOSING)
+        cases += (piece.lower() == "case") - (piece.lower() == "end")
+        if depth == 0 and cases == 0 and piece.lower() == "where":
+            condition = "".join(pieces[place + 1 :])
+            break
+        if depth == 0 and cases == 0 and piece == ",":
+            parts.append("")
+        else:
+            parts[-1] += piece
+    found = {}
+    for part in parts:
+        name, equal, value = part.partition("=")
+        if not equal or not value.strip():
+            raise ValueError(f"not an assignment: {part.strip()}")
+        found[name.strip().split(".")[-1].strip("`")] = value.strip()
+    return found, (condition or "true").strip()
+
+
 def execute(spark: SparkSession, statement: str) -> DataFrame:
-    """Run one statement; DELETE also works on plain tables, by rewriting them."""
+    """Run one statement; DELETE and UPDATE also work on plain tables, by rewriting them."""
+    delete, update = _DELETE.match(statement), _UPDATE.match(statement)
     try:
         return spark.sql(statement)
-    except AnalysisException as error:
-        delete = _DELETE.match(statement)
-        if delete is None or "UNSUPPORTED" not in (error.getCondition() or ""):
+    except (AnalysisException, UnsupportedOperationException) as error:
+        if not (delete or update) or "UNSUPPORTED" not in (error.getCondition() or ""):
             raise
-    table, condition = delete.groups()
-    rewrite_table(spark, table, delete_where(spark.table(table), condition or "true"))
+    if delete:
+        table, condition = delete.groups()
+        rows = delete_where(spark.table(table), condition or "true")
+    else:
+        table, (assignments, condition) = update.group(1), parse_assignments(update.group(2))
+        known = {c.lower(): c for c in spark.table(table).columns}
+        unknown = [c for c in assignments if c.lower() not in known]
+        if unknown:
+            raise ValueError(f"columns missing in {table}: {unknown}")
+        rows = update_where(spark.table(table), condition, {known[c.lower()]: v for c, v in assignments.items()})
+    rewrite_table(spark, table, rows)
     return spark.range(0)
 
 

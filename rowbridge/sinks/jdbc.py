@@ -7,6 +7,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rowbridge.operators.merges import one_per_key
+
 # The write modes each kind of target knows.
 WRITE_MODES = {
     "mysql": ("insert", "replace", "update", "ignore"),
@@ -50,6 +52,8 @@ def merge_statement(
     if mode == "ignore":
         return f"insert {into} {conflict} do nothing"
     assignments = ", ".join(f"{c} = excluded.{c}" for c in columns if c not in keys)
+    if not assignments:
+        return f"insert {into} {conflict} do nothing"
     return f"insert {into} {conflict} do update set {assignments}"
 
 
@@ -61,12 +65,14 @@ def run_statements(spark: SparkSession, options: dict[str, str], statements: Seq
     jvm = spark._jvm
     jvm.java.lang.Class.forName(options["driver"])
     properties = jvm.java.util.Properties()
-    for key in ("user", "password"):
+    for key in ("user", "password", "allowMultiQueries"):
         if key in options:
             properties.setProperty(key, options[key])
     connection = jvm.java.sql.DriverManager.getConnection(options["url"], properties)
     try:
         statement = connection.createStatement()
+        if options.get("sessionInitStatement"):
+            statement.execute(options["sessionInitStatement"])
         for text in wanted:
             statement.execute(text)
     finally:
@@ -91,6 +97,9 @@ def write_jdbc(
     if mode == "insert" and not keys:
         df.write.format("jdbc").options(**options, dbtable=table).mode("append").save()
         return
+    if keys and kind.lower() == "postgresql" and mode == "update":
+        # One statement may not update a row twice.
+        df = one_per_key(df, keys, None, last=True)
     staging = f"{table}_stage_{uuid.uuid4().hex[:8]}"
     run_statements(spark, options, [f"create table {staging} as select * from {table} where 1 = 0"])
     try:

@@ -86,6 +86,9 @@ def jdbc_options(kind: str, connection: dict, session: Sequence[str] = ()) -> di
         options["password"] = password
     if session:
         options["sessionInitStatement"] = "; ".join(s.rstrip("; ") for s in session)
+        if kind == "mysql" and len(session) > 1:
+            # Spark runs the list as one statement, which this driver takes only when told so.
+            options["allowMultiQueries"] = "true"
     return options
 
 

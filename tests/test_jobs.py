@@ -238,3 +238,42 @@ def test_variables(tmp_path):
     (tmp_path / "job.json").write_text('{"job": {"sqlMode": 0, "p": "${dir}/$name/${none}"}}')
     assert load_job(str(tmp_path / "job.json"), {"dir": "/data", "name": "x"})["job"]["p"] == "/data/x/${none}"
     assert substitute("$a${b}", {"a": " ", "b": "2"}) == "$a2"
+
+
+@pytest.mark.parametrize("mode, kept", [("ignore", "first"), ("update", "third"), ("replace", "third")])
+def test_write_order_decides_repeated_keys(spark, mode, kept):
+    source = spark.createDataFrame([(1, "second", 2), (1, "third", 3), (1, "first", 1)], "id int, name string, seq int")
+    target = spark.createDataFrame([(9, "old")], "id int, name string")
+    reader = {"name": "Mysql", "parameter": {"table": "source", "column": ["id", "name", "seq"]}}
+    sink = {"table": "sink", "column": ["id", "name"], "writeMode": mode, "primaryKey": ["id"]}
+    job = lambda **more: Job(spark, move(reader, {"name": "Mysql", "parameter": {**sink, **more}}), {"source": source, "sink": target})
+    ordered = job(orderBy="seq")
+    assert ordered.run()["data"] == {"read": 3, "written": 3, "matched": True}
+    assert sorted(tuple(r) for r in ordered.tables["sink"].collect()) == [(1, kept), (9, "old")]
+    with pytest.raises(ValueError, match="orderBy"):
+        job().run()
+    with pytest.raises(ValueError, match="primaryKey"):
+        job(primaryKey=[]).run()
+
+
+def test_scripts_of_other_databases_are_refused(spark):
+    script = {"job": {"sqlMode": 1, "content": [{"common": {"name": "Mysql", "parameter": {"sql": "select 1", "connection": {"ip": "h"}}}}]}}
+    with pytest.raises(ValueError, match="Spark SQL"):
+        run_job(spark, script)
+
+
+def test_update_in_scripts(spark):
+    from rowbridge.plans.script import parse_assignments, run_script
+
+    assert parse_assignments("a = concat(b, ',x'), t.`c` = case when d = 1 then 2 else 3 end where e in (1, 2)") == (
+        {"a": "concat(b, ',x')", "c": "case when d = 1 then 2 else 3 end"}, "e in (1, 2)"
+    )
+    try:
+        found = run_script(spark, """
+            create table upd using parquet as select id, cast(id as string) as name from range(4);
+            update upd set NAME = concat(name, ', where'), id = id + 10 where id > 1;
+            select * from upd order by id
+        """)
+        assert [tuple(r) for r in found.collect()] == [(0, "0"), (1, "1"), (12, "2, where"), (13, "3, where")]
+    finally:
+        spark.sql("drop table if exists upd")

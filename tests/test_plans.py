@@ -187,6 +187,7 @@ def test_database_urls_and_options():
     assert jdbc.jdbc_url("odps", odps) == "jdbc:odps:d?accessId=i;accessKey=k;endpoint=http://e"
     options = jdbc.jdbc_options("mysql", connection, ["set a = 1;", "set b = 2"])
     assert options["fetchsize"] == "1000" and options["sessionInitStatement"] == "set a = 1; set b = 2"
+    assert options["allowMultiQueries"] == "true" and "allowMultiQueries" not in jdbc.jdbc_options("mysql", connection, ["set a = 1"])
     assert jdbc.jdbc_options("odps", odps)["user"] == "i"
     with pytest.raises(ValueError):
         jdbc.jdbc_url("oracle", connection)
@@ -206,6 +207,7 @@ def test_merge_statements():
     assert text("mysql", "ignore") == "insert ignore into t (a, b) select a, b from s"
     assert text("mysql", "update").endswith("on duplicate key update a = values(a), b = values(b)")
     assert text("postgresql", "update", ["a"]).endswith("on conflict (a) do update set b = excluded.b")
+    assert text("postgresql", "update", ["a", "b"]).endswith("on conflict (a, b) do nothing")
     assert text("postgresql", "ignore", ["a"]).endswith("on conflict (a) do nothing")
     for kind, mode in (("postgresql", "replace"), ("postgresql", "update"), ("odps", "update"), ("hbase", "ignore")):
         with pytest.raises(ValueError):
