@@ -20,6 +20,7 @@ import hmac
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import count
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -70,7 +71,9 @@ CANDIDATE = (
     r"|[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2}|(?i:passw|pwd)|(?:Mrs?|Ms|Miss|Frau|Herr|Madame|Monsieur|Mme|Señora?|Sra?)\.? "
     r"|(?:[Гг]-н|[Гг]-жа|[Гг]оспожа|[Гг]осподин)\.? "
 )
-ATTEMPTS = 64
+# Draws within the shape of an entity; every later draw is longer, so a free surrogate always comes.
+SHAPED_DRAWS = 4
+_SYMBOLS = "!#$%&*+-=?^_~"
 
 
 @dataclass(frozen=True)
@@ -164,33 +167,51 @@ def _like(c: str, draws: _Draws) -> str:
     return c
 
 
+def _unlike(c: str, draws: _Draws) -> str:
+    """As ``_like``, but no character stays: letters of other scripts and symbols are drawn as well."""
+    if c.isascii() and c.isalnum() or c.isdigit():
+        return _like(c, draws)
+    if c.isalpha():
+        letters = "абвгдежзийклмнопрстуфхцчшщъыьэюя" if "Ѐ" <= c <= "ӿ" else "abcdefghijklmnopqrstuvwxyz"
+        letter = letters[draws.below(len(letters))]
+        return letter.upper() if c.isupper() else letter
+    return _SYMBOLS[draws.below(len(_SYMBOLS))]
+
+
 def surrogate(kind: str, entity: str, traits: str, attempt: int, key: bytes = KEY) -> str:
     """The canonical surrogate an entity draws at its ``attempt``-th try.
 
-    All kinds but names keep the entity's length and character classes.
+    All kinds but names keep the entity's length and character classes for the
+    first ``SHAPED_DRAWS`` tries. From then on each try is one character longer
+    (an address of numbers becomes one of the longer form), as a shape may have
+    fewer surrogates than the corpus has entities.
     """
     draws = _Draws(key, kind, entity, traits, attempt)
+    extra = max(0, attempt - SHAPED_DRAWS + 1)
     if kind == "email":
         local, _, domain = entity.partition("@")
-        made = "".join(_like(c, draws) for c in local)
+        made = "".join(_like(c, draws) for c in local + "a" * extra)
         return f"{made}@{DOMAINS[draws.below(len(DOMAINS))]}"
     if kind == "ip":
+        if extra:  # the prefix kept for documentation
+            return "2001:db8:" + ":".join(f"{draws.below(1 << 16):x}" for _ in range(6))
         return ".".join(str(1 + draws.below(254)) for _ in range(4))
     if kind == "card":
-        made = entity[0] + "".join(str(draws.below(10)) for _ in entity[2:])
+        made = entity[0] + "".join(str(draws.below(10)) for _ in range(len(entity) - 2 + extra))
         right = next(d for d in "0123456789" if _luhn(made + d))
         wrong = str((int(right) + 1 + draws.below(9)) % 10)
         return made + (right if traits == "luhn" else wrong)
     if kind == "iban":
-        body = "".join(_like(c, draws) for c in entity[4:])
+        body = "".join(_like(c, draws) for c in entity[4:] + "0" * extra)
         return f"{entity[:2]}{98 - _iban_rest(entity[:2] + '00' + body):02d}{body}"
     if kind == "ssn":
-        return f"{900 + draws.below(100)}{10 + draws.below(90)}{1000 + draws.below(9000)}"
+        made = f"{900 + draws.below(100)}{10 + draws.below(90)}{1000 + draws.below(9000)}"
+        return made + "".join(str(draws.below(10)) for _ in range(extra))
     if kind == "phone":
         keep = max(0, min(2, len(entity) - 7))
-        return entity[:keep] + "".join(str(draws.below(10)) for _ in entity[keep:])
+        return entity[:keep] + "".join(str(draws.below(10)) for _ in range(len(entity) - keep + extra))
     if kind == "key":
-        return entity[:4] + "".join("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"[draws.below(32)] for _ in entity[4:])
+        return entity[:4] + "".join("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"[draws.below(32)] for _ in range(len(entity) - 4 + extra))
     if kind == "name":
         script, gender = traits.split(" ")
         parts = len(re.split("[ -]", entity))
@@ -200,7 +221,7 @@ def surrogate(kind: str, entity: str, traits: str, attempt: int, key: bytes = KE
         for _ in range(attempt // 8):
             names.append(family[draws.below(len(family))])
         return " ".join(names)
-    return "".join(_like(c, draws) for c in entity)
+    return "".join(_unlike(c, draws) for c in entity + "a" * extra)
 
 
 def shaped(kind: str, value: str, made: str) -> str:
@@ -209,10 +230,10 @@ def shaped(kind: str, value: str, made: str) -> str:
         return made.upper() if value.isupper() else made
     if kind in ("card", "phone", "ssn"):
         left = iter(made)
-        return "".join(next(left) if c.isdigit() else c for c in value)
+        return "".join([next(left) if c.isdigit() else c for c in value] + [*left])
     if kind == "iban":
         left = iter(made)
-        return "".join(c if c == " " else next(left) for c in value)
+        return "".join([c if c == " " else next(left) for c in value] + [*left])
     return made
 
 
@@ -269,7 +290,7 @@ def assign(mentions: DataFrame, key: bytes = KEY) -> DataFrame:
     open_rows = stage(_drawn(entities.withColumn("attempt", F.lit(0)), key), "pii-drawn")
     done = None
     real = entities.select("kind", F.col("canonical").alias("made"))
-    for attempt in range(1, ATTEMPTS + 1):
+    for attempt in count(1):
         # Surrogates fixed before win over new ones, then the smallest entity by a keyed order.
         first = open_rows.groupBy("kind", "made").agg(
             F.min(F.struct(F.xxhash64(F.lit(key), "canonical").alias("h"), F.col("canonical").alias("c"))).alias("first")
@@ -284,7 +305,6 @@ def assign(mentions: DataFrame, key: bytes = KEY) -> DataFrame:
             return done
         again = lost.select("kind", "canonical", "traits", F.lit(attempt).alias("attempt"))
         open_rows = stage(_drawn(again, key), "pii-drawn")
-    raise ValueError(f"entities without a surrogate of their own after {ATTEMPTS} draws")
 
 
 def replace(text: str, entities: list[dict], made: list[str]) -> str:
