@@ -1,6 +1,8 @@
 """Personal data: every detected entity gets a keyed surrogate of its own kind.
 
-Detection finds addresses, numbers, keys and names with a title. A surrogate
+Detection finds addresses, numbers, keys, credentials after their label and
+names with a title; the full or family name of such a person is found in the
+rest of the document as well, and is the same entity. A surrogate
 keeps what the kind shows: the shape of a number, its check digits, the script
 and gender of a name. It is drawn by a keyed hash of the entity, so the same
 entity has the same surrogate in every document (coreference) and nobody
@@ -18,9 +20,13 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+import sys
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from dataclasses import replace as replace_fields
+from functools import reduce
 from itertools import count
+from operator import or_
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -53,7 +59,19 @@ FAMILY["latin", "m"] = FAMILY["latin", "f"]
 DOMAINS = ("example.com", "example.net", "example.org")
 
 _TITLE = {t: kind for kind, titles in TITLES.items() for t in titles}
-_NAME = r"(?:[A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ]+|[А-ЯЁ][а-яё]+)"
+# Letters of any script by case; a word of a name has inner capitals and apostrophes, but no possessive.
+_UPPER = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isupper() and c.isalpha())
+_LOWER = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.islower() and c.isalpha())
+_MORE = r"(?:[^\W\d_]|['’](?=[^\W\d_]{2}))"
+_WORD = rf"[{_UPPER}](?={_MORE}*[{_LOWER}]){_MORE}+"
+_INITIAL = rf"[{_UPPER}]\.(?= ?[{_UPPER}])"
+_CAPITALS = rf"[{_UPPER}](?:[{_UPPER}]|['’](?=[{_UPPER}]{{2}})){{2,}}"
+_SMALL = r"(?:(?:von|van|vom|zu|zum|zur|der|den|ter|de|del|della|da|di|du|dos|la|le|al|el|bin|ibn) )"
+_FULL_NAME = (
+    rf"{_SMALL}{{0,3}}(?:(?:{_INITIAL} ?){{0,3}}{_WORD}(?:(?:[ -]{_SMALL}{{0,3}})(?:{_INITIAL} ?){{0,2}}{_WORD}){{0,2}}"
+    rf"|{_CAPITALS}(?:[ -]{_CAPITALS}){{0,2}})"
+)
+_QUOTED_OR = r"""["']?\s{0,3}(?:=>|:=|[=:])\s{0,3}"""
 _PATTERNS: tuple[tuple[str, re.Pattern], ...] = (
     ("email", re.compile(r"(?<![\w.+%-])[\w.+%-]{1,64}@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.)+[A-Za-z]{2,24}(?![\w-])", re.ASCII)),
     ("ip", re.compile(r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?!\w|\.\d)", re.ASCII)),
@@ -62,18 +80,27 @@ _PATTERNS: tuple[tuple[str, re.Pattern], ...] = (
     ("ssn", re.compile(r"(?<![\w-])(?!000|666|9\d\d)\d{3}-(?!00)\d{2}-(?!0000)\d{4}(?![\w-])", re.ASCII)),
     ("phone", re.compile(r"(?<![\w.+-])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{1,4}(?:[ .-]?\d{2,4}){2,4}|(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4})(?![\w]|[.-]\d)", re.ASCII)),
     ("key", re.compile(r"(?<!\w)(?:AKIA|ASIA)[A-Z0-9]{16}(?!\w)", re.ASCII)),
-    ("password", re.compile(r"(?i)(?<![a-z0-9])(?:password|passwd|pwd)\s?[=:]\s?([^\s,;'\"]{4,128})", re.ASCII)),
-    ("name", re.compile(r"(?<!\w)(" + "|".join(sorted(map(re.escape, _TITLE), key=len, reverse=True)) + rf")\.? ({_NAME}(?:[ -]{_NAME}){{0,2}})(?!\w)")),
+    ("password", re.compile(r"(?i)(?<![a-z0-9])(?:password|passwd|pwd)" + _QUOTED_OR + r"""(?:"([^"\n]+)"|'([^'\n]+)'|((?:(?!&\w+=)[^\s,;'"<>]){4,}))""", re.ASCII)),
+    # A credential without quotes has a digit, or prose after a colon would count.
+    ("secret", re.compile(
+        r"(?i)(?<![a-z0-9])(?:(?:access|auth|refresh|session|bearer|id|api|client)?[_ -]?(?:token|secret)|(?:api|access|secret|private|auth)[_ -]?key|secret[_ -]?access[_ -]?key)"
+        + _QUOTED_OR
+        + r"""(?:"([\w./+=~-]{6,})"|'([\w./+=~-]{6,})'|(?=[a-z_./+=~-]*\d)([\w./+=~-]{8,})(?![\w(\[]))""",
+        re.ASCII,
+    )),
+    ("name", re.compile(r"(?<!\w)(" + "|".join(sorted(map(re.escape, _TITLE), key=len, reverse=True)) + rf")\.? ({_FULL_NAME})(?!\w)")),
 )
-# Java's search for anything one of the patterns could match: a superset, and cheap.
+# Java's search for anything one of the patterns could match: a superset, and cheap. Most characters start none of it.
 CANDIDATE = (
-    r"@|\d{1,3}\.\d{1,3}\.\d|\d(?:[ -]?\d){12}|\d{3}-\d\d-\d{4}|\+\d|\d{3}[.)-] ?\d{3}[.-]\d{4}|A(?:KI|SI)A"
-    r"|[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2}|(?i:passw|pwd)|(?:Mrs?|Ms|Miss|Frau|Herr|Madame|Monsieur|Mme|Señora?|Sra?)\.? "
-    r"|(?:[Гг]-н|[Гг]-жа|[Гг]оспожа|[Гг]осподин)\.? "
+    r"(?=[@\d+A-ZГг])(?:@|\d{1,3}\.\d{1,3}\.\d|\d(?:[ -]?\d){12}|\d{3}-\d\d-\d{4}|\+\d|\d{3}[.)-] ?\d{3}[.-]\d{4}|A(?:KI|SI)A"
+    r"|[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2}|(?:Mrs?|Ms|Miss|Frau|Herr|Madame|Monsieur|Mme|Señora?|Sra?)\.? "
+    r"|(?:[Гг]-н|[Гг]-жа|[Гг]оспожа|[Гг]осподин)\.? )"
 )
+LABELS = ("passw", "pwd", "token", "secret", "key")
+LABELLED = r"""(?i)(?:passwo?r?d|pwd|token|secret|key)["']?\s{0,3}[=:]"""
 # Draws within the shape of an entity; every later draw is longer, so a free surrogate always comes.
 SHAPED_DRAWS = 4
-_SYMBOLS = "!#$%&*+-=?^_~"
+_SYMBOLS = "!#$%*+-=?^_~"
 
 
 @dataclass(frozen=True)
@@ -82,7 +109,8 @@ class Entity:
     end: int
     kind: str
     value: str  # as it stands
-    traits: str  # what the surrogate must keep besides the shape
+    traits: str  # what the surrogate must keep besides the shape; part of a name's identity
+    person: str = ""  # of a name: the longest form the document has for it
 
 
 def _digits(text: str) -> str:
@@ -98,6 +126,38 @@ def _iban_rest(iban: str) -> int:
     return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97
 
 
+def _family(name: str) -> str:
+    return re.split("[ -]", name)[-1]
+
+
+def _people(text: str, titled: list[Entity]) -> list[Entity]:
+    """The titled names and all other mentions of their people, each with the person's full name.
+
+    A family name, or a name without title, means the fitting person introduced
+    last before it, or else the first one after it.
+    """
+
+    def nearest(at: int, fitting: list[Entity]) -> Entity:
+        return next((e for e in reversed(fitting) if e.start <= at), fitting[0])
+
+    full = [e for e in titled if _family(e.value) != e.value]
+    named: list[Entity] = []
+    for e in titled:
+        fitting = [f for f in full if f.traits == e.traits and _family(f.value) == e.value]
+        named.append(replace_fields(e, person=nearest(e.start, fitting).value if fitting else e.value))
+    words = sorted({w for e in titled for w in (e.value, _family(e.value))}, key=lambda w: (-len(w), w))
+    if not words:
+        return named
+    taken = {at for e in titled for at in range(e.start, e.end)}
+    for m in re.finditer(r"(?<!\w)(?:" + "|".join(map(re.escape, words)) + r")(?!\w)", text):
+        if m.start() not in taken:
+            said = m.group()
+            same = [e for e in named if e.value == said or _family(e.person) == said]
+            one = nearest(m.start(), same)
+            named.append(Entity(m.start(), m.end(), "name", said, one.traits, one.person))
+    return named
+
+
 def find(text: str | None) -> list[Entity]:
     """Entities from left to right; where two overlap, the earlier kind of the list wins.
 
@@ -116,9 +176,16 @@ def find(text: str | None) -> list[Entity]:
             if kind == "name":
                 script, gender = _TITLE[m.group(1)]
                 traits = f"{script} {gender}"
+            if kind in ("password", "secret") and m.lastindex == 3:
+                bare = value.rstrip(".)]}")
+                end = start + len(bare) if len(bare) >= 4 else end
+                value = m.string[start:end]
             if kind == "card":
                 traits = "luhn" if _luhn(_digits(value)) else ""
             found.append(Entity(start, end, kind, value, traits))
+    titled = [e for e in found if e.kind == "name"]
+    if titled:
+        found = [e for e in found if e.kind != "name"] + _people(text, titled)
     found.sort(key=lambda e: e.start)
     order = {kind: i for i, (kind, _) in enumerate(_PATTERNS)}
     kept: list[Entity] = []
@@ -212,6 +279,10 @@ def surrogate(kind: str, entity: str, traits: str, attempt: int, key: bytes = KE
         return entity[:keep] + "".join(str(draws.below(10)) for _ in range(len(entity) - keep + extra))
     if kind == "key":
         return entity[:4] + "".join("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"[draws.below(32)] for _ in range(len(entity) - 4 + extra))
+    if kind == "secret":
+        lower_hex = not entity.strip("0123456789abcdef")
+        made = (("0123456789abcdef"[draws.below(16)] if lower_hex else _like(c, draws)) for c in entity + "a" * extra)
+        return "".join(made)
     if kind == "name":
         script, gender = traits.split(" ")
         parts = len(re.split("[ -]", entity))
@@ -224,8 +295,10 @@ def surrogate(kind: str, entity: str, traits: str, attempt: int, key: bytes = KE
     return "".join(_unlike(c, draws) for c in entity + "a" * extra)
 
 
-def shaped(kind: str, value: str, made: str) -> str:
-    """The canonical surrogate in the spelling of a mention: its separators and its case."""
+def shaped(kind: str, value: str, made: str, entity: str | None = None) -> str:
+    """The canonical surrogate in the spelling of a mention: its separators, its case, the family name alone."""
+    if kind == "name" and entity and value != entity:
+        return " ".join(made.split(" ")[len(re.split("[ -]", entity)) - 1 :])
     if kind == "email":
         return made.upper() if value.isupper() else made
     if kind in ("card", "phone", "ssn"):
@@ -256,7 +329,7 @@ def detect(docs: DataFrame, text: str = "text", name: str = "entities") -> DataF
         for batch in batches:
             found = [
                 [
-                    {"start": e.start, "end": e.end, "kind": e.kind, "value": e.value, "canonical": canonical(e.kind, e.value), "traits": e.traits}
+                    {"start": e.start, "end": e.end, "kind": e.kind, "value": e.value, "canonical": canonical(e.kind, e.person or e.value), "traits": e.traits}
                     for e in find(t.as_py())
                 ]
                 for t in batch.column(place)
@@ -280,30 +353,35 @@ def _drawn(entities: DataFrame, key: bytes) -> DataFrame:
 
 
 def assign(mentions: DataFrame, key: bytes = KEY) -> DataFrame:
-    """(kind, canonical, made) for the distinct entities of (kind, canonical, traits) mentions.
+    """(kind, canonical, traits, made) for the distinct entities of (kind, canonical, traits) mentions.
 
     No two entities of a kind share a surrogate, and none is a real entity of
-    the corpus. An entity met with several traits has the smallest.
+    the corpus. One name with several traits is several entities.
     """
-    entities = mentions.groupBy("kind", "canonical").agg(F.min("traits").alias("traits"))
+    identity = ["kind", "canonical", "traits"]
+    entities = mentions.select(*identity).distinct()
     entities = stage(entities, "pii-entities")
     open_rows = stage(_drawn(entities.withColumn("attempt", F.lit(0)), key), "pii-drawn")
     done = None
-    real = entities.select("kind", F.col("canonical").alias("made"))
+    real = entities.select("kind", F.col("canonical").alias("made")).distinct()
     for attempt in count(1):
         # Surrogates fixed before win over new ones, then the smallest entity by a keyed order.
         first = open_rows.groupBy("kind", "made").agg(
-            F.min(F.struct(F.xxhash64(F.lit(key), "canonical").alias("h"), F.col("canonical").alias("c"))).alias("first")
+            F.min(
+                F.struct(
+                    F.xxhash64(F.lit(key), "canonical", "traits").alias("h"), F.col("canonical").alias("c"), F.col("traits").alias("t")
+                )
+            ).alias("first")
         )
         winners = first.join(real, ["kind", "made"], "left_anti")
         if done is not None:
             winners = winners.join(done.select("kind", "made"), ["kind", "made"], "left_anti")
-        won = stage(winners.select("kind", F.col("first.c").alias("canonical"), "made"), "pii-won")
+        won = stage(winners.select("kind", F.col("first.c").alias("canonical"), F.col("first.t").alias("traits"), "made"), "pii-won")
         done = won if done is None else done.unionByName(won)
-        lost = open_rows.join(won.select("kind", "canonical"), ["kind", "canonical"], "left_anti")
+        lost = open_rows.join(won.select(*identity), identity, "left_anti")
         if lost.head() is None:
             return done
-        again = lost.select("kind", "canonical", "traits", F.lit(attempt).alias("attempt"))
+        again = lost.select(*identity, F.lit(attempt).alias("attempt"))
         open_rows = stage(_drawn(again, key), "pii-drawn")
 
 
@@ -311,7 +389,7 @@ def replace(text: str, entities: list[dict], made: list[str]) -> str:
     """The text with each entity, given from left to right, in its surrogate's words."""
     parts, at = [], 0
     for e, m in zip(entities, made, strict=True):
-        parts += [text[at : e["start"]], shaped(e["kind"], e["value"], m)]
+        parts += [text[at : e["start"]], shaped(e["kind"], e["value"], m, e["canonical"])]
         at = e["end"]
     return "".join([*parts, text[at:]])
 
@@ -338,7 +416,9 @@ def pseudonymize(docs: DataFrame, text: str = "text", key: bytes = KEY) -> DataF
     given = docs.select(
         F.struct(F.lit(0).alias("_"), *others).alias("row"), column(text).cast("string").alias("text")
     )
-    suspect = F.coalesce(F.col("text").rlike(CANDIDATE), F.lit(False))
+    small = F.lower("text")
+    labelled = reduce(or_, (small.contains(label) for label in LABELS)) & F.col("text").rlike(LABELLED)
+    suspect = F.coalesce(F.col("text").rlike(CANDIDATE) | labelled, F.lit(False))
     touched = detect(given.where(suspect)).withColumn("rid", F.monotonically_increasing_id())
     # Written once: its row numbers and detections are data from here on.
     touched = stage(touched, "pii-touched")
@@ -346,7 +426,7 @@ def pseudonymize(docs: DataFrame, text: str = "text", key: bytes = KEY) -> DataF
         "rid", "i", F.col("e.kind").alias("kind"), F.col("e.canonical").alias("canonical"), F.col("e.traits").alias("traits")
     )
     chosen = stage(assign(mentions, key), "pii-surrogates")
-    met = mentions.join(chosen, ["kind", "canonical"]).select("rid", F.struct("i", "made").alias("m"))
+    met = mentions.join(chosen, ["kind", "canonical", "traits"]).select("rid", F.struct("i", "made").alias("m"))
     per_row = met.groupBy("rid").agg(F.collect_list("m").alias("made"))
     joined = touched.join(per_row, "rid", "left").select("row", "text", "entities", "made")
     schema = T.StructType([joined.schema["row"], joined.schema["text"], joined.schema["entities"]])

@@ -159,6 +159,37 @@ def test_pii_leaves_nothing_and_keeps_people_apart(spark, tables, texts):
     assert len({m.lower() for m in mails}) == 1 and len(mails) == 6
 
 
+@pytest.mark.parametrize(
+    "text,value",
+    [
+        ('token = "0123456789abcdef0123456789abcdef01234567"', "0123456789abcdef0123456789abcdef01234567"),
+        ("api_key: sk-12ab34cd56", "sk-12ab34cd56"), ('{"clientSecret": "QWErty-uiop"}', "QWErty-uiop"),
+        ('password="geheim 1"', "geheim 1"), ("pwd=geheim1&user=ada", "geheim1"), ("(password: geheim1).", "geheim1"),
+        ("pwd=" + "x" * 200, "x" * 200), ("Mr McDonald's", "McDonald"), ("Mrs O'Brien,", "O'Brien"), ("Herr Łukasz", "Łukasz"),
+        ("Frau Ada von Muster ging", "Ada von Muster"), ("Mr SMITH", "SMITH"), ("Mr J. R. Smith", "J. R. Smith"),
+    ],
+)
+def test_pii_finds(spark, text, value):
+    assert [e.value for e in pii.find(text)] == [value]
+    (got,) = pii.pseudonymize(spark.createDataFrame([(text,)], "text string")).collect()
+    assert value not in got["text"] and len(got["entities"]) == 1
+
+
+def test_pii_leaves_prose(spark):
+    assert pii.find("the secret: everything is a token: whatever; key = value; Mr Berg CEO said")[0].value == "Berg"
+    assert len(pii.find("the secret: everything is a token: whatever; key = value")) == 0
+
+
+def test_pii_people_keep_their_surrogate(spark):
+    texts = ["Mr Karl Heinz came. Karl Heinz said, Heinz did, Mr Heinz left.", "Mr Alex Berg", "Ms Alex Berg"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["row"]["doc_id"]: r["text"] for r in pii.pseudonymize(docs).collect()}
+    m = re.fullmatch(r"Mr (.+) came\. (.+) said, (.+) did, Mr (.+) left\.", got[0])
+    assert m.group(1) == m.group(2) and m.group(3) == m.group(4)
+    assert m.group(1).endswith(" " + m.group(3)) and "Heinz" not in got[0]
+    assert got[1].split()[1] in pii.GIVEN["latin", "m"] and got[2].split()[1] in pii.GIVEN["latin", "f"]
+
+
 def test_pii_shapes_with_few_surrogates(spark):
     """Entities whose shape leaves no choice, or fewer than there are entities, get one as well."""
     values = ["********", "____", "пароль", "_@x.com"] + [f"a@host{i}.com" for i in range(100)]
