@@ -16,13 +16,16 @@ offset. So a source with a third of all rows is as many tasks as any.
 
 from __future__ import annotations
 
+import re
+import sys
 from collections.abc import Callable
+from itertools import accumulate
 from math import isqrt
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowbridge.common import column, stage
+from rowbridge.common import column, local_rows, stage
 from rowbridge.llm.common import row_key, text_or_empty
 from rowbridge.operators.numbering import number_rows
 
@@ -179,3 +182,30 @@ def in_training_order(mixed: DataFrame) -> DataFrame:
     """One row per copy, (row, position), range-sorted: documents not taken are gone."""
     copies = mixed.select("row", F.explode("positions").alias("position"), "h1", "h2")
     return copies.orderBy("position", "h1", "h2").select("row", "position")
+
+
+def _file_place(name: str) -> tuple[int, int, str]:
+    """Spark numbers part files by partition, and within one by turn."""
+    found = re.match(r"part-(\d+)(?:.*-c(\d+))?", name)
+    return (int(found[1]), int(found[2] or 0), name) if found else (sys.maxsize, 0, name)
+
+
+def read_order(docs: DataFrame, name: str = "position") -> DataFrame:
+    """Add the 0-based place that each row has in the written files, whatever order they are read in.
+
+    ``docs`` are the files of one range-sorted output. Readers pack files by size,
+    so the order is taken from names and places, with one offset per file.
+    """
+    hidden = docs.metadataColumn("_metadata")
+    placed = docs.select("*", hidden["file_name"].alias("__file"), hidden["row_index"].alias("__row"))
+    counts = placed.groupBy("__file").agg(F.count(F.lit(1)).alias("n")).collect()
+    files = sorted(((c["__file"], c["n"]) for c in counts), key=lambda f: _file_place(f[0]))
+    starts = list(accumulate((n for _, n in files), initial=0))
+    offsets = local_rows(
+        docs.sparkSession, {"__file": [f for f, _ in files], "__start": starts[: len(files)]}, "__file string, __start bigint"
+    )
+    return (
+        placed.join(F.broadcast(offsets), "__file")
+        .withColumn(name, F.col("__start") + F.col("__row"))
+        .drop("__file", "__row", "__start")
+    )

@@ -14,8 +14,10 @@ import pyarrow.parquet as pq
 import pytest
 import sentencepiece
 import xxhash
+from pyspark.sql import functions as F
 
-from rowbridge.llm import pii, queries
+from rowbridge.common import session_setting
+from rowbridge.llm import mixing, pii, queries, stages
 
 SPACE = "[\x20\x09-\x0d]+"
 
@@ -270,3 +272,18 @@ def test_pipeline(spark, tables, texts):
         assert list(r["ids"]) == library.encode(clean[r["doc_id"]]["text"], add_eos=True)
         encoded[r["doc_id"]] += 1
     assert encoded == copies
+
+
+def test_pipeline_keeps_the_training_order(spark, tables):
+    """With several files of uneven size the last stage still tells the order of the mix."""
+    docs = spark.read.parquet(f"{tables}/documents.parquet")
+    mixed = mixing.mix(docs, queries.CURRICULUM, size=lambda: mixing.word_count("text"))
+    due = mixed.select("row.doc_id", F.explode("positions").alias("position"), "h1", "h2").collect()
+    expected = [r["doc_id"] for r in sorted(due, key=lambda r: (r["position"], r["h1"], r["h2"]))]
+    with session_setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
+        with session_setting(spark, "spark.sql.shuffle.partitions", "13"):
+            written = corpus_pipeline.stage(stages.mix_sources(spark, docs, tables), "test-order")
+    assert len(written.inputFiles()) > 5
+    got = stages.sentencepiece(spark, written, tables).select("position", "doc_id").collect()
+    assert [r["doc_id"] for r in sorted(got)] == expected
+    assert sorted(r["position"] for r in got) == list(range(len(expected)))
