@@ -93,8 +93,9 @@ def _best(k: int):
         parts = []
         for own, vector in zip(questions["id"], questions["v"], strict=True):
             asked = _matrix(pd.Series([vector]), width)[0]
-            # One more than k, as the question's own row may be among them.
-            left = lists.survivors(asked, min(k + 1, len(rows)))
+            # The question's own rows, one for each time its id comes here, may be among the best.
+            alike = int((ids == own).sum())
+            left = lists.survivors(asked, min(k + alike, len(rows)))
             left = left[ids[left] != own]
             scores = _scores(rows[left], asked)
             top = np.lexsort((ids[left], -scores))[:k]

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from rowbridge.common import session_setting
-from rowbridge.llm import mixing, pii, queries, stages
+from rowbridge.llm import mixing, pii, queries, stages, topk
 
 SPACE = "[\x20\x09-\x0d]+"
 
@@ -235,6 +235,19 @@ def test_top_k(spark, tmp_path):
     assert sorted(got) == sorted(expected) and len(got) == 20
 
 
+def test_top_k_of_a_repeated_question(spark):
+    """Copies of a question's own row take no place of others, also where reading stops early."""
+    rng = np.random.default_rng(5)
+    flat = [(i, [int(x) for x in rng.integers(-900, 900, 2)]) for i in range(3000)]
+    own = [(7000, [1000, 1000])] * 60 + [(7001, [-1000, 900])] * 30
+    vectors = spark.createDataFrame(flat + own, "id long, v array<long>")
+    got = topk.top_k(vectors, vectors.where("id >= 7000"), k=10).collect()
+    for q, (x, y) in {7000: (1000, 1000), 7001: (-1000, 900)}.items():
+        scored = sorted((-(a * x + b * y), i) for i, (a, b) in flat + own if i != q)
+        expected = [(i, -s) for s, i in scored[:10]]
+        assert [(r["vec_id"], r["score"]) for r in sorted(got, key=lambda r: r["rank"]) if r["query_id"] == q] == expected
+
+
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_empty_tables(spark, empty_tables, name):
     got = queries.QUERIES[name](spark, empty_tables).collect()
