@@ -300,3 +300,36 @@ def test_pipeline_keeps_the_training_order(spark, tables):
     got = stages.sentencepiece(spark, written, tables).select("position", "doc_id").collect()
     assert [r["doc_id"] for r in sorted(got)] == expected
     assert sorted(r["position"] for r in got) == list(range(len(expected)))
+
+
+def test_pipeline_drops_near_copies(spark, tables):
+    """Exactly the classes of 5-word Jaccard 0.8, against all pairs, with a common passage and a chain."""
+    rng = np.random.default_rng(11)
+    word = np.array([f"w{i}" for i in range(5000)])
+    passage = list(rng.choice(word, 40))
+    texts = []
+    for _ in range(25):
+        base = list(rng.choice(word, 100)) + passage
+        texts.append(" ".join(base))
+        for step in range(int(rng.integers(0, 6))):  # each changes what the one before had
+            base[int(rng.integers(0, 100))] = f"changed{len(texts)}"
+            texts.append(" ".join(base) + " end" * (step % 2))
+    texts += [" ".join(passage), "a b", "A  b", "", None, " ".join(passage[:-1])]
+    sets = [{tuple(t[i : i + 5]) for i in range(max(1, len(t) - 4))} if t else set() for t in (lower(x or "").split() for x in texts)]
+    root = list(range(len(texts)))
+
+    def top(i: int) -> int:
+        return i if root[i] == i else top(root[i])
+
+    for i in range(len(texts)):
+        for j in range(i):
+            union = len(sets[i] | sets[j])
+            if sets[i] == sets[j] or union and len(sets[i] & sets[j]) / union >= 0.8:
+                a, b = sorted((top(i), top(j)))
+                root[b] = a
+    docs = spark.createDataFrame(
+        [(i, t, "en", "s", len(t or "")) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long"
+    )
+    docs = corpus_pipeline.stage(docs, "test-near")
+    got = {r["doc_id"] for r in stages.simhash_dedup(spark, docs, tables).collect()}
+    assert got == {top(i) for i in range(len(texts))} and 25 < len(got) < 60
