@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowbridge.common import column
@@ -51,3 +51,20 @@ def row_key(df: DataFrame) -> tuple[Column, Column]:
     # Nulls leave a hash unchanged: the pattern of nulls is hashed as well.
     nulls = F.concat(F.lit(""), *[column(f.name).isNull().cast("string") for f in df.schema.fields])
     return F.xxhash64(nulls, *cells), F.xxhash64(F.lit(1), *cells, nulls)
+
+
+def first_rows(
+    rows: DataFrame, by: list[str], order: list[Column], k: int, rank: str = "rank", parts: tuple[int, ...] = (4096, 64)
+) -> DataFrame:
+    """The first ``k`` rows of every group with their ``rank`` (int, from 1), in rounds of bounded groups.
+
+    Each round deals the rows of a group to fewer parts by the hash of the row
+    and keeps the first ``k`` of each, so no task gets all rows of a group.
+    """
+    place = unused(rows.columns, "__place")
+    for n in parts:
+        part = F.pmod(F.xxhash64(*[column(c) for c in rows.columns]), F.lit(n))
+        window = Window.partitionBy(*[column(c) for c in by], part).orderBy(*order)
+        rows = rows.withColumn(place, F.row_number().over(window)).where(F.col(place) <= k).drop(place)
+    window = Window.partitionBy(*[column(c) for c in by]).orderBy(*order)
+    return rows.withColumn(rank, F.row_number().over(window)).where(column(rank) <= k)

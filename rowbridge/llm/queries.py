@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowbridge.common import stage
-from rowbridge.llm import chat, licenses, mixing, pieces, pii, quality, simhash, substrings, topk, urls
+from rowbridge.common import scratch_path, stage
+from rowbridge.llm import chat, licenses, mixing, phrases, pieces, pii, quality, search, simhash, substrings, tokens, topk, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -264,3 +264,103 @@ def op7_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join(F.array_sort(F.array_distinct(F.transform("entities", lambda e: e["kind"]))), ",").alias("kinds"),
         "text",
     )
+
+
+def word_tokenizer() -> str:
+    """The public tokenizer file whose tokens are counted."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+TOKEN_LIMIT = 2048
+
+
+@query()
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, by a cache that is empty when the query starts."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = tokens.count_tokens(docs, tokens.load(word_tokenizer()), scratch_path(spark, "token-counts"))
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
+
+
+_LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP12_SQL = rf"""
+with told as (
+  select doc_id, row_number() over () as row,
+    regexp_extract_all({_LOWER.format("text")}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as terms
+  from documents where text is not null
+), docs as (
+  select row, doc_id, len(terms) as n, terms from told where len(terms) > 0
+), sums as (
+  select count(*) as docs_n, cast(sum(n) as bigint) as terms_n from docs
+), counted as (
+  select row, doc_id, n, term, count(*) as tf from (select row, doc_id, n, unnest(terms) as term from docs) group by all
+), held as (
+  select term, count(*) as df from counted group by term
+), asked as (
+  select item_id, term, count(*) as times from (
+    select item_id, unnest(regexp_extract_all({_LOWER.format("text")}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+    from benchmark where text is not null
+  ) group by all
+), weighed as (
+  select item_id, term, times, cast(floor(1000 * ln((2 * docs_n + 2) / (2 * df + 1))) as bigint) as w
+  from asked join held using (term) cross join sums
+), scored as (
+  select item_id, row, doc_id,
+    cast(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs_n) // terms_n)))) as bigint) as score
+  from weighed join counted using (term) cross join sums group by all
+), ranked as (
+  select *, row_number() over (partition by item_id order by score desc, doc_id nulls last) as rank from scored where score > 0
+)
+select item_id, cast(rank as integer) as rank, doc_id, score from ranked where rank <= 20
+"""
+
+
+@query(OP12_SQL)
+def op12_reversed_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty best documents for every benchmark item."""
+    return search.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP13_SQL = rf"""
+with pieces as (
+  select coalesce(lang, 'und') as lang, row, unnest(regexp_split_to_array(told, '[.,;:!?\x0A-\x0D]')) as piece
+  from (select lang, row_number() over () as row, {_LOWER.format("coalesce(text, '')")} as told from documents)
+), listed as (
+  select lang, row_number() over () as piece, regexp_extract_all(piece, '[^\x20\x09]+') as words from pieces
+), runs as (
+  select lang, words, unnest(range(1, len(words) + 1)) as i from listed
+), totals as (
+  select lang, count(*) as n from runs group by lang
+), grams as (
+  select lang, k, array_to_string(words[i:i + k - 1], ' ') as phrase, any_value(words[i:i + k - 1]) as words, count(*) as f
+  from runs cross join (select unnest(range(1, 6)) as k)
+  where i + k - 1 <= len(words) group by lang, k, phrase having count(*) >= 100
+), longer as (
+  select lang, unnest([array_to_string(words[1:k - 1], ' '), array_to_string(words[2:k], ' ')]) as phrase, f from grams where k > 2
+), most as (
+  select lang, phrase, max(f) as f from longer group by all
+), kept as (
+  select g.* from grams g left join most m using (lang, phrase) where g.k > 1 and coalesce(100 * m.f < 100 * g.f, true)
+), cuts as (
+  select g.lang, g.phrase, g.f as a, cut, l.f as l, r.f as r, t.n,
+    cast((1000::hugeint * g.f * t.n) // (l.f::hugeint * r.f) as bigint) as score
+  from (select *, unnest(range(1, k)) as cut from kept) g
+  join grams l on l.lang = g.lang and l.phrase = array_to_string(g.words[1:cut], ' ')
+  join grams r on r.lang = g.lang and r.phrase = array_to_string(g.words[cut + 1:g.k], ' ')
+  join totals t on t.lang = g.lang
+), weakest as (
+  select *, row_number() over (partition by lang, phrase order by score, cut) as place from cuts
+), ranked as (
+  select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from weakest where place = 1
+)
+select lang, rank, phrase, a, l, r, n, score from ranked where rank <= 2000
+"""
+
+
+@query(OP13_SQL)
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2,000 collocations of every language."""
+    return phrases.collocations(table(spark, sf_dir, "documents"))

@@ -68,6 +68,7 @@ def empty_tables(tmp_path_factory, tables) -> str:
     for name, fields in {
         "conversations": [("conv_id", pa.int64()), ("turn", pa.int64()), ("role", pa.string()), ("text", pa.string())],
         "pages": [("page_id", pa.int64()), ("url", pa.string()), ("html", pa.string())],
+        "benchmark": [("item_id", pa.int64()), ("text", pa.string())],
         "embeddings": [("vec_id", pa.int64()), ("embedding", pa.list_(pa.float32()))],
     }.items():
         pq.write_table(pa.schema(fields).empty_table(), folder / f"{name}.parquet")
