@@ -40,8 +40,8 @@ class Limits:
     table_words: int = 1 << 18  # words counted at once in a task
     block_words: int = 1 << 20  # words of one dictionary
     chunk_ids: int = 1 << 16  # numbers in one row of runs
-    filter_rows: int = 1 << 21  # n-grams before a filter is made
-    filter_kept: int = 1 << 20  # counters above which a filter is handed on
+    filter_rows: int = 1 << 20  # n-grams before a filter is made
+    filter_kept: int = 1 << 19  # counters above which a filter is handed on
     least_shards: int = 1 << 10
     shard_rows: int = 1 << 20  # n-grams for a shard more
     pair_bits: int = 26  # the table of pairs has two to the power of so many bits
@@ -86,8 +86,9 @@ def _word_counts(texts: DataFrame, limits: Limits) -> DataFrame:
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 found[lang].update(tokens(text.as_py()))
-                if len(found[lang]) > limits.table_words:
-                    yield counted({lang: found.pop(lang)})
+                if sum(map(len, found.values())) > limits.table_words:
+                    yield counted(found)
+                    found.clear()
         if found:
             yield counted(found)
 
