@@ -254,25 +254,41 @@ def test_empty_tables(spark, empty_tables, name):
     assert [r.conv_id for r in got] == [-1] if name == "op2_chat_format" else got == []
 
 
+def near_classes(texts: dict[int, str | None]) -> dict[int, int]:
+    """The smallest number of each text's class: Jaccard of 0.8 over five words, by all pairs."""
+    sets = {}
+    for i, t in texts.items():
+        told = lower(t or "").split()
+        sets[i] = {tuple(told[k : k + 5]) for k in range(max(1, len(told) - 4))} if told else set()
+    root = {i: i for i in texts}
+
+    def top(i: int) -> int:
+        return i if root[i] == i else top(root[i])
+
+    for i in sets:
+        for j in sets:
+            union = len(sets[i] | sets[j])
+            if j < i and (sets[i] == sets[j] or union and len(sets[i] & sets[j]) / union >= 0.8):
+                a, b = sorted((top(i), top(j)))
+                root[b] = a
+    return {i: top(i) for i in texts}
+
+
 def test_pipeline(spark, tables, texts):
     """Every stage on what the stage before kept, by the plain rules of each."""
     library = sentencepiece.SentencePieceProcessor(model_file=queries.piece_model())
     docs = spark.read.parquet(f"{tables}/documents.parquet")
     verdicts = rows(spark, "op9_quality_rules", tables)
-    classes = rows(spark, "op3_simhash", tables)
     steps = {}
     for name, apply in corpus_pipeline.STAGES:
         docs = corpus_pipeline.stage(apply(spark, docs, tables), "test-pipeline")
         steps[name] = [r.asDict() for r in docs.collect()]
     kept = {i for i, r in verdicts.items() if r["kept"]}
     assert {r["doc_id"] for r in steps["quality_rules"]} == kept
-    first = {}
-    for i in sorted(kept):
-        first.setdefault(classes[i]["component_id"], i)
-    # Classes of the kept alone may be finer than those of all documents, never coarser.
-    alone = {r["doc_id"] for r in steps["simhash_dedup"]}
-    assert set(first.values()) <= alone <= kept
-    assert len(alone) == len(steps["simhash_dedup"])
+    alone = {r["doc_id"] for r in steps["near_dedup"]}
+    root = near_classes({i: texts[i] for i in kept})
+    assert alone == {root[i] for i in kept} and 10 not in alone and 8 in alone
+    assert len(alone) == len(steps["near_dedup"])
     assert {r["doc_id"] for r in steps["pii_surrogates"]} == alone
     for r in steps["pii_surrogates"]:
         assert r["n_chars"] == len(r["text"])
@@ -315,21 +331,10 @@ def test_pipeline_drops_near_copies(spark, tables):
             base[int(rng.integers(0, 100))] = f"changed{len(texts)}"
             texts.append(" ".join(base) + " end" * (step % 2))
     texts += [" ".join(passage), "a b", "A  b", "", None, " ".join(passage[:-1])]
-    sets = [{tuple(t[i : i + 5]) for i in range(max(1, len(t) - 4))} if t else set() for t in (lower(x or "").split() for x in texts)]
-    root = list(range(len(texts)))
-
-    def top(i: int) -> int:
-        return i if root[i] == i else top(root[i])
-
-    for i in range(len(texts)):
-        for j in range(i):
-            union = len(sets[i] | sets[j])
-            if sets[i] == sets[j] or union and len(sets[i] & sets[j]) / union >= 0.8:
-                a, b = sorted((top(i), top(j)))
-                root[b] = a
+    root = near_classes(dict(enumerate(texts)))
     docs = spark.createDataFrame(
         [(i, t, "en", "s", len(t or "")) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long"
     )
     docs = corpus_pipeline.stage(docs, "test-near")
-    got = {r["doc_id"] for r in stages.simhash_dedup(spark, docs, tables).collect()}
-    assert got == {top(i) for i in range(len(texts))} and 25 < len(got) < 60
+    got = {r["doc_id"] for r in stages.near_dedup(spark, docs, tables).collect()}
+    assert got == set(root.values()) and 25 < len(got) < 60
