@@ -68,3 +68,25 @@ def first_rows(
         rows = rows.withColumn(place, F.row_number().over(window)).where(F.col(place) <= k).drop(place)
     window = Window.partitionBy(*[column(c) for c in by]).orderBy(*order)
     return rows.withColumn(rank, F.row_number().over(window)).where(column(rank) <= k)
+
+
+_KEY_BITS = 23
+
+
+def key_bits(keys: DataFrame, key: Column) -> DataFrame:
+    """A table of 2^23 bits, one set for each key (a long); at most 2^17 rows of (word, bits) whatever the keys."""
+    slot = key.bitwiseAND(F.lit((1 << _KEY_BITS) - 1))
+    told = keys.select(slot.alias("slot"))
+    bit = "bit_or(shiftleft(1L, cast(slot & 63 as int))) as bits"
+    return told.groupBy(F.shiftright("slot", 6).alias("word")).agg(F.expr(bit))
+
+
+def may_hold(rows: DataFrame, key: Column, bits: DataFrame, name: str = "may_hold") -> DataFrame:
+    """Add ``name``: false for a key that surely is not among those of ``bits``, which is sent to all tasks."""
+    slot = key.bitwiseAND(F.lit((1 << _KEY_BITS) - 1))
+    word, held = unused([*rows.columns, name], "__word"), unused([*rows.columns, name], "__bits")
+    sent = F.broadcast(bits.select(F.col("word").alias(word), F.col("bits").alias(held)))
+    found = rows.withColumn(name, slot).join(sent, F.shiftright(column(name), 6) == column(word), "left")
+    place = column(name).bitwiseAND(F.lit(63)).cast("int")
+    set_here = F.getbit(F.coalesce(column(held), F.lit(0).cast("long")), place) == 1
+    return found.withColumn(name, set_here).drop(word, held)

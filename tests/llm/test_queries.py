@@ -338,3 +338,20 @@ def test_pipeline_drops_near_copies(spark, tables):
     docs = corpus_pipeline.stage(docs, "test-near")
     got = {r["doc_id"] for r in stages.near_dedup(spark, docs, tables).collect()}
     assert got == set(root.values()) and 25 < len(got) < 60
+
+
+def test_near_copies_of_a_crowded_shingle(spark, tables):
+    """More nodes than a block share every shingle of their prefix, some alike, most not."""
+    rng = np.random.default_rng(12)
+    passage = [f"p{i}" for i in range(40)]
+    texts = []
+    for i in range(700):
+        own = [f"x{i // 3}y{k}" for k in range(int(rng.integers(0, 12)))]
+        texts.append(" ".join(passage + own))
+    texts += [" ".join(passage)] * 30
+    docs = spark.createDataFrame(
+        [(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long"
+    )
+    docs = corpus_pipeline.stage(docs.repartition(5), "test-crowd")
+    got = {r["doc_id"] for r in stages.near_dedup(spark, docs, tables).collect()}
+    assert got == set(near_classes(dict(enumerate(texts))).values())
