@@ -355,3 +355,41 @@ def test_near_copies_of_a_crowded_shingle(spark, tables):
     docs = corpus_pipeline.stage(docs.repartition(5), "test-crowd")
     got = {r["doc_id"] for r in stages.near_dedup(spark, docs, tables).collect()}
     assert got == set(near_classes(dict(enumerate(texts))).values())
+
+
+def test_top_k_of_awkward_vectors(spark):
+    """Large components, unequal lengths, empty vectors, null ids and repeated ids."""
+    rng = np.random.default_rng(8)
+    rows = [(i % 40, rng.normal(size=rng.integers(0, 5)).tolist()) for i in range(120)]
+    rows += [(100, [3e6, -3e6]), (101, [1e300, 1.0]), (102, [-1e300, 2.0]), (103, []), (None, [9.0, 9.0]), (104, None), (101, [3e6, 3e6])]
+    vectors = topk.prepared(spark.createDataFrame(rows, "id long, x array<double>"), "id", "x")
+    got = topk.top_k(vectors, vectors.where("id >= 100 or id < 3"), k=6).collect()
+
+    def whole(v):
+        return [max(-(1 << 63), min((1 << 63) - 1, int(np.floor(1024 * x)) if abs(x) < 1e200 else int(np.sign(x)) << 64)) for x in v]
+
+    told = [(i, whole(v)) for i, v in rows if i is not None and v is not None]
+    expected = []
+    for q in sorted({i for i, _ in told if i >= 100 or i < 3}):
+        asked = min(v for i, v in told if i == q)
+        scored = sorted((-max(-(1 << 63), min((1 << 63) - 1, sum(a * b for a, b in zip(asked, v)))), i) for i, v in told if i != q)
+        expected += [(q, r, i, -s) for r, (s, i) in enumerate(scored[:6], 1)]
+    assert sorted(tuple(r) for r in got) == sorted(expected)
+
+
+def test_top_k_bounds_hold_and_stop_early():
+    rng = np.random.default_rng(9)
+    rows = rng.integers(-900, 900, (5000, 3))
+    asked = rng.integers(-900, 900, (40, 3))
+    lists = topk.Lists(rows)
+    scores = rows @ asked.T
+    up, down = np.maximum(asked.T, 0).astype(float), np.minimum(asked.T, 0).astype(float)
+    for depth in (64, 1000, 4999):
+        low, high = lists.bounds(up, down, depth)
+        assert (low <= scores).all() and (scores <= high).all()
+    found, early = lists.best(asked, np.full(40, 10))
+    assert early > 20
+    for q, (places, told) in enumerate(found):
+        best = np.sort(scores[:, q])[-10:]
+        assert (np.sort(told)[-10:] == best).all() and (scores[places, q] == told).all()
+        assert set(np.flatnonzero(scores[:, q] >= best[0])) <= set(places)
