@@ -75,6 +75,24 @@ def session_setting(spark: SparkSession, key: str, value: object):
             spark.conf.set(key, before)
 
 
+@contextmanager
+def recorded(paths: list[str]):
+    """Add the folders staged inside the block to ``paths``; nothing is deleted."""
+    token = _scopes.set((*_scopes.get(), paths))
+    try:
+        yield
+    finally:
+        _scopes.reset(token)
+
+
+def drop_staged(spark: SparkSession, paths: list[str]) -> None:
+    """Delete staged folders and forget them; rows that still read them are lost."""
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    while paths:
+        target = spark._jvm.org.apache.hadoop.fs.Path(paths.pop())
+        target.getFileSystem(hadoop).delete(target, True)
+
+
 @contextmanager
 def staging(spark: SparkSession):
     """Delete what is staged inside the block when it ends.
@@ -83,15 +101,11 @@ def staging(spark: SparkSession):
     still need their staged files.
     """
     paths: list[str] = []
-    token = _scopes.set((*_scopes.get(), paths))
     try:
-        yield
+        with recorded(paths):
+            yield
     finally:
-        _scopes.reset(token)
-        hadoop = spark.sparkContext._jsc.hadoopConfiguration()
-        for path in paths:
-            target = spark._jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(hadoop).delete(target, True)
+        drop_staged(spark, paths)
 
 
 def stage(df: DataFrame, purpose: str) -> DataFrame:
