@@ -16,7 +16,8 @@ import sentencepiece
 import xxhash
 from pyspark.sql import functions as F
 
-from rowbridge.common import session_setting
+from rowbridge import common
+from rowbridge.common import session_setting, staging
 from rowbridge.llm import mixing, pii, queries, stages, topk
 
 SPACE = "[\x20\x09-\x0d]+"
@@ -393,3 +394,16 @@ def test_top_k_bounds_hold_and_stop_early():
         best = np.sort(scores[:, q])[-10:]
         assert (np.sort(told)[-10:] == best).all() and (scores[places, q] == told).all()
         assert set(np.flatnonzero(scores[:, q] >= best[0])) <= set(places)
+
+
+def test_folders_go(spark, tables, tmp_path, monkeypatch):
+    """The pipeline leaves the last stage's folders only, and nothing stays after a block that owns the work."""
+    made = tmp_path / "shared"
+    monkeypatch.setattr(common, "_local_scratch", lambda: str(made))
+    rows = corpus_pipeline.run(spark, tables).count()
+    left = sorted(p.name.rsplit("-", 1)[0] for p in (made / "rowbridge").iterdir())
+    assert rows and left == ["pipeline-sentencepiece"]
+    with staging(spark):
+        assert queries.QUERIES["op11_token_counts"](spark, tables).count()
+        assert queries.QUERIES["op13_collocations"](spark, tables).count() >= 0
+    assert sorted(p.name.rsplit("-", 1)[0] for p in (made / "rowbridge").iterdir()) == [*left, "token-counts"]
