@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.inputs import collector, table
-from rowbridge.common import broadcast_if_small, scratch_path, stage
+from rowbridge.common import scratch_path, stage
 from rowbridge.operators.numbering import number_rows
 from rowbridge.plans import pipelines as flows
 from rowbridge.plans.job import Job
@@ -47,7 +47,7 @@ def _text(df, *names):
     """
 )
 def longest_streaks(spark, sf):
-    return flows.longest_streaks(table(spark, sf, "events"), "user_id", "ts")
+    return flows.longest_streaks(table(spark, sf, "events"), "user_id", "ts", " 至 ")
 
 
 @check(f"with {_DAYS} select user_id, day::varchar as day from active")
@@ -257,9 +257,7 @@ def _summary(spark, sf):
         F.col("discount_amount").cast("double").alias("discount_amount"),
         F.col("total_price").cast("double").alias("total_price"),
     )
-    named = fact.join(broadcast_if_small(regions), "region_id").join(
-        broadcast_if_small(products.withColumnRenamed("category", "product_category")), "product_id"
-    )
+    named = fact.join(regions, "region_id").join(products.withColumnRenamed("category", "product_category"), "product_id")
     return flows.summarize(
         named,
         "order_date",

@@ -14,25 +14,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
-BROADCAST_LIMIT = 64 * 1024 * 1024
 
 # Per thread or task: two jobs in one session keep their staged paths apart.
 _scopes: ContextVar[tuple[list[str], ...]] = ContextVar("scopes", default=())
 
-_FIXED_WIDTH = (
-    T.BooleanType,
-    T.ByteType,
-    T.ShortType,
-    T.IntegerType,
-    T.LongType,
-    T.FloatType,
-    T.DoubleType,
-    T.DateType,
-    T.TimestampType,
-    T.TimestampNTZType,
-)
-
-
 def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
@@ -118,42 +103,6 @@ def stage(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _cell_bytes(field: T.StructField) -> Column:
-    cell = column(field.name)
-    if isinstance(field.dataType, _FIXED_WIDTH):
-        return F.lit(8)
-    if isinstance(field.dataType, T.DecimalType):
-        return F.lit(16)
-    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-        return F.coalesce(F.octet_length(cell), F.lit(0)) + 16
-    return F.coalesce(F.octet_length(F.to_json(F.struct(cell))), F.lit(0)) + 16
-
-
-def input_bytes(df: DataFrame) -> int:
-    """Size of everything the plan of ``df`` reads, by Catalyst's statistics."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-
-
-def is_small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> bool:
-    """True when the rows of ``df`` are measured to take at most ``limit`` bytes.
-
-    A result of large inputs counts as large without a job; otherwise its rows
-    are measured, so a broadcast never rests on an estimate.
-    """
-    if input_bytes(df) > 16 * limit:
-        return False
-    row = F.lit(16)
-    for field in df.schema.fields:
-        row = row + _cell_bytes(field)
-    size = df.agg(F.sum(row.cast("bigint"))).head()[0]
-    return (size or 0) <= limit
-
-
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
-    return F.broadcast(df) if is_small(df, limit) else df
-
-
 def local_rows(spark: SparkSession, columns: dict[str, list], schema: str) -> DataFrame:
     """A few driver-side rows as a relation whose size Catalyst knows."""
     return spark.createDataFrame(pa.table(columns)).to(T.StructType.fromDDL(schema))

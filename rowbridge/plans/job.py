@@ -22,7 +22,7 @@ from rowbridge.functions.kinds import canonicalize, spark_type
 from rowbridge.operators.cells import cell_columns, cells_to_rows, rows_to_cells
 from rowbridge.operators.merges import merge_ignore, merge_insert, merge_replace, merge_update
 from rowbridge.operators.numbering import row_chunks
-from rowbridge.operators.report import CountCheck, RowCounter
+from rowbridge.operators.report import CountCheck, RowCounter, written_rows
 from rowbridge.operators.splits import rowkey_bounds
 from rowbridge.operators.targets import bind_to_target
 from rowbridge.operators.transforms import apply_chain
@@ -326,23 +326,19 @@ class Job:
         if names and len(names) == len(df.columns):
             df = df.toDF(*names)
         chunk = int(parameter.get("chunkSize") or -1)
-        counter = RowCounter("text rows")
-        watched = counter.watch(df)
         if chunk > 0:
-            export_row_chunks(watched, path, chunk, file_type, sep, header, zone=self.zone, plain=True)
+            export_row_chunks(df, path, chunk, file_type, sep, header, zone=self.zone, plain=True)
         elif file_type in ("csv", "txt"):
-            write_delimited(watched, path, sep, header, zone=self.zone)
+            write_delimited(df, path, sep, header, zone=self.zone)
         elif file_type == "json":
-            export_json(watched, path, zone=self.zone)
+            export_json(df, path, zone=self.zone)
         elif file_type == "parquet":
-            export_parquet(watched, path, zone=self.zone)
+            export_parquet(df, path, zone=self.zone)
         elif file_type == "orc":
-            export_orc(watched, path)
+            export_orc(df, path)
         else:
             raise ValueError(f"unknown fileType: {file_type}")
-        if file_type in ("json", "parquet", "orc") and chunk <= 0:
-            return self.spark.read.schema(df.schema).format(file_type).load(path).count()
-        return counter.rows
+        return written_rows(self.spark, path, file_type, header)
 
     # ------------------------------------------------------------- running
 

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowbridge.common import broadcast_if_small, column, stage
+from rowbridge.common import column, stage
 from rowbridge.operators.merges import merge_update
 from rowbridge.operators.numbering import number_rows
 
@@ -45,9 +45,9 @@ def consecutive_periods(days: DataFrame) -> DataFrame:
 
 
 def longest_streaks(
-    events: DataFrame, user: str, ts: str, joiner: str = " 至 ", ordered: bool = True
+    events: DataFrame, user: str, ts: str, joiner: str, ordered: bool = True
 ) -> DataFrame:
-    """Longest runs per user, ties kept, longest first.
+    """Longest runs per user, ties kept, longest first; ``joiner`` stands between first and last day.
 
     The maximum is taken over the same partitioning by user instead of joining
     the runs with their maxima.
@@ -87,7 +87,8 @@ def load_dimension(
     """Existing members plus the new ones, numbered on from the largest key.
 
     New members are numbered in the order of their natural key, so a rerun gives
-    the same keys. Members already present keep their row.
+    the same keys. Members already present keep their row. The result is written
+    once, so joins with it know its size and do not number it again.
     """
     rest = [c for c in source.columns if c != natural_key]
     if not rest:
@@ -101,7 +102,7 @@ def load_dimension(
         )
     top = 0
     if existing is not None:
-        known = broadcast_if_small(existing.select(column(natural_key)))
+        known = existing.select(column(natural_key))
         members = members.join(known, natural_key, "left_anti")
         top = existing.agg(F.max(column(surrogate_key))).head()[0] or 0
     # Sorting samples its input first; staged members are not computed twice.
@@ -111,10 +112,9 @@ def load_dimension(
         *[column(c) for c in members.columns],
     )
     if existing is None:
-        return fresh
-    return existing.unionByName(
-        fresh.select(*[column(f.name).cast(f.dataType).alias(f.name) for f in existing.schema.fields])
-    )
+        return stage(fresh, "dimension")
+    added = fresh.select(*[column(f.name).cast(f.dataType).alias(f.name) for f in existing.schema.fields])
+    return stage(existing.unionByName(added), "dimension")
 
 
 def load_fact(
@@ -123,13 +123,13 @@ def load_fact(
     """Inner joins of a source with its dimensions, adding their surrogate keys.
 
     Each dimension is (table, its natural key, its surrogate key, source column).
-    Dimensions measured to be small are broadcast, so a value shared by many
-    facts needs no shuffle; larger ones are shuffled and AQE splits skew.
+    The joins have no hints: Spark broadcasts a dimension below its threshold, and
+    else shuffles and splits a value that many facts share.
     """
     fact = source
     for i, (table, natural, surrogate, name) in enumerate(dimensions):
         side = table.select(column(natural).alias(f"__n{i}"), column(surrogate))
-        fact = fact.join(broadcast_if_small(side), column(name) == F.col(f"__n{i}")).drop(f"__n{i}")
+        fact = fact.join(side, column(name) == F.col(f"__n{i}")).drop(f"__n{i}")
     return fact
 
 

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+from datetime import date
 from decimal import Decimal
 from pathlib import Path
 from urllib.parse import urlparse
@@ -7,7 +8,7 @@ from urllib.parse import urlparse
 import pytest
 from pyspark.sql import functions as F
 
-from rowbridge.common import input_bytes, is_small, scratch_path
+from rowbridge.common import scratch_path
 from rowbridge.plans import pipelines as flows
 from rowbridge.plans.script import returns_rows, run_script, split_statements
 from rowbridge.sinks.jdbc import check_write_mode, merge_statement
@@ -19,74 +20,74 @@ def executed(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_login_streaks(spark):
-    days = {1: [1, 2, 3, 4, 5, 8, 9, 12], 2: [1, 2, 3, 5, 6, 7], 3: [1, 3, 5, 7]}
-    rows = [(u, f"2023-01-{d:02d} {8 + d % 3:02d}:15:00") for u, ds in days.items() for d in ds]
-    logins = spark.createDataFrame(rows + rows[:3], "user_id int, t string").withColumn(
-        "login_time", F.col("t").cast("timestamp")
-    )
-    got = [tuple(r) for r in flows.longest_streaks(logins, "user_id", "login_time").collect()]
-    day = "2023-01-0{}".format
-    assert got == [
-        (1, 5, f"{day(1)} 至 {day(5)}"),
-        (2, 3, f"{day(1)} 至 {day(3)}"),
-        (2, 3, f"{day(5)} 至 {day(7)}"),
-        *[(3, 1, f"{day(d)} 至 {day(d)}") for d in (1, 3, 5, 7)],
-    ]
+def test_streaks_against_plain_days(spark):
+    """Runs over month ends and a leap day, repeated visits in one day, ties, single days."""
+    visits = {
+        "ada": ["2024-02-27", "2024-02-28", "2024-02-29", "2024-03-01", "2024-03-03"],
+        "bo": ["2021-12-31", "2022-01-01", "2021-06-10", "2021-06-11", "2020-05-05"],
+        "cy": ["2022-08-08"],
+    }
+    rows = [(u, f"{d} {h:02d}:59:59") for u, days in visits.items() for d in days for h in (0, 23)]
+    events = spark.createDataFrame(rows, "who string, t string").withColumn("seen", F.col("t").cast("timestamp"))
+    expected = []
+    for who, days in visits.items():
+        numbers = sorted(date.fromisoformat(d).toordinal() for d in days)
+        runs = [[d for d in numbers if d - numbers.index(d) == key] for key in {d - i for i, d in enumerate(numbers)}]
+        longest = max(map(len, runs))
+        expected += [
+            (who, longest, f"{date.fromordinal(r[0])}..{date.fromordinal(r[-1])}") for r in runs if len(r) == longest
+        ]
+    got = [tuple(r) for r in flows.longest_streaks(events, "who", "seen", "..").collect()]
+    assert got == sorted(expected, key=lambda r: (-r[1], r[0], r[2])) and len(got) == 4
 
 
 def test_streaks_shuffle_twice(spark):
     logins = spark.range(0, 10, 1, 4).selectExpr("id % 3 as u", "timestamp_seconds(id * 90000) as t")
-    plan = executed(flows.longest_streaks(logins, "u", "t", ordered=False))
+    plan = executed(flows.longest_streaks(logins, "u", "t", "-", ordered=False))
     assert plan.count("Exchange hashpartitioning") == 2
 
 
-def test_sales_star(spark):
-    sales = spark.createDataFrame(
+def test_star_of_harvests(spark):
+    """Members keep or get keys in the order of their names; facts take them with text made into numbers and days."""
+    rows = spark.createDataFrame(
         [
-            ("ORD1001", "Laptop", 1, Decimal("999.99"), "2023-05-15", "North", "10%"),
-            ("ORD1002", "Mouse", 2, Decimal("25.50"), "15/05/2023", "South", "5"),
-            ("ORD1005", "Headphones", 3, Decimal("79.99"), "2023-05-17", "West", "8"),
-            ("ORD1006", "USB Cable", 5, Decimal("9.99"), "17/06/2023", "South", "0"),
-            ("ORD1009", "Desk", 1, None, "soon", "South", None),
+            ("h-7", "quince", 12, Decimal("3.10"), "2031-02-28", "25%"),
+            ("h-2", "fig", 4, Decimal("8.25"), "28/02/2031", "4"),
+            ("h-9", "olive", 100, Decimal("0.40"), "09/11/2030", "0"),
+            ("h-4", "medlar", 1, None, "later", None),
         ],
-        "order_id string, product_name string, quantity int, unit_price decimal(10,2), order_date string,"
-        " region string, discount string",
+        "harvest string, fruit string, baskets int, price decimal(10,2), picked string, rebate string",
     )
-    categories = {"Computers": ["Laptop", "Monitor"], "Accessories": ["Mouse", "Keyboard", "Mouse Pad"]}
-    members = sales.select("product_name", flows.categorize(F.col("product_name"), categories).alias("category"))
-    known = spark.createDataFrame([(40, "Mouse", "kept")], "product_id int, product_name string, category string")
-    products = flows.load_dimension(known, members, "product_name", "product_id")
-    assert {r.product_name: (r.product_id, r.category) for r in products.collect()} == {
-        "Mouse": (40, "kept"),
-        "Desk": (41, "Other"),
-        "Headphones": (42, "Other"),
-        "Laptop": (43, "Computers"),
-        "USB Cable": (44, "Other"),
+    kinds = {"stone": ["olive", "plum"], "seeded": ["quince", "medlar"]}
+    members = rows.select("fruit", flows.categorize(F.col("fruit"), kinds, "soft").alias("kind"))
+    known = spark.createDataFrame([(7, "olive", "kept")], "fruit_id int, fruit string, kind string")
+    fruits = flows.load_dimension(known, members, "fruit", "fruit_id")
+    assert {r.fruit: (r.fruit_id, r.kind) for r in fruits.collect()} == {
+        "olive": (7, "kept"), "fig": (8, "soft"), "medlar": (9, "seeded"), "quince": (10, "seeded"),
     }
-    amount = F.col("quantity") * F.col("unit_price")
-    fact = flows.load_fact(sales, [(products, "product_name", "product_id", "product_name")]).select(
-        "order_id",
-        "product_id",
-        flows.parse_discount(amount, F.col("discount")).cast("decimal(10,2)").alias("off"),
-        flows.mixed_dates(F.col("order_date")).cast("string").alias("day"),
+    worth = F.col("baskets") * F.col("price")
+    fact = flows.load_fact(rows, [(fruits, "fruit", "fruit_id", "fruit")]).select(
+        "harvest", "fruit_id", flows.parse_discount(worth, F.col("rebate")).cast("decimal(10,2)").alias("off"),
+        flows.mixed_dates(F.col("picked")).cast("string").alias("day"),
     )
-    assert {r.order_id: (r.product_id, r.off, r.day) for r in fact.collect()} == {
-        "ORD1001": (43, Decimal("100.00"), "2023-05-15"),
-        "ORD1002": (40, Decimal("2.55"), "2023-05-15"),
-        "ORD1005": (42, Decimal("19.20"), "2023-05-17"),
-        "ORD1006": (44, Decimal("0.00"), "2023-06-17"),
-        "ORD1009": (41, None, None),
+    assert {r.harvest: (r.fruit_id, r.off, r.day) for r in fact.collect()} == {
+        "h-7": (10, Decimal("9.30"), "2031-02-28"), "h-2": (8, Decimal("1.32"), "2031-02-28"),
+        "h-9": (7, Decimal("0.00"), "2030-11-09"), "h-4": (9, None, None),
     }
 
 
-def test_size_decisions(spark, tmp_path):
-    spark.range(1000).withColumn("text", F.repeat(F.lit("x"), 1000)).write.parquet(str(tmp_path / "p"))
-    df = spark.read.parquet(str(tmp_path / "p"))
-    # The files compress well, the rows do not fit.
-    assert input_bytes(df) < 500_000
-    assert is_small(df) and not is_small(df, 500_000)
-    assert is_small(df.select("id"), 500_000)
+def test_star_runs_no_job_to_measure(spark, tmp_path):
+    """Joins of facts and dimensions are planned without a look at the rows."""
+    rows = spark.range(50).selectExpr("id", "cast(id % 7 as string) as name")
+    members = flows.load_dimension(None, rows.select("name"), "name", "key")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("measure", "measure")
+    try:
+        fact = flows.load_fact(rows, [(members, "name", "key", "name")])
+        assert len(tracker.getJobIdsForGroup("measure")) == 0
+        assert fact.count() == 50
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 class FakeSession:
