@@ -5,6 +5,8 @@ from __future__ import annotations
 import hashlib
 import re
 from collections import Counter, defaultdict
+from pathlib import Path
+from urllib.parse import urlparse
 
 import corpus_pipeline
 import duckdb
@@ -396,14 +398,18 @@ def test_top_k_bounds_hold_and_stop_early():
         assert set(np.flatnonzero(scores[:, q] >= best[0])) <= set(places)
 
 
-def test_folders_go(spark, tables, tmp_path, monkeypatch):
+def test_folders_go(spark, tables):
     """The pipeline leaves the last stage's folders only, and nothing stays after a block that owns the work."""
-    made = tmp_path / "shared"
-    monkeypatch.setattr(common, "_local_scratch", lambda: str(made))
-    rows = corpus_pipeline.run(spark, tables).count()
-    left = sorted(p.name.rsplit("-", 1)[0] for p in (made / "rowbridge").iterdir())
-    assert rows and left == ["pipeline-sentencepiece"]
+    shared = Path(urlparse(common.scratch_path(spark, "x")).path).parent
+    shared.mkdir(parents=True, exist_ok=True)
+    before = set(shared.iterdir())
+
+    def left():
+        return sorted(p.name.rsplit("-", 1)[0] for p in set(shared.iterdir()) - before)
+
+    assert corpus_pipeline.run(spark, tables).count()
+    assert left() == ["pipeline-sentencepiece"]
     with staging(spark):
         assert queries.QUERIES["op11_token_counts"](spark, tables).count()
         assert queries.QUERIES["op13_collocations"](spark, tables).count() >= 0
-    assert sorted(p.name.rsplit("-", 1)[0] for p in (made / "rowbridge").iterdir()) == [*left, "token-counts"]
+    assert left() == ["pipeline-sentencepiece", "token-counts"]
