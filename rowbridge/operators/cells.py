@@ -123,6 +123,16 @@ def encode_cell(value: Column, data_type: T.DataType, kind: str) -> Column:
     return F.encode(render(value, data_type), "UTF-8")
 
 
+def _write_order(df: DataFrame, name: str) -> Column:
+    """Whole numbers as they are, times in microseconds."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, (T.IntegralType, T.DecimalType)):
+        return column(name).cast("bigint")
+    if isinstance(kind, (T.DateType, T.TimestampType)):
+        return F.unix_micros(column(name).cast("timestamp"))
+    raise ValueError(f"{name} does not order writes: it is {kind.simpleString()}")
+
+
 def rows_to_cells(
     df: DataFrame,
     row_key: str,
@@ -132,8 +142,9 @@ def rows_to_cells(
 ) -> DataFrame:
     """One cell per non-null value; the row key itself is not stored.
 
-    ``columns`` follow the order of ``df``. With ``order_by`` the rows are
-    writes in that order and only the last write of each cell remains.
+    ``columns`` follow the order of ``df``. With ``order_by``, a whole number or
+    a time, the rows are writes in that order and only the last write of each
+    cell remains; its version is that number, or the time in microseconds.
     """
     declared = cell_columns(columns or [c for c in df.columns if c != order_by], family)
     names = [c for c in df.columns if c != order_by or any(d.qualifier == c for d in declared)]
@@ -144,7 +155,7 @@ def rows_to_cells(
         raise ValueError(f"row key is not among the columns: {row_key}")
     stored = [(c, n) for c, n in zip(declared, names) if not _is_rowkey(c, row_key)]
     key_field = df.schema[names[keyed[0]]]
-    version = column(order_by).cast("bigint") if order_by else F.lit(0).cast("bigint")
+    version = _write_order(df, order_by) if order_by else F.lit(0).cast("bigint")
     doubles = [n for c, n in stored if c.kind == "double"]
     typed = df.withColumns(
         {"__rowkey": render(column(key_field.name), key_field.dataType), "__version": version}

@@ -129,33 +129,59 @@ def conflicting_keys(target: DataFrame, source: DataFrame, keys: Sequence[str])
     return repeated.unionByName(existing)
 
 
-def merge_insert(
+def rows_with_keys(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Target rows whose key the source holds.
+
+    The source's keys are made distinct first, so a key that fills it does not crowd one task.
+    """
+    wanted = source.select(*_typed(source, target, keys, list(keys))).distinct()
+    return target.where(~_any_null(keys)).join(wanted, list(keys), "left_semi")
+
+
+def added_by_insert(
     target: DataFrame, source: DataFrame, keys: str | Sequence[str] = (), check: bool = True
 ) -> DataFrame:
-    """Target plus source; an existing or repeated key raises DuplicateKeyError."""
+    """The rows a plain insert adds; an existing or repeated key raises DuplicateKeyError."""
     keys = _listed(keys)
     rows = _staged(_prepare(target, source, keys, None, last=True, unique=True))
     if keys and check:
         clash = conflicting_keys(target, rows, keys).head(1)
         if clash:
             raise DuplicateKeyError(f"duplicate key {clash[0].asDict()}")
-    return target.unionByName(_padded(rows, target))
+    return _padded(rows, target)
 
 
-def merge_ignore(
+def merge_insert(
+    target: DataFrame, source: DataFrame, keys: str | Sequence[str] = (), check: bool = True
+) -> DataFrame:
+    """Target plus source; an existing or repeated key raises DuplicateKeyError."""
+    return target.unionByName(added_by_insert(target, source, keys, check))
+
+
+def added_by_ignore(
     target: DataFrame,
     source: DataFrame,
     keys: str | Sequence[str],
     order_by: str | Sequence[str] | None = None,
     unique: bool = False,
 ) -> DataFrame:
-    """Existing rows win; of several new rows with one key the first wins."""
+    """The first source row of every key the target lacks."""
     keys = _listed(keys)
     if not keys:
         raise ValueError("this merge needs key columns")
     rows = _prepare(target, source, keys, order_by, last=False, unique=unique)
-    fresh = _unmatched(_staged(rows), target, keys)
-    return target.unionByName(_padded(fresh, target))
+    return _padded(_unmatched(_staged(rows), target, keys), target)
+
+
+def merge_ignore(
+    target: DataFrame,
+    source: DataFrame,
+    keys: str | Sequence[str],
+    order_by: str | Sequence[str] | None = None,
+    unique: bool = False,
+) -> DataFrame:
+    """Existing rows win; of several new rows with one key the first wins."""
+    return target.unionByName(added_by_ignore(target, source, keys, order_by, unique))
 
 
 def merge_update(

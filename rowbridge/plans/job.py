@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from rowbridge.common import column, stage
 from rowbridge.functions.kinds import canonicalize, spark_type
 from rowbridge.operators.cells import cell_columns, cells_to_rows, rows_to_cells
-from rowbridge.operators.merges import merge_ignore, merge_insert, merge_replace, merge_update
+from rowbridge.operators.merges import merge_ignore, merge_insert, merge_replace, merge_update, rows_with_keys
 from rowbridge.operators.numbering import row_chunks
 from rowbridge.operators.report import CountCheck, RowCounter, written_rows
 from rowbridge.operators.splits import rowkey_bounds
@@ -31,7 +31,8 @@ from rowbridge.sinks.chunks import DEFAULT_CHUNK_ROWS, export_column_chunks, exp
 from rowbridge.sinks.columnar import export_json, export_orc, export_parquet
 from rowbridge.sinks.delimited import export_csv, write_delimited
 from rowbridge.sinks.jdbc import check_write_mode, run_statements, write_jdbc
-from rowbridge.sinks.partitions import load_partition
+from rowbridge.sinks.partitions import load_partition, parse_partition
+from rowbridge.sinks.touched import merge_table
 from rowbridge.sources.delimited import read_delimited, read_lines, separator
 from rowbridge.sources.jdbc import jdbc_options, primary_key, read_jdbc
 from rowbridge.sources.tables import declared_columns, extract_query, extract_table, read_catalog_table
@@ -40,6 +41,7 @@ EXPORT, SCRIPT, MOVE = 0, 1, 2
 FILE_TYPES = ("csv", "txt", "json", "parquet", "orc")
 JDBC_KINDS = ("mysql", "postgresql", "odps")
 SUCCESS, FAILED = 0, 1
+MERGES = {"ignore": merge_ignore, "update": merge_update, "replace": merge_replace}
 
 
 def substitute(text: str, variables: Mapping[str, str] | None = None) -> str:
@@ -227,7 +229,7 @@ class Job:
         if len(names) > len(df.columns):
             raise ValueError("the writer lists more columns than the reader delivers")
         named = df.select(*[column(s).alias(t) for s, t in zip(df.columns, names)])
-        if table in self.tables:
+        if table in self.tables or kind == "hive" and mode in MERGES:
             return self._merge(df, names, table, mode, keys, parameter.get("orderBy"))
         if kind == "hive":
             return self._load(named, parameter, declared, mode)
@@ -241,41 +243,52 @@ class Job:
         return counter.rows
 
     def _write_cells(self, df: DataFrame, parameter: dict) -> int:
-        """Add cells under a version of this run, so they win over older ones."""
-        table = parameter["table"]
-        counter = RowCounter("put rows")
+        """Add cells under a version of this run, so they win over older ones.
+
+        ``orderBy`` names the reader columns that tell which row of a repeated
+        row key was written last; its cells stay.
+
+        The rows are counted in the table: a row key met twice is one row there,
+        and a row of nulls is none.
+        """
+        table, version = parameter["table"], int(time.time() * 1000)
         cells = rows_to_cells(
-            counter.watch(df), parameter.get("rowkey", "id"), cell_columns(parameter["column"])
-        ).withColumn("version", F.lit(int(time.time() * 1000)).cast("bigint"))
+            df, parameter.get("rowkey", "id"), cell_columns(parameter["column"]), order_by=parameter.get("orderBy")
+        ).withColumn("version", F.lit(version).cast("bigint"))
         if table in self.tables:
             self.tables[table] = self.tables[table].unionByName(stage(cells, "cells"))
         else:
             cells.write.mode("append").saveAsTable(table.replace(":", "."))
-        return counter.rows
+        return self._cell_table(parameter).where(F.col("version") == version).select("rowkey").distinct().count()
 
     def _merge(
         self, df: DataFrame, names: list[str], table: str, mode: str, keys: list[str], order_by: str | list[str] | None
     ) -> int:
-        """Merge into a named table; returns the rows found in the written source.
+        """Merge into a named or catalog table; returns the source rows found in it afterwards.
 
         ``orderBy`` names reader columns that tell which row of a key came first
         (its last one wins, or its first one under ignore). Without it a
-        repeated key has no such row, and the job stops.
+        repeated key has no such row, and the job stops. Catalog tables are
+        merged by rewriting the files they touch.
+
+        With keys the source rows whose key the merged table holds are counted,
+        without keys the rows it gained.
         """
-        target = self.tables[table]
-        merges = {"ignore": merge_ignore, "update": merge_update, "replace": merge_replace}
-        if mode not in ("insert", "overwrite", *merges):
+        named = table in self.tables
+        target = self.tables[table] if named else self.spark.table(table)
+        if mode not in ("insert", "overwrite", *MERGES):
             raise ValueError(f"unknown write mode: {mode}")
-        if mode in merges and not keys:
+        if mode in MERGES and not keys:
             raise ValueError(f"{mode} into a named table needs primaryKey")
         order = [order_by] if isinstance(order_by, str) else list(order_by or [])
         # Order columns ride along under names of their own: the target may have the same ones.
-        carried = {f"__order_{i}": o for i, o in enumerate(order if mode in merges else [])}
+        carried = {f"__order_{i}": o for i, o in enumerate(order if mode in MERGES else [])}
         given = df.select(
             *[column(s).alias(t) for s, t in zip(df.columns, names)], *[column(o).alias(c) for c, o in carried.items()]
         )
         wanted = [target.schema[n] for n in names] + [given.schema[c] for c in carried]
         rows = stage(bind_to_target(given, T.StructType(wanted), zone=self.zone), "merge-source")
+        before = target.count() if mode == "insert" and not keys else 0
         if mode == "overwrite":
             self.tables[table] = rows
         elif mode == "insert":
@@ -286,8 +299,15 @@ class Job:
                 repeated = per_key.where("__n > 1").drop("__n").head(1)
                 if repeated:
                     raise ValueError(f"key {repeated[0].asDict()} comes several times: the writer needs orderBy")
-            self.tables[table] = merges[mode](target, rows, keys, order_by=list(carried))
-        return rows.count()
+            if named:
+                self.tables[table] = MERGES[mode](target, rows, keys, order_by=list(carried))
+            else:
+                merge_table(table, rows, keys, mode, list(carried))
+        merged = self.tables[table] if named else self.spark.table(table)
+        if mode == "overwrite" or not keys:
+            return merged.count() - before
+        # Rows, not keys: repeated source rows count as often as they were read.
+        return rows_with_keys(rows, merged, keys).count()
 
     def _load(self, df: DataFrame, parameter: dict, declared, mode: str) -> int:
         check_write_mode("hive", mode)
@@ -299,9 +319,9 @@ class Job:
         elif self.spark.catalog.tableExists(parameter["table"]):
             target = self.spark.table(parameter["table"]).select(*[column(c) for c in df.columns])
             df = bind_to_target(df, target.schema, zone=self.zone)
-        counter = RowCounter("loaded rows")
+        before = self._held(parameter) if mode == "insert" else 0
         load_partition(
-            counter.watch(df),
+            df,
             parameter["table"],
             parameter.get("partition"),
             mode,
@@ -311,7 +331,16 @@ class Job:
             parameter.get("location"),
             separator(parameter.get("sep", ",")),
         )
-        return counter.rows
+        return self._held(parameter) - before
+
+    def _held(self, parameter: dict) -> int:
+        """Rows a table or its loaded partition holds; no column is read, so footers tell for columnar files."""
+        if not self.spark.catalog.tableExists(parameter["table"]):
+            return 0
+        rows = self.spark.table(parameter["table"])
+        for name, value in parse_partition(parameter.get("partition") or {}).items():
+            rows = rows.where(column(name) == F.lit(value).cast(rows.schema[name].dataType))
+        return rows.count()
 
     def _write_text(self, df: DataFrame, parameter: dict) -> int:
         path = parameter.get("filePath")

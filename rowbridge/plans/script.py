@@ -9,6 +9,7 @@ from pyspark.errors import AnalysisException, UnsupportedOperationException
 from pyspark.sql import DataFrame, SparkSession
 
 from rowbridge.sinks.partitions import delete_where, rewrite_table, update_where
+from rowbridge.sinks.touched import delete_from, file_backed, update_table
 
 _PIECES = re.compile(
     r"""--[^\n]*                    # line comment
@@ -72,24 +73,32 @@ def parse_assignments(text: str) -> tuple[dict[str, str], str]:
 
 
 def execute(spark: SparkSession, statement: str) -> DataFrame:
-    """Run one statement; DELETE and UPDATE also work on plain tables, by rewriting them."""
+    """Run one statement; DELETE and UPDATE also work on plain tables, by rewriting the files they touch."""
     delete, update = _DELETE.match(statement), _UPDATE.match(statement)
     try:
         return spark.sql(statement)
     except (AnalysisException, UnsupportedOperationException) as error:
         if not (delete or update) or "UNSUPPORTED" not in (error.getCondition() or ""):
             raise
+    table = (delete or update).group(1)
+    whole = not file_backed(spark, table)
     if delete:
-        table, condition = delete.groups()
-        rows = delete_where(spark.table(table), condition or "true")
+        condition = delete.group(2) or "true"
+        if whole:
+            rewrite_table(spark, table, delete_where(spark.table(table), condition))
+        else:
+            delete_from(spark, table, condition)
+        return spark.range(0)
+    assignments, condition = parse_assignments(update.group(2))
+    known = {c.lower(): c for c in spark.table(table).columns}
+    unknown = [c for c in assignments if c.lower() not in known]
+    if unknown:
+        raise ValueError(f"columns missing in {table}: {unknown}")
+    values = {known[c.lower()]: v for c, v in assignments.items()}
+    if whole:
+        rewrite_table(spark, table, update_where(spark.table(table), condition, values))
     else:
-        table, (assignments, condition) = update.group(1), parse_assignments(update.group(2))
-        known = {c.lower(): c for c in spark.table(table).columns}
-        unknown = [c for c in assignments if c.lower() not in known]
-        if unknown:
-            raise ValueError(f"columns missing in {table}: {unknown}")
-        rows = update_where(spark.table(table), condition, {known[c.lower()]: v for c, v in assignments.items()})
-    rewrite_table(spark, table, rows)
+        update_table(spark, table, condition, values)
     return spark.range(0)
 
 

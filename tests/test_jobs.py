@@ -293,3 +293,90 @@ def test_a_row_lost_in_the_sink_shows(spark, tmp_path, monkeypatch, kind, extra)
     writer = text_sink(tmp_path / "less", fileType=kind, **extra)
     data = run_job(spark, move(reader, writer), {"given": rows})["data"]
     assert data == {"read": 7, "written": 6, "matched": False}
+
+
+def _catalog_job(spark, mode, **more):
+    reader = {"name": "Mysql", "parameter": {"table": "deliveries", "column": ["id", "label", "day", "seq"]}}
+    writer = {"name": "Hive", "parameter": {"table": "depot", "column": ["id", "label", "day"], "writeMode": mode, **more}}
+    return move(reader, writer)
+
+
+@pytest.mark.parametrize("mode", ["ignore", "update", "replace"])
+def test_merge_into_a_catalog_table(spark, tmp_path, mode, monkeypatch):
+    rows = spark.createDataFrame(
+        [(1, "b", "mon", 2), (1, "a", "mon", 1), (7, "c", "tue", 1)], "id int, label string, day string, seq int"
+    )
+    spark.sql(f"create table depot (id int, label string, day string) using parquet partitioned by (day) location '{tmp_path}/depot'")
+    try:
+        spark.sql("insert into depot select * from values (1, 'old', 'mon'), (2, 'two', 'wed')")
+        untouched = [p.name for p in (tmp_path / "depot" / "day=wed").glob("part-*")]
+        with pytest.raises(ValueError, match="orderBy"):
+            run_job(spark, _catalog_job(spark, mode, primaryKey=["id"]), {"deliveries": rows})
+        with pytest.raises(ValueError, match="primaryKey"):
+            run_job(spark, _catalog_job(spark, mode), {"deliveries": rows})
+        job = _catalog_job(spark, mode, primaryKey=["id"], orderBy="seq")
+        assert run_job(spark, job, {"deliveries": rows})["data"] == {"read": 3, "written": 3, "matched": True}
+        first = "old" if mode == "ignore" else "b"
+        assert sorted(tuple(r) for r in spark.table("depot").collect()) == [(1, first, "mon"), (2, "two", "wed"), (7, "c", "tue")]
+        assert [p.name for p in (tmp_path / "depot" / "day=wed").glob("part-*")] == untouched
+        whole = job_module.merge_table
+
+        def lossy(table, *rest):
+            whole(table, *rest)
+            spark.sql("insert overwrite depot select * from values (7, 'c', 'tue'), (2, 'two', 'wed')")
+
+        monkeypatch.setattr(job_module, "merge_table", lossy)
+        assert run_job(spark, job, {"deliveries": rows})["data"] == {"read": 3, "written": 1, "matched": False}
+    finally:
+        spark.sql("drop table if exists depot")
+
+
+@pytest.mark.parametrize("mode", ["insert", "ignore", "update", "replace"])
+@pytest.mark.parametrize("keys", [["id"], []])
+def test_a_row_lost_in_a_merge_shows(spark, monkeypatch, mode, keys):
+    if mode != "insert" and not keys:
+        pytest.skip("this mode needs keys")
+    source = spark.range(5).selectExpr("cast(id as int) as id", "'new' as label")
+    target = spark.createDataFrame([(100, "x")], "id int, label string")
+    reader = {"name": "Mysql", "parameter": {"table": "source", "column": ["id", "label"]}}
+    writer = {"name": "Mysql", "parameter": {"table": "sink", "column": ["id", "label"], "writeMode": mode, "primaryKey": keys}}
+    run = lambda: run_job(spark, move(reader, writer), {"source": source, "sink": target})["data"]
+    assert run() == {"read": 5, "written": 5, "matched": True}
+    lossy = lambda whole: lambda *a, **k: whole(*a, **k).where("id <> 3")
+    monkeypatch.setattr(job_module, "merge_insert", lossy(job_module.merge_insert))
+    monkeypatch.setattr(job_module, "MERGES", {m: lossy(f) for m, f in job_module.MERGES.items()})
+    assert run() == {"read": 5, "written": 4, "matched": False}
+
+
+@pytest.mark.parametrize("mode", ["insert", "overwrite"])
+def test_a_row_lost_in_a_load_shows(spark, tmp_path, monkeypatch, mode):
+    rows = spark.createDataFrame([(i, "x", "d", i) for i in range(6)], "id int, label string, day string, seq int")
+    job = _catalog_job(spark, mode, partition="part='1'", location=str(tmp_path / "t"))
+    try:
+        for _ in range(2):
+            assert run_job(spark, job, {"deliveries": rows})["data"] == {"read": 6, "written": 6, "matched": True}
+        whole = job_module.load_partition
+        monkeypatch.setattr(job_module, "load_partition", lambda df, *rest: whole(df.where("id <> 2"), *rest))
+        assert run_job(spark, job, {"deliveries": rows})["data"] == {"read": 6, "written": 5, "matched": False}
+    finally:
+        spark.sql("drop table if exists depot")
+
+
+def test_cells_keep_the_last_write(spark, monkeypatch):
+    rows = spark.createDataFrame(
+        [("k", "zz", 1), ("k", "aa", 2), ("k", None, 3), ("l", "b", 1)], "id string, label string, seq int"
+    )
+    reader = {"name": "Mysql", "parameter": {"table": "given", "column": ["id", "label", "seq"]}}
+    columns = [{"name": f"cf:{c}", "type": "string"} for c in ("id", "label")]
+    parameter = {"table": "cells", "rowkey": "id", "column": columns, "orderBy": "seq"}
+    empty = spark.createDataFrame([], "rowkey string, family string, qualifier string, value binary, version bigint")
+    job = Job(spark, move(reader, {"name": "HBase", "parameter": parameter}), {"given": rows, "cells": empty})
+    assert job.run()["data"] == {"read": 4, "written": 2, "matched": False}
+    found = job.tables["cells"].selectExpr("rowkey", "qualifier", "cast(value as string) as v").collect()
+    assert sorted(tuple(r) for r in found) == [("k", "label", "aa"), ("l", "label", "b")]
+    whole = job_module.rows_to_cells
+    monkeypatch.setattr(job_module, "rows_to_cells", lambda df, *a, **k: whole(df.where("id <> 'l'"), *a, **k))
+    assert job.run()["data"]["written"] == 1
+    parameter["orderBy"] = "label"
+    with pytest.raises(ValueError, match="order writes"):
+        job.run()
