@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from checks.inputs import collector, table
@@ -245,7 +247,7 @@ _SUMMARY = """
 """
 
 
-def _summary(spark, sf):
+def _named_fact(spark, sf):
     dimensions = _dimensions(spark, sf)
     products, regions, _ = dimensions
     fact = _fact(spark, sf, dimensions).select(
@@ -258,15 +260,21 @@ def _summary(spark, sf):
         F.col("total_price").cast("double").alias("total_price"),
     )
     named = fact.join(regions, "region_id").join(products.withColumnRenamed("category", "product_category"), "product_id")
-    return flows.summarize(
-        named,
-        "order_date",
-        ["region_name", "product_category"],
-        "final_price",
-        "quantity",
-        "discount_amount",
-        "total_price",
-    )
+    return named
+
+
+_MEASURES = (
+    "order_date",
+    ["region_name", "product_category"],
+    "final_price",
+    "quantity",
+    "discount_amount",
+    "total_price",
+)
+
+
+def _summary(spark, sf):
+    return flows.summarize(_named_fact(spark, sf), *_MEASURES)
 
 
 @check(
@@ -281,6 +289,27 @@ def sales_summary(spark, sf):
     return _stable(_summary(spark, sf))
 
 
+@check(
+    f"""
+    with {_FACT}, {_SUMMARY}
+    select summary_date, region_name, product_category, total_sales::decimal(18,2)::varchar as total_sales,
+           total_quantity, round(avg_discount, 6) as avg_discount
+    from summary
+    """
+)
+def incremental_summary(spark, sf):
+    """Facts in two loads, the later one run twice: their states give the summary of all facts."""
+    fact = _named_fact(spark, sf)
+    name, path = f"checked_states_{uuid.uuid4().hex[:12]}", scratch_path(spark, "states")
+    older = F.col("order_date") < "1995-06-17"
+    for load, rows in (("a", fact.where(older)), ("b", fact.where(~older)), ("b", fact.where(~older))):
+        flows.load_states(flows.summary_states(rows, *_MEASURES), name, load, path)
+    schema = spark.table(name).schema
+    spark.sql(f"DROP TABLE {name}")
+    states = spark.read.schema(schema).parquet(path)
+    return _stable(flows.summary_of_states(states, _MEASURES[1]))
+
+
 def _stable(summary):
     return summary.select(
         F.col("summary_date").cast("string").alias("summary_date"),
@@ -443,3 +472,34 @@ def move_job(spark, sf):
     if not report["data"]["matched"]:
         raise ValueError(f"rows lost: {report}")
     return rows
+
+
+_TABLE_SCRIPT = """
+delete from {name} where o_orderstatus = 'P' or o_totalprice < 2000;
+update {name} set o_totalprice = -o_totalprice, o_orderpriority = concat(o_orderpriority, '; moved'), o_orderstatus = 'X'
+  where o_orderpriority = '1-URGENT' and o_orderdate < timestamp'1993-01-01';
+select o_orderkey, o_orderstatus, o_totalprice, o_orderpriority from {name}
+"""
+
+
+@check(
+    """
+    with o as (select *, o_orderpriority = '1-URGENT' and o_orderdate < timestamp '1993-01-01' as hit
+               from orders where not (o_orderstatus = 'P' or o_totalprice < 2000))
+    select o_orderkey, case when hit then 'X' else o_orderstatus end as o_orderstatus,
+           case when hit then -o_totalprice else o_totalprice end as o_totalprice,
+           case when hit then o_orderpriority || '; moved' else o_orderpriority end as o_orderpriority
+    from o
+    """
+)
+def script_changes_table(spark, sf):
+    """DELETE and UPDATE on a plain partitioned table, where the update opens a new partition."""
+    name, path = f"checked_orders_{uuid.uuid4().hex[:12]}", scratch_path(spark, "table")
+    orders = table(spark, sf, "orders").select(
+        "o_orderkey", "o_totalprice", "o_orderpriority", "o_orderdate", "o_orderstatus"
+    )
+    orders.write.partitionBy("o_orderstatus").option("path", path).saveAsTable(name)
+    columns = run_script(spark, _TABLE_SCRIPT.format(name=name)).columns
+    schema = spark.table(name).schema
+    spark.sql(f"DROP TABLE {name}")
+    return spark.read.schema(schema).parquet(path).select(*columns)

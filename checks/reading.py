@@ -11,6 +11,7 @@ from rowbridge.operators.splits import (
     range_splits as count_range_splits,
     read_range_partitioned,
     rowkey_range_splits as tag_rowkey_ranges,
+    rowkey_region_splits as tag_rowkey_regions,
 )
 from rowbridge.sinks.delimited import write_delimited as write_text
 from rowbridge.sources import tables as scans
@@ -204,7 +205,8 @@ def latest_cell_writes(spark, sf):
 @check(
     """
     with k as (select c_custkey::varchar as rowkey from customer),
-         r as (select * from (values (0, '1', '3'), (1, '3', '5'), (2, '5', '7'), (3, '7', '9'))
+         r as (select * from (values (0, '0', '2499999999'), (1, '2499999999', '4999999999'),
+                                     (2, '4999999999', '7499999999'), (3, '7499999999', '9999999999'))
                t(split_id, lo, hi))
     select split_id, count(*) as rows, min(rowkey) as first_key
     from r join k on rowkey >= lo and rowkey < hi group by split_id
@@ -212,7 +214,35 @@ def latest_cell_writes(spark, sf):
 )
 def rowkey_range_splits(spark, sf):
     keys = table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("rowkey"))
-    tagged = tag_rowkey_ranges(keys, "rowkey", "1", "9", 4)
+    tagged = tag_rowkey_ranges(keys, "rowkey", "0", "9999999999", 4)
     return tagged.groupBy("split_id").agg(
         F.count(F.lit(1)).alias("rows"), F.min("rowkey").alias("first_key")
     )
+
+
+@check(
+    """
+    select 5::bigint as regions, true as even, true as apart, count(distinct user_id)::bigint as keys, count(*) as rows
+    from events
+    """
+)
+def rowkey_region_splits(spark, sf):
+    """Regions of the events' users: sizes within a tenth, no overlap, every row in one."""
+    events = table(spark, sf, "events").select(F.col("user_id").cast("string").alias("rowkey"))
+    regions = tag_rowkey_regions(events, "rowkey", 5).groupBy("split_id").agg(
+        F.count_distinct("rowkey").alias("keys"),
+        F.count(F.lit(1)).alias("rows"),
+        F.min("rowkey").alias("low"),
+        F.max("rowkey").alias("high"),
+    )
+    following = regions.select((F.col("split_id") - 1).alias("split_id"), F.col("low").alias("next"))
+    joined = regions.join(following, "split_id", "left_outer")
+    share = F.sum("keys") / F.count(F.lit(1))
+    return joined.agg(
+        F.count(F.lit(1)).alias("regions"),
+        # Few users give regions of a few keys, where one key more or less is no unevenness.
+        ((F.min("keys") >= share * 0.9 - 1) & (F.max("keys") <= share * 1.1 + 1)).alias("even"),
+        F.every(F.col("next").isNull() | (F.col("high") < F.col("next"))).alias("apart"),
+        F.sum("keys").alias("keys"),
+        F.sum("rows").alias("rows"),
+    )

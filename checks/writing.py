@@ -18,7 +18,9 @@ from rowbridge.operators.transforms import apply_chain
 from rowbridge.sinks import columnar, partitions
 from rowbridge.sinks.chunks import export_row_chunks as write_row_chunks
 from rowbridge.sinks.delimited import export_csv as write_csv
+from rowbridge.plans.job import Job
 from rowbridge.sinks.delimited import write_delimited as write_text
+from rowbridge.sinks.touched import merge_table
 from rowbridge.sources.delimited import read_delimited
 
 CHECKS: dict = {}
@@ -297,3 +299,63 @@ def export_stats(spark, sf):
     chunked = cut_rows(orders, 2500, ["o_orderkey"]).drop("row_id").repartition("chunk_id")
     chunked.write.partitionBy("chunk_id").parquet(path)
     return count_export(spark.read.parquet(path).drop("chunk_id"))
+
+
+def _catalog_merge(spark, sf, mode):
+    """A whole job merging the orders into a table of customers partitioned by segment."""
+    name, path = f"checked_merge_{uuid.uuid4().hex[:12]}", scratch_path(spark, "table")
+    _target(spark, sf).write.partitionBy("c_mktsegment").option("path", path).saveAsTable(name)
+    source = ["c_custkey", "c_name", "c_acctbal", "seq"]
+    job = {
+        "job": {
+            "sqlMode": 2,
+            "content": [
+                {
+                    "reader": {"name": "Mysql", "parameter": {"table": "order_source", "column": source}},
+                    "writer": {
+                        "name": "Hive",
+                        "parameter": {
+                            "table": name,
+                            "column": source[:3],
+                            "writeMode": mode,
+                            "primaryKey": ["c_custkey"],
+                            "orderBy": "seq",
+                        },
+                    },
+                }
+            ],
+        }
+    }
+    report = Job(spark, job, {"order_source": _source(spark, sf)}).run()
+    schema = spark.table(name).schema
+    spark.sql(f"DROP TABLE {name}")
+    if not report["data"]["matched"]:
+        raise ValueError(f"rows lost: {report}")
+    return spark.read.schema(schema).parquet(path)
+
+
+@check(CHECKS["merge_ignore"][1])
+def catalog_merge_ignore(spark, sf):
+    return _catalog_merge(spark, sf, "ignore")
+
+
+@check(_UPDATE_SQL)
+def catalog_merge_update(spark, sf):
+    return _catalog_merge(spark, sf, "update")
+
+
+@check(CHECKS["merge_replace"][1])
+def catalog_merge_replace(spark, sf):
+    return _catalog_merge(spark, sf, "replace")
+
+
+@check(CHECKS["merge_insert"][1])
+def catalog_merge_insert(spark, sf):
+    name, path = f"checked_merge_{uuid.uuid4().hex[:12]}", scratch_path(spark, "table")
+    target = table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    target.write.partitionBy("c_mktsegment").option("path", path).saveAsTable(name)
+    source = table(spark, sf, "supplier").selectExpr("-s_suppkey - 1 as c_custkey", "s_name as c_name")
+    merge_table(name, source, ["c_custkey"], "insert")
+    schema = spark.table(name).schema
+    spark.sql(f"DROP TABLE {name}")
+    return spark.read.schema(schema).parquet(path)

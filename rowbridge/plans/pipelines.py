@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from rowbridge.common import column, stage
 from rowbridge.operators.merges import merge_update
 from rowbridge.operators.numbering import number_rows
+from rowbridge.sinks.partitions import load_partition
 
 # ------------------------------------------------------- consecutive periods
 
@@ -166,6 +167,44 @@ def summarize(
     )
 
 
+def summary_states(
+    fact: DataFrame,
+    day: str,
+    groups: Sequence[str],
+    total: str,
+    quantity: str,
+    discount: str,
+    price: str,
+) -> DataFrame:
+    """What :func:`summarize` knows of some facts, in a form that adds up: sums, and a count for the mean."""
+    ratio = column(discount) / F.nullif(column(price), F.lit(0).cast(fact.schema[price].dataType)) * 100
+    month = F.trunc(column(day).cast("date"), "month").alias("summary_date")
+    return fact.groupBy(month, *[column(g) for g in groups]).agg(
+        F.sum(column(total)).alias("total_sales"),
+        F.sum(column(quantity)).alias("total_quantity"),
+        F.sum(ratio).alias("discount_sum"),
+        F.count(ratio).alias("discount_count"),
+    )
+
+
+def load_states(states: DataFrame, table: str, load: str, location: str | None = None) -> None:
+    """Store the states of one load in a partition of its own.
+
+    Old facts and old states are not read. A load that is run again replaces its
+    partition, so facts never count twice.
+    """
+    load_partition(states, table, {"load_id": load}, "overwrite", "parquet", location=location)
+
+
+def summary_of_states(states: DataFrame, groups: Sequence[str]) -> DataFrame:
+    """The summary of all facts whose states are given, from any number of loads."""
+    return states.groupBy("summary_date", *[column(g) for g in groups]).agg(
+        F.sum("total_sales").cast(states.schema["total_sales"].dataType).alias("total_sales"),
+        F.sum("total_quantity").alias("total_quantity"),
+        (F.sum("discount_sum") / F.nullif(F.sum("discount_count"), F.lit(0).cast("bigint"))).alias("avg_discount"),
+    )
+
+
 def upsert_summary(target: DataFrame, summary: DataFrame, groups: Sequence[str]) -> DataFrame:
     """Summary rows replace the values of the same month and group."""
     return merge_update(target, summary, ["summary_date", *groups], unique=True)

@@ -17,7 +17,7 @@ def con():
 
 
 # Results of one row end in a single task.
-ONE_ROW = {"count_check", "export_stats"}
+ONE_ROW = {"count_check", "export_stats", "rowkey_region_splits"}
 
 
 @pytest.mark.parametrize("name", sorted(all_queries()))

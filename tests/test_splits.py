@@ -72,3 +72,37 @@ def test_overlapping_rowkey_ranges_read_a_row_once(spark):
     assert got.count() == got.select("rowkey").distinct().count()
     assert splits.rowkey_bounds("1", "25", 3) == ["1", "9", "17", "25"]
     assert got.where(F.col("rowkey") == "2").head().split_id == 0
+
+
+@pytest.mark.parametrize("drawn", [20, 4096])
+def test_regions_hold_every_row_in_even_shares(spark, drawn):
+    from rowbridge.operators.splits import region_bounds, rowkey_region_splits
+
+    # Most keys share a long beginning, and one key has a third of the rows.
+    keys = spark.range(9000).selectExpr("case when id % 10 = 0 then concat('é', id) else concat('customer/0000/', id) end as k")
+    rows = keys.union(spark.range(4500).selectExpr("'customer/0000/7'")).union(spark.range(3).selectExpr("cast(null as string)"))
+    tagged = rowkey_region_splits(rows, "k", 4, drawn)
+    assert "Exchange" not in tagged._jdf.queryExecution().executedPlan().toString()
+    found = {r.split_id: r for r in tagged.groupBy("split_id").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("k").alias("keys"), F.min("k").alias("low"), F.max("k").alias("high")
+    ).collect()}
+    assert found.pop(4).rows == 3 and sum(r.rows for r in found.values()) == 13500
+    spans = sorted((r.low.encode(), r.high.encode()) for r in found.values())
+    assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+    assert [spans[i][0] for i in range(4)] == sorted(found[i].low.encode() for i in range(4))
+    even = 2250 * (0.1 if drawn == 4096 else 0.9)
+    assert len(found) == 4 and all(abs(r.keys - 2250) <= even for r in found.values())
+    assert region_bounds(rows, "k", 4, drawn) == region_bounds(rows.repartition(7), "k", 4, drawn)
+
+
+def test_regions_of_few_keys(spark):
+    from rowbridge.operators.splits import region_bounds, rowkey_region_splits
+
+    empty = spark.createDataFrame([], "k string, split string")
+    assert region_bounds(empty, "k", 3) == [] and rowkey_region_splits(empty, "k", 3).count() == 0
+    one = spark.createDataFrame([("a",), ("a",), (None,)], "k string")
+    assert sorted(r.split_id for r in rowkey_region_splits(one, "k", 3).collect()) == [0, 0, 3]
+    numbers = spark.range(12).withColumnRenamed("id", "k")
+    assert len({r.split_id for r in rowkey_region_splits(numbers, "k", 3).collect()}) == 3
+    with pytest.raises(ValueError):
+        region_bounds(one, "k", 0)
