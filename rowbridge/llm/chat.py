@@ -62,8 +62,10 @@ def linear(messages: DataFrame, conversation: str, turn: str, role: str, text: s
     return rows.select("tree", "message", parent.alias("parent"), "role", "text", F.lit(0.0).alias("score"))
 
 
-def best_paths(messages: DataFrame, paths_per_tree: int = 1) -> DataFrame:
-    """Messages of the chosen root-to-leaf paths: (tree, path rank, place from the root, role, text).
+def best_paths(messages: DataFrame, paths_per_tree: int | None = None) -> DataFrame:
+    """Messages of the root-to-leaf paths in rank order: (tree, path rank, place from the root, role, text).
+
+    All paths, or the ``paths_per_tree`` best ones.
 
     ``messages`` has (tree, message, parent, role, text, score). A message whose
     parent is null or missing is a root; messages that only answer each other in
@@ -100,7 +102,9 @@ def best_paths(messages: DataFrame, paths_per_tree: int = 1) -> DataFrame:
     inner = levels[0].where("above is not null").select("tree", F.col("above").alias("message")).distinct()
     leaves = rooted.join(inner, ["tree", "message"], "left_anti")
     rank = Window.partitionBy("tree").orderBy((F.col("sum") / F.col("n")).desc(), F.col("n").desc(), "message")
-    chosen = leaves.withColumn("path", F.row_number().over(rank)).where(F.col("path") <= paths_per_tree)
+    chosen = leaves.withColumn("path", F.row_number().over(rank))
+    if paths_per_tree is not None:
+        chosen = chosen.where(F.col("path") <= paths_per_tree)
     members = stage(chosen.select("tree", "path", F.col("message"), F.col("n").alias("place")), "chat-leaves")
     for power in range(len(levels) - 1, -1, -1):
         # The pointers of this power lead 2**power messages up, or to the root's top, which is null.

@@ -285,12 +285,14 @@ def _outermost(found: Column) -> Column:
 def base_places(docs: DataFrame, text: str = "text") -> DataFrame:
     """Add ``n_words``, ``n_base``, ``first_word``, ``last_word`` and ``base_found`` (labels).
 
+    A null text is an empty one; columns of these names give way.
+
     The phrases cannot overlap one another, so one alternation finds all places.
     """
     pattern = "(?i)" + "|".join(phrase(p) for p, _ in BASE)
     gate = "(?i)licen|cc"
     names = list(docs.columns)
-    t, gaps, hits = (unused(names, n) for n in ("__text", "__gaps", "__hits"))
+    t, gaps, hits, counted = (unused(names, n) for n in ("__text", "__gaps", "__hits", "__n_words"))
     df = docs.withColumn(t, text_or_empty(text))
     near = F.col(t).rlike(gate)
     empty = F.array().cast("array<string>")
@@ -303,7 +305,7 @@ def base_places(docs: DataFrame, text: str = "text") -> DataFrame:
         return F.regexp_count(x, F.lit(WORD + "+"))
 
     last = words(F.element_at(gaps, -1)) + words(F.element_at(hits, -1))
-    df = df.withColumn("__n_words", n_words.cast("long"))
+    df = df.withColumn(counted, n_words.cast("long"))
 
     def hit(words_of_phrase: str) -> Column:
         whole = "(?i)^" + phrase(words_of_phrase) + "$"
@@ -312,16 +314,16 @@ def base_places(docs: DataFrame, text: str = "text") -> DataFrame:
     found = F.array_compact(F.array(*[F.when(hit(p), F.lit(label)) for p, label in BASE]))
     return put(
         df,
-        n_words=F.col("__n_words"),
+        n_words=F.col(counted),
         n_base=F.size(hits).cast("long"),
         first_word=F.when(some, words(F.element_at(gaps, 1))).cast("long"),
-        last_word=F.when(some, F.col("__n_words") - last).cast("long"),
+        last_word=F.when(some, F.col(counted) - last).cast("long"),
         base_found=F.when(some, found).otherwise(empty),
-    ).drop(t, gaps, hits, "__n_words")
+    ).drop(t, gaps, hits, counted)
 
 
 def scan(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Add base places, ``detections`` and ``score``.
+    """Add base places, ``detections`` and ``score``; a null text is an empty one: no words, labels or score.
 
     ``score`` is the confidence of the surest detection, 0 without any; a base
     phrase alone counts 0.6.

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowbridge.common import column, stage
+from rowbridge.llm.common import unused
 from rowbridge.llm.components import connect
 
 BITS = 64
@@ -51,8 +52,8 @@ def fingerprint(text: bytes | None, words: int = 3, seed: int = 42) -> int:
 
 
 def with_fingerprint(docs: DataFrame, text: str = "text", words: int = 3, name: str = "fp") -> DataFrame:
-    """All columns but the text, and the fingerprint as a signed long."""
-    rest = [f for f in docs.schema.fields if f.name != text]
+    """All columns but the text, and the fingerprint as a signed long; a column of its name gives way."""
+    rest = [f for f in docs.schema.fields if f.name != text and f.name.lower() != name.lower()]
     schema = T.StructType([*rest, T.StructField(name, T.LongType())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -63,7 +64,7 @@ def with_fingerprint(docs: DataFrame, text: str = "text", words: int = 3, name:
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(found)], names=schema.names)
 
     source = docs.select(
-        column(text).cast("binary").alias("__text"), *[column(f.name) for f in rest]
+        column(text).cast("binary").alias(unused(docs.columns, "__text")), *[column(f.name) for f in rest]
     )
     return source.mapInArrow(run, schema)
 

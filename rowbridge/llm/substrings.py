@@ -99,10 +99,6 @@ def _extents(hashes: np.ndarray, place: np.ndarray, low: np.ndarray, high: np.nd
     return _mixed(_mixed(span) + shape * np.uint64(_BASES[0]))
 
 
-def _signed(a: np.ndarray) -> pa.Array:
-    return pa.array(np.ascontiguousarray(a).view(np.int64))
-
-
 def _seeded(length: int):
     names = ["h1", "h2", "anchor", "extent", "low", "high"]
 
@@ -160,11 +156,6 @@ def _windows(length: int):
     return run
 
 
-def _keyed(docs: DataFrame, text: str) -> DataFrame:
-    h1, h2 = row_key(docs)
-    return docs.select(h1.alias("h1"), h2.alias("h2"), F.struct("*").alias("row")).repartition("h1", "h2")
-
-
 def repeats(docs: DataFrame, text: str = "text", length: int = LENGTH) -> DataFrame:
     """Windows that repeat: (h1, h2, ranges of first and last window start) per row key of ``docs``.
 

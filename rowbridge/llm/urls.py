@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from rowbridge.common import column, stage
 
-_HOST = r"(?i)^(?:[a-z][a-z0-9+.\-]*:)?//(?:[^/?#@]*@)?([^/?#:@]*)"
+_HOST = r"(?i)^(?:[a-z][a-z0-9+.\-]*:)?//(?:[^/?#@]*@)?(\[[^\]/?#]*\]|[^/?#:@]*)"
 _NEVER = "9999-12-31"
 
 
@@ -36,8 +36,8 @@ def address_of(url: Column) -> Column:
 
 
 def domains(host: Column) -> Column:
-    """The host and every domain above it."""
-    parts = F.split(host, r"\.")
+    """The host and every domain above it; an address of numbers in brackets has none above."""
+    parts = F.when(F.startswith(host, F.lit("[")), F.array(host)).otherwise(F.split(host, r"\."))
     return F.transform(
         F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, i, F.size(parts)), ".")
     )
