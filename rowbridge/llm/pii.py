@@ -1,7 +1,7 @@
 """Personal data: every detected entity gets a keyed surrogate of its own kind.
 
 Detection finds addresses, numbers, keys, credentials after their label and
-names with a title; the full or family name of such a person is found in the
+names with a title (untitled names, dates of birth and street addresses are not found); the full or family name of such a person is found in the
 rest of the document as well, and is the same entity. A surrogate
 keeps what the kind shows: the shape of a number, its check digits, the script
 and gender of a name. It is drawn by a keyed hash of the entity, so the same
@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 import hmac
+import ipaddress
 import re
 import sys
 from collections.abc import Iterable, Iterator
@@ -29,13 +30,14 @@ from itertools import count
 from operator import or_
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowbridge.common import column, stage
 
-KEY = b"rowbridge surrogates"
+# Name of the session setting that holds the key; Spark hides the values of settings called secret.
+KEY_SETTING = "spark.rowbridge.surrogate.secret"
 
 # Titles by gender, and names to draw from, per script. Names of one list all fit its script and gender.
 TITLES = {
@@ -43,19 +45,27 @@ TITLES = {
     ("latin", "m"): ("Mr", "Herr", "Monsieur", "Señor", "Sr"),
     ("cyrillic", "f"): ("г-жа", "Г-жа", "госпожа", "Госпожа"),
     ("cyrillic", "m"): ("г-н", "Г-н", "господин", "Господин"),
+    ("greek", "f"): ("κυρία", "Κυρία"),
+    ("greek", "m"): ("κύριος", "Κύριος"),
+    ("latin", "n"): ("Dr", "Prof"),
 }
 GIVEN = {
     ("latin", "f"): "Ada Alma Bella Carla Clara Dora Edda Elena Emma Eva Flora Greta Hanna Ida Irma Julia Klara Lena Lina Lotte Mara Marta Mia Nadia Nina Nora Olga Paula Rita Rosa Sara Sofia Stella Thea Vera Wanda".split(),
     ("latin", "m"): "Adam Albert Anton Arno Bruno Carl Cyril David Edgar Emil Erik Felix Frank Georg Hugo Ivan Jakob Jonas Karl Kurt Leo Linus Lukas Marco Max Nils Oskar Otto Paul Peter Ralf Robert Simon Theo Viktor Walter".split(),
     ("cyrillic", "f"): "Анна Вера Галина Дарья Елена Зоя Ирина Лидия Мария Нина Ольга Полина Раиса Софья Тамара Юлия".split(),
     ("cyrillic", "m"): "Антон Борис Вадим Глеб Денис Егор Иван Кирилл Лев Максим Олег Павел Роман Семён Тимур Фёдор".split(),
+    ("greek", "f"): "Αθηνά Άννα Ελένη Ειρήνη Θάλεια Ιωάννα Μαρία Νίκη Σοφία Χλόη".split(),
+    ("greek", "m"): "Αλέξης Γιάννης Δημήτρης Θωμάς Κώστας Λουκάς Νίκος Πέτρος Στέφανος Φώτης".split(),
+    ("latin", "n"): "Alex Andrea Billie Chris Dana Eike Jona Kay Kim Luca Maxime Mika Noa Robin Sam Toni".split(),
 }
 FAMILY = {
     ("latin", "f"): "Abel Adler Bach Barlow Becker Berg Carver Costa Dahl Dalton Egger Ellis Faber Foster Garner Haas Hale Holt Keller Kern Lang Lowell Mann Marlow Moser Nagel Norden Pohl Porter Quinn Reed Roth Sander Thorn Vogel Weller".split(),
     ("cyrillic", "f"): "Белова Волкова Громова Жукова Зайцева Крылова Лебедева Морозова Орлова Павлова Романова Соколова Титова Фролова Чернова Шилова".split(),
     ("cyrillic", "m"): "Белов Волков Громов Жуков Зайцев Крылов Лебедев Морозов Орлов Павлов Романов Соколов Титов Фролов Чернов Шилов".split(),
 }
-FAMILY["latin", "m"] = FAMILY["latin", "f"]
+FAMILY["greek", "f"] = "Γεωργίου Δούκα Ζερβού Κανέλλη Λιβανού Μελά Νικολάου Παππά Ράλλη Σταύρου".split()
+FAMILY["greek", "m"] = "Γεωργίου Δούκας Ζερβός Κανέλλης Λιβανός Μελάς Νικολάου Παππάς Ράλλης Σταύρου".split()
+FAMILY["latin", "m"] = FAMILY["latin", "n"] = FAMILY["latin", "f"]
 DOMAINS = ("example.com", "example.net", "example.org")
 
 _TITLE = {t: kind for kind, titles in TITLES.items() for t in titles}
@@ -73,12 +83,20 @@ _FULL_NAME = (
 )
 _QUOTED_OR = r"""["']?\s{0,3}(?:=>|:=|[=:])\s{0,3}"""
 _PATTERNS: tuple[tuple[str, re.Pattern], ...] = (
+    ("pem", re.compile(r"-----BEGIN [A-Z0-9 ]{0,24}PRIVATE KEY-----([^-]+)-----END ", re.ASCII)),
+    # Credentials that show by their beginning: provider prefixes, signed web tokens, bearer headers.
+    ("token", re.compile(
+        r"(?<![\w-])(?:((?:gh[pousr]_|glpat-|xox[abpr]-)[\w-]{16,})|(eyJ[\w-]{8,}\.[\w-]{4,}\.[\w-]{4,})|[Bb]earer (?=[\w.~+/-]*\d)([\w.~+/-]{16,}=*))",
+        re.ASCII,
+    )),
+    ("ipv6", re.compile(r"(?<![\w:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?=[0-9A-Fa-f:]{0,38}::)(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{1,4})(?![\w:])", re.ASCII)),
+    ("mac", re.compile(r"(?<![\w:-])[0-9A-Fa-f]{2}(?:(?::[0-9A-Fa-f]{2}){5}|(?:-[0-9A-Fa-f]{2}){5})(?![\w:-])", re.ASCII)),
     ("email", re.compile(r"(?<![\w.+%-])[\w.+%-]{1,64}@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.)+[A-Za-z]{2,24}(?![\w-])", re.ASCII)),
     ("ip", re.compile(r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?!\w|\.\d)", re.ASCII)),
     ("iban", re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)", re.ASCII)),
     ("card", re.compile(r"(?<![\w.+-])\d(?:[ -]?\d){12,18}(?![\w]|[.-]\d)", re.ASCII)),
     ("ssn", re.compile(r"(?<![\w-])(?!000|666|9\d\d)\d{3}-(?!00)\d{2}-(?!0000)\d{4}(?![\w-])", re.ASCII)),
-    ("phone", re.compile(r"(?<![\w.+-])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{1,4}(?:[ .-]?\d{2,4}){2,4}|(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4})(?![\w]|[.-]\d)", re.ASCII)),
+    ("phone", re.compile(r"(?<![\w.+-])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{1,4}(?:[ .-]?\d{2,4}){2,4}|(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4}|(?<!\d )\d{3} \d{3} \d{4}(?! \d))(?![\w]|[.-]\d)", re.ASCII)),
     ("key", re.compile(r"(?<!\w)(?:AKIA|ASIA)[A-Z0-9]{16}(?!\w)", re.ASCII)),
     ("password", re.compile(r"(?i)(?<![a-z0-9])(?:password|passwd|pwd)" + _QUOTED_OR + r"""(?:"([^"\n]+)"|'([^'\n]+)'|((?:(?!&\w+=)[^\s,;'"<>]){4,}))""", re.ASCII)),
     # A credential without quotes has a digit, or prose after a colon would count.
@@ -88,7 +106,7 @@ _PATTERNS: tuple[tuple[str, re.Pattern], ...] = (
         + r"""(?:"([\w./+=~-]{6,})"|'([\w./+=~-]{6,})'|(?=[a-z_./+=~-]*\d)([\w./+=~-]{8,})(?![\w(\[]))""",
         re.ASCII,
     )),
-    ("name", re.compile(r"(?<!\w)(" + "|".join(sorted(map(re.escape, _TITLE), key=len, reverse=True)) + rf")\.? ({_FULL_NAME})(?!\w)")),
+    ("name", re.compile(r"(?<!\w)(" + "|".join(sorted(map(re.escape, _TITLE), key=len, reverse=True)) + rf")\.? (?:(?:Dr|Prof)\.? )*(?!(?:Dr|Prof)\b)({_FULL_NAME})(?!\w)")),
 )
 # Java's search for anything one of the patterns could match: a superset, and cheap. Most characters start none of it.
 CANDIDATE = (
@@ -96,6 +114,11 @@ CANDIDATE = (
     r"|[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2}|(?:Mrs?|Ms|Miss|Frau|Herr|Madame|Monsieur|Mme|Señora?|Sra?)\.? "
     r"|(?:[Гг]-н|[Гг]-жа|[Гг]оспожа|[Гг]осподин)\.? )"
 )
+# As CANDIDATE, for what starts otherwise: key blocks, prefixed credentials, long addresses, spaced numbers, further titles.
+CANDIDATE_TOO = (
+    r"(?=[-:gxeBbDP\dΚκ])(?:-----BEGIN |:[0-9A-Fa-f]{0,4}:|-[0-9A-Fa-f]{2}-[0-9A-Fa-f]{2}-|gh[pousr]_|glpat-|xox[abpr]-|eyJ[\w-]{8}"
+    r"|[Bb]earer |\d{3} \d{3} \d{4}|(?:Dr|Prof)\.? |[Κκ](?:ύριος|υρία)\.? )"
+)
 LABELS = ("passw", "pwd", "token", "secret", "key")
 LABELLED = r"""(?i)(?:passwo?r?d|pwd|token|secret|key)["']?\s{0,3}[=:]"""
 # Draws within the shape of an entity; every later draw is longer, so a free surrogate always comes.
@@ -126,6 +149,15 @@ def _iban_rest(iban: str) -> int:
     return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97
 
 
+def _is_ipv6(value: str) -> bool:
+    """Whether it is an address, and not a word of code such as ``ab::cd``."""
+    try:
+        ipaddress.IPv6Address(value)
+    except ValueError:
+        return False
+    return any(c.isdigit() for c in value) and len(value) > 5
+
+
 def _family(name: str) -> str:
     return re.split("[ -]", name)[-1]
 
@@ -171,6 +203,8 @@ def find(text: str | None) -> list[Entity]:
             value, traits = m.string[start:end], ""
             if kind == "iban" and _iban_rest(value.replace(" ", "")) != 1:
                 continue
+            if kind == "ipv6" and not _is_ipv6(value):
+                continue
             if kind == "phone" and not 7 <= len(_digits(value)) <= 15:
                 continue
             if kind == "name":
@@ -205,6 +239,10 @@ def canonical(kind: str, value: str) -> str:
         return _digits(value)
     if kind == "iban":
         return value.replace(" ", "")
+    if kind == "ipv6":
+        return ipaddress.IPv6Address(value).compressed
+    if kind == "mac":
+        return value.lower().replace("-", "").replace(":", "")
     return value
 
 
@@ -245,7 +283,7 @@ def _unlike(c: str, draws: _Draws) -> str:
     return _SYMBOLS[draws.below(len(_SYMBOLS))]
 
 
-def surrogate(kind: str, entity: str, traits: str, attempt: int, key: bytes = KEY) -> str:
+def surrogate(kind: str, entity: str, traits: str, attempt: int, key: bytes) -> str:
     """The canonical surrogate an entity draws at its ``attempt``-th try.
 
     All kinds but names keep the entity's length and character classes for the
@@ -263,6 +301,15 @@ def surrogate(kind: str, entity: str, traits: str, attempt: int, key: bytes = KE
         if extra:  # the prefix kept for documentation
             return "2001:db8:" + ":".join(f"{draws.below(1 << 16):x}" for _ in range(6))
         return ".".join(str(1 + draws.below(254)) for _ in range(4))
+    if kind == "ipv6":  # 96 bits below the prefix kept for documentation
+        return "2001:db8:" + ":".join(f"{draws.below(1 << 16):x}" for _ in range(6))
+    if kind == "mac":  # locally administered: no maker has it
+        return "02" + "".join("0123456789abcdef"[draws.below(16)] for _ in range(10 + 2 * extra))
+    if kind == "token":
+        prefix = re.match("gh[pousr]_|glpat-|xox[abpr]-|eyJ|", entity).group()
+        return prefix + "".join(_like(c, draws) for c in entity[len(prefix) :] + "a" * extra)
+    if kind == "pem":
+        return "".join(_like(c, draws) for c in entity.rstrip() + "a" * extra) + entity[len(entity.rstrip()) :]
     if kind == "card":
         made = entity[0] + "".join(str(draws.below(10)) for _ in range(len(entity) - 2 + extra))
         right = next(d for d in "0123456789" if _luhn(made + d))
@@ -307,6 +354,9 @@ def shaped(kind: str, value: str, made: str, entity: str | None = None) -> str:
     if kind == "iban":
         left = iter(made)
         return "".join([c if c == " " else next(left) for c in value] + [*left])
+    if kind == "mac":
+        left = iter(made.upper() if value.isupper() else made)
+        return "".join([c if c in ":-" else next(left) for c in value] + [*left])
     return made
 
 
@@ -352,7 +402,7 @@ def _drawn(entities: DataFrame, key: bytes) -> DataFrame:
     return entities.mapInArrow(run, schema)
 
 
-def assign(mentions: DataFrame, key: bytes = KEY) -> DataFrame:
+def assign(mentions: DataFrame, key: bytes) -> DataFrame:
     """(kind, canonical, traits, made) for the distinct entities of (kind, canonical, traits) mentions.
 
     No two entities of a kind share a surrogate, and none is a real entity of
@@ -405,7 +455,12 @@ def _replaced(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([row, pa.array(out, pa.string()), entities], names=["row", "text", "entities"])
 
 
-def pseudonymize(docs: DataFrame, text: str = "text", key: bytes = KEY) -> DataFrame:
+def session_key(spark: SparkSession) -> bytes:
+    """The key of the session's setting. Without one it is empty: surrogates are then consistent, but anyone can redraw them."""
+    return (spark.conf.get(KEY_SETTING, None) or "").encode()
+
+
+def pseudonymize(docs: DataFrame, key: bytes, text: str = "text") -> DataFrame:
     """(row: struct of the other columns, text, entities): texts with surrogates.
 
     ``entities`` lists what was replaced, as it stood in the input. A text
@@ -418,7 +473,7 @@ def pseudonymize(docs: DataFrame, text: str = "text", key: bytes = KEY) -> DataF
     )
     small = F.lower("text")
     labelled = reduce(or_, (small.contains(label) for label in LABELS)) & F.col("text").rlike(LABELLED)
-    suspect = F.coalesce(F.col("text").rlike(CANDIDATE) | labelled, F.lit(False))
+    suspect = F.coalesce(F.col("text").rlike(CANDIDATE) | F.col("text").rlike(CANDIDATE_TOO) | labelled, F.lit(False))
     touched = detect(given.where(suspect)).withColumn("rid", F.monotonically_increasing_id())
     # Written once: its row numbers and detections are data from here on.
     touched = stage(touched, "pii-touched")

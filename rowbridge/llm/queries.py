@@ -257,7 +257,7 @@ def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with surrogates in place of personal data."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    safe = pii.pseudonymize(docs)
+    safe = pii.pseudonymize(docs, pii.session_key(spark))
     return safe.select(
         F.col("row.doc_id").alias("doc_id"),
         F.size("entities").cast("long").alias("n_entities"),
