@@ -2,17 +2,27 @@
 
 Every statistic is one narrow projection over the whole text. The outlier rule
 estimates, for every (language, source), centre and covariance of the
-transformed statistics by the minimum covariance determinant: starting from
-median and quartiles, each concentration step keeps the share ``core`` of the
-group's documents with the smallest Mahalanobis distance and estimates anew
-from those. A step is one aggregation: documents are counted and summed per
-(group, bin of the distance), the innermost bins that hold the core are added
-up, and a Cholesky factor in column arithmetic gives the next distance. Only
-narrow numbers are staged; no step sees a text.
+transformed statistics by the minimum covariance determinant: the share ``core``
+of the group's documents whose covariance has the smallest determinant. Three
+deterministic starts (``_starts``) take two concentration steps each, which keep
+the documents of the smallest Mahalanobis distance and estimate anew from those;
+the start of the smallest log-determinant goes on, per group, until it falls no more.
+
+A step is one aggregation for all starts and groups: documents are counted and
+summed per (group, start, bin of the distance) and the innermost bins that hold
+the core are added up, the last of them by the share that the core still needs.
+A Cholesky factor in column arithmetic gives the next distance and, by its
+diagonal, the determinant. Only narrow numbers are staged; no step sees a text.
+
+Two fixed terms keep covariances of small groups regular: ``FLOORS``, and
+``prior`` documents of the whole language. As neither changes between steps,
+a step still never raises the determinant.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,9 +36,12 @@ SYMBOLS = r"[#*$%&|<>]"
 FLOORS = (0.10, 0.05, 0.15, 0.12, 0.50)
 DIMENSIONS = len(FLOORS)
 _GRID = 256
-_BINS_PER_E = 16
+_BINS_PER_E = 32
 SALTS = 32
 _PAIRS = [(i, j) for i in range(DIMENSIONS) for j in range(i + 1)]
+_CENTRE = [f"m{i}" for i in range(DIMENSIONS)]
+_FACTOR = [f"l{i}{j}" for i, j in _PAIRS]
+_SUMS = ["n", *[f"s{i}" for i in range(DIMENSIONS)], *[f"q{i}{j}" for i, j in _PAIRS]]
 
 
 def with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -103,15 +116,20 @@ def _f(i: int) -> Column:
     return F.col(f"f{i}")
 
 
-def _with_distance(df: DataFrame, estimates: DataFrame) -> DataFrame:
-    """Add ``d2``, the squared Mahalanobis distance, by forward substitution.
+def _joined(df: DataFrame, estimates: DataFrame) -> DataFrame:
+    """Rows with the estimates of their group, one row for each start.
 
     Estimates are repeated per salt, so that a join that shuffles splits a group
     over ``SALTS`` tasks, and a later aggregate combines before it gathers a group.
     """
     salted = estimates.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     salt = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")
-    joined = df.withColumn("__salt", salt).join(salted, ["grp", "__salt"], "left").drop("__salt")
+    return df.withColumn("__salt", salt).join(salted, ["grp", "__salt"], "left").drop("__salt")
+
+
+def _with_distance(df: DataFrame, estimates: DataFrame) -> DataFrame:
+    """Add ``d2``, the squared Mahalanobis distance, by forward substitution."""
+    joined = _joined(df, estimates)
     solved: list[Column] = []
     for i in range(DIMENSIONS):
         rest = _f(i) - F.col(f"m{i}")
@@ -122,103 +140,187 @@ def _with_distance(df: DataFrame, estimates: DataFrame) -> DataFrame:
     d2 = solved[0]
     for x in solved[1:]:
         d2 = d2 + x
-    drop = [c for c in estimates.columns if c not in ("grp", "unit")] + [f"z{i}" for i in range(DIMENSIONS)]
-    return joined.withColumn("d2", d2).drop(*drop)
+    used = {*_CENTRE, *_FACTOR, "logdet"} & set(estimates.columns)
+    return joined.withColumn("d2", d2).drop(*used, *[f"z{i}" for i in range(DIMENSIONS)])
 
 
-def _factor(sums: DataFrame) -> DataFrame:
-    """Centre and Cholesky factor per group from (grp, n, s*, q*)."""
-    df = sums.select("grp", "n", *[(F.col(f"s{i}") / F.col("n")).alias(f"m{i}") for i in range(DIMENSIONS)],
-                     *[F.col(f"q{i}{j}") for i, j in _PAIRS])
+def _factor(moments: DataFrame) -> DataFrame:
+    """Cholesky factor and log-determinant from (grp, start, centre m*, covariance c*)."""
+    df = moments
     for i, j in _PAIRS:
-        covariance = F.col(f"q{i}{j}") / F.col("n") - F.col(f"m{i}") * F.col(f"m{j}")
+        rest = F.col(f"c{i}{j}")
         for k in range(j):
-            covariance = covariance - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
+            rest = rest - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
         if i == j:
             # The floor is added to the variance, and rounding cannot undercut it.
-            entry = F.sqrt(F.greatest(covariance, F.lit(0.0)) + F.lit(FLOORS[i] ** 2))
+            entry = F.sqrt(F.greatest(rest, F.lit(0.0)) + F.lit(FLOORS[i] ** 2))
         else:
-            entry = covariance / F.col(f"l{j}{j}")
+            entry = rest / F.col(f"l{j}{j}")
         df = df.withColumn(f"l{i}{j}", entry)
-    return df.select("grp", *[f"m{i}" for i in range(DIMENSIONS)], *[f"l{i}{j}" for i, j in _PAIRS])
+    logdet = F.lit(0.0)
+    for i in range(DIMENSIONS):
+        logdet = logdet + 2 * F.log(F.col(f"l{i}{i}"))
+    return df.select("grp", "start", *_CENTRE, *_FACTOR, logdet.alias("logdet"))
+
+
+def _moments(sums: DataFrame) -> DataFrame:
+    centre = sums.select("*", *[(F.col(f"s{i}") / F.col("n")).alias(f"m{i}") for i in range(DIMENSIONS)])
+    covariance = [
+        (F.col(f"q{i}{j}") / F.col("n") - F.col(f"m{i}") * F.col(f"m{j}")).alias(f"c{i}{j}") for i, j in _PAIRS
+    ]
+    return centre.select("grp", "start", *_CENTRE, *covariance)
 
 
-def _start(stats: DataFrame) -> DataFrame:
-    """Median and quartiles of each statistic on a fixed grid, so that states stay small."""
+def _plain_sums() -> list[Column]:
+    return [
+        F.count(F.lit(1)).cast("double").alias("n"),
+        *[F.sum(_f(i)).alias(f"s{i}") for i in range(DIMENSIONS)],
+        *[F.sum(_f(i) * _f(j)).alias(f"q{i}{j}") for i, j in _PAIRS],
+    ]
+
+
+def _starts(stats: DataFrame) -> DataFrame:
+    """Three first estimates per group.
+
+    0: medians, and quartiles as spreads, without correlations. 1: medians, and the
+    covariance of the directions from the medians, in which a far document weighs
+    no more than a near one. 2: mean and covariance of all documents. Quartiles are
+    taken on a fixed grid, so that states stay small.
+    """
     quartiles = stats.groupBy("grp").agg(
         *[F.percentile(F.round(_f(i) * _GRID) / _GRID, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"p{i}")
           for i in range(DIMENSIONS)]
     )
-    spread = [(F.get(F.col(f"p{i}"), F.lit(2)) - F.get(F.col(f"p{i}"), F.lit(0))) / 1.349 for i in range(DIMENSIONS)]
-    return quartiles.select(
-        "grp",
-        *[F.get(F.col(f"p{i}"), F.lit(1)).alias(f"m{i}") for i in range(DIMENSIONS)],
-        *[
-            (F.sqrt(spread[i] * spread[i] + FLOORS[i] ** 2) if i == j else F.lit(0.0)).alias(f"l{i}{j}")
-            for i, j in _PAIRS
-        ],
+
+    def spread(i: int) -> Column:
+        middle_half = (F.get(F.col(f"p{i}"), F.lit(2)) - F.get(F.col(f"p{i}"), F.lit(0))) / 1.349
+        return F.sqrt(middle_half * middle_half + FLOORS[i] ** 2)
+
+    middles = stage(
+        quartiles.select(
+            "grp",
+            *[F.get(F.col(f"p{i}"), F.lit(1)).alias(f"m{i}") for i in range(DIMENSIONS)],
+            *[spread(i).alias(f"d{i}") for i in range(DIMENSIONS)],
+        ),
+        "quality-middles",
+    )
+    away = _joined(stats, middles)
+    for i in range(DIMENSIONS):
+        away = away.withColumn(f"u{i}", (_f(i) - F.col(f"m{i}")) / F.col(f"d{i}"))
+    length = F.lit(1e-12)
+    for i in range(DIMENSIONS):
+        length = length + F.col(f"u{i}") * F.col(f"u{i}")
+    sums = away.withColumn("r2", length).groupBy("grp").agg(
+        *_plain_sums(),
+        *[F.sum(F.col(f"u{i}") * F.col(f"u{j}") / F.col("r2")).alias(f"g{i}{j}") for i, j in _PAIRS],
+        *[F.max(F.col(c)).alias(c) for c in (*_CENTRE, *[f"d{i}" for i in range(DIMENSIONS)])],
+    )
+
+    def from_medians(start: int, covariance) -> DataFrame:
+        return sums.select("grp", F.lit(start).alias("start"), *_CENTRE,
+                           *[covariance(i, j).cast("double").alias(f"c{i}{j}") for i, j in _PAIRS])
+
+    sums = stage(sums, "quality-sums")
+    quartile = from_medians(0, lambda i, j: F.col(f"d{i}") * F.col(f"d{i}") - FLOORS[i] ** 2 if i == j else F.lit(0.0))
+    direction = from_medians(
+        1, lambda i, j: F.col(f"g{i}{j}") * F.col(f"d{i}") * F.col(f"d{j}") * DIMENSIONS / F.col("n")
     )
+    whole = _moments(sums.select("grp", F.lit(2).alias("start"), *_SUMS))
+    return _factor(quartile.unionByName(direction).unionByName(whole))
 
 
 def _binned(stats: DataFrame, estimates: DataFrame) -> DataFrame:
-    """Counts and sums per (grp, bin of d2), with the count of all bins before."""
+    """Counts and sums per (grp, start, bin of d2), with the count of all bins before."""
     bins = F.floor(F.log(F.col("d2") + 1e-6) * _BINS_PER_E).cast("int")
-    summed = (
-        _with_distance(stats, estimates)
-        .groupBy("grp", bins.alias("bin"))
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            *[F.sum(_f(i)).alias(f"s{i}") for i in range(DIMENSIONS)],
-            *[F.sum(_f(i) * _f(j)).alias(f"q{i}{j}") for i, j in _PAIRS],
-        )
-    )
-    group = Window.partitionBy("grp")
-    return summed.withColumn(
-        "before", F.coalesce(F.sum("n").over(group.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ).withColumn("all", F.sum("n").over(group))
+    summed = _with_distance(stats, estimates).groupBy("grp", "start", bins.alias("bin")).agg(*_plain_sums())
+    group = Window.partitionBy("grp", "start")
+    inner = group.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("n").over(inner), F.lit(0.0))
+    return summed.withColumn("before", before).withColumn("all", F.sum("n").over(group))
 
 
-def _concentrate(stats: DataFrame, estimates: DataFrame, core: float, prior: int) -> DataFrame:
-    sums = ["n", *[f"s{i}" for i in range(DIMENSIONS)], *[f"q{i}{j}" for i, j in _PAIRS]]
-    groups = (
-        _binned(stats, estimates)
-        .where(F.col("before") < F.ceil(F.col("all") * core))
-        .groupBy("grp")
-        .agg(*[F.sum(c).alias(c) for c in sums])
-    )
-    groups = stage(groups, "quality-core")
-    # Documents of the language at large count as `prior` documents in each of its sources.
-    language = F.struct(F.col("grp.lang").alias("lang")).alias("language")
-    whole = groups.groupBy(language).agg(*[F.sum(c).alias(f"a_{c}") for c in sums])
-    share = F.lit(float(prior)) / F.col("a_n")
-    blended = groups.withColumn("language", F.struct(F.col("grp.lang").alias("lang"))).join(whole, "language")
-    return _factor(blended.select("grp", *[(F.col(c) + F.col(f"a_{c}") * share).alias(c) for c in sums]))
+def _core(stats: DataFrame, estimates: DataFrame, core: float) -> DataFrame:
+    """Sums of the ``ceil(core * n)`` documents nearest to each estimate."""
+    needed = F.ceil(F.col("all") * core)
+    share = F.least(F.lit(1.0), (needed - F.col("before")) / F.col("n"))
+    inside = _binned(stats, estimates).where(F.col("before") < needed).withColumn("share", share)
+    return inside.groupBy("grp", "start").agg(*[F.sum(F.col(c) * F.col("share")).alias(c) for c in _SUMS])
+
+
+def _language() -> Column:
+    return F.struct(F.col("grp.lang").alias("lang")).alias("language")
+
+
+def _estimated(cores: DataFrame, language: DataFrame, prior: int) -> DataFrame:
+    """Estimates from the sums of cores and ``prior`` documents of the language."""
+    blended = cores.select("grp", "start", _language(), *_SUMS).join(language, "language")
+    weight = F.lit(float(prior)) / F.col("a_n")
+    return _factor(_moments(blended.select(
+        "grp", "start", *[(F.col(c) + F.col(f"a_{c}") * weight).alias(c) for c in _SUMS]
+    )))
+
+
+def _lower(now: DataFrame, then: DataFrame | None = None) -> DataFrame:
+    """Per group the estimate of the smallest determinant, and by how much it ``fell``."""
+    both = now.withColumn("late", F.lit(True))
+    if then is not None:
+        both = both.unionByName(then.drop("fell").withColumn("late", F.lit(False)))
+    kept = F.min_by(F.struct("start", *_CENTRE, *_FACTOR, "logdet"), F.struct("logdet", "start")).alias("kept")
+    fell = (F.max(F.when(~F.col("late"), F.col("logdet"))) - F.min("logdet")).alias("fell")
+    return both.groupBy("grp").agg(kept, fell).select("grp", "kept.*", "fell")
 
 
 # Median of the chi-square distribution with DIMENSIONS degrees of freedom.
 CHI2_MEDIAN = 4.351
 
 
+def chi_square_cutoff(tail: float) -> float:
+    """The squared distance that a share ``tail`` of normal documents exceeds, for 5 degrees of freedom."""
+    if not 0 < tail < 1:
+        raise ValueError("the share beyond the cutoff must lie between 0 and 1")
+    low, high = 0.0, 2000.0
+    for _ in range(100):
+        x = (low + high) / 2
+        beyond = math.erfc(math.sqrt(x / 2)) + math.sqrt(2 * x / math.pi) * math.exp(-x / 2) * (1 + x / 3)
+        low, high = (x, high) if beyond > tail else (low, x)
+    return high
+
+
 def fit_outliers(
-    counts: DataFrame, lang: str = "lang", source: str = "source", core: float = 0.75, steps: int = 4, prior: int = 64
+    counts: DataFrame, lang: str = "lang", source: str = "source", core: float = 0.75, prior: int = 64,
+    tolerance: float = 1e-3, most_steps: int = 50,
 ) -> DataFrame:
     """Estimates per group ``grp`` (struct of lang and source, nulls being values).
 
+    Steps end once no group's log-determinant falls by ``tolerance``, at the latest
+    after ``most_steps``. ``start`` tells which start won, ``logdet`` its determinant.
     ``unit`` divides the distances of a group whose median exceeds that of the
     chi-square distribution; it never enlarges a distance. Documents the counting rules reject take no part.
     An empty table gives no estimates.
     """
     stats = stage(_statistics(counts, lang, source).select("grp", *[f"f{i}" for i in range(DIMENSIONS)]), "quality")
-    estimates = stage(_start(stats), "quality-start")
-    for _ in range(steps):
-        estimates = stage(_concentrate(stats, estimates, core, prior), "quality-step")
+    cores = stage(_core(stats, stage(_starts(stats), "quality-start"), core), "quality-core")
+    # The language's documents, by the cores of the first start, stay the same in all steps.
+    language = stage(
+        cores.where("start = 0").groupBy(_language()).agg(*[F.sum(c).alias(f"a_{c}") for c in _SUMS]),
+        "quality-language",
+    )
+    first = stage(_estimated(cores, language, prior), "quality-first")
+    second = stage(_estimated(_core(stats, first, core), language, prior), "quality-second")
+    best = stage(_lower(second), "quality-best")
+    for _ in range(most_steps):
+        step = _estimated(_core(stats, best.drop("fell"), core), language, prior)
+        best = stage(_lower(step, best), "quality-best")
+        if (best.agg(F.max("fell")).head()[0] or 0.0) < tolerance:
+            break
+    best = best.drop("fell")
     middle = (
-        _binned(stats, estimates)
+        _binned(stats, best)
         .where(F.col("before") < F.col("all") / 2)
         .groupBy("grp")
         .agg(F.greatest(F.lit(1.0), F.exp((F.max("bin") + 1) / float(_BINS_PER_E)) / CHI2_MEDIAN).alias("unit"))
     )
-    return stage(estimates.join(middle, "grp", "left"), "quality-fit")
+    return stage(best.join(middle, "grp", "left"), "quality-fit")
 
 
 def _statistics(counts: DataFrame, lang: str, source: str) -> DataFrame:
@@ -229,10 +331,13 @@ def _statistics(counts: DataFrame, lang: str, source: str) -> DataFrame:
 
 
 def judge(
-    counts: DataFrame, estimates: DataFrame, lang: str = "lang", source: str = "source", cutoff: float = 30.0
+    counts: DataFrame, estimates: DataFrame, lang: str = "lang", source: str = "source", tail: float = 1e-5
 ) -> DataFrame:
     """Add ``base_failed``, ``distance`` (null if not measured) and ``kept``.
 
+    A document is an outlier if its distance passes the chi-square quantile that
+    a share ``tail`` of normal documents would pass.
+
     The table of estimates is small and read from files, so Spark broadcasts it
     if it measures below its threshold and else joins with skew handling. A
     document whose group has no estimate, or whose distance is null, is kept if
@@ -248,12 +353,12 @@ def judge(
     failed = base_failed(F.col("n_words"), F.col("n_repeat_words"))
     rows = rows.select(carried, "grp", failed.alias("__failed"),
                        *[F.when(~failed, f).alias(f"f{i}") for i, f in enumerate(_features())])
-    measured = _with_distance(rows, estimates).withColumn("__distance", F.col("d2") / F.col("unit"))
+    measured = _with_distance(rows, estimates.drop("start")).withColumn("__distance", F.col("d2") / F.col("unit"))
     verdict = measured.select(
         F.col(f"`{carried}`.*"),
         F.col("__failed").alias("__base_failed"),
         F.col("__distance"),
-        (~F.col("__failed") & F.coalesce(F.col("__distance") <= cutoff, F.lit(True))).alias("__kept"),
+        (~F.col("__failed") & F.coalesce(F.col("__distance") <= chi_square_cutoff(tail), F.lit(True))).alias("__kept"),
     )
     return put(
         verdict, base_failed=F.col("__base_failed"), distance=F.col("__distance"), kept=F.col("__kept")
