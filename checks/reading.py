@@ -16,6 +16,7 @@ from rowbridge.operators.splits import (
 from rowbridge.sinks.delimited import write_delimited as write_text
 from rowbridge.sources import tables as scans
 from rowbridge.sources.delimited import read_delimited as read_text
+from rowbridge.sources.predicates import predicate_scan as scan_ranges
 
 CHECKS: dict = {}
 check = collector(CHECKS)
@@ -87,6 +88,15 @@ def range_partitioned_read(spark, sf):
     return read_range_partitioned(orders, "k", 7, "o_orderstatus = 'O'", ["o_orderkey", "k"])
 
 
+@check(CHECKS["range_partitioned_read"][1])
+def predicate_scan(spark, sf):
+    """The orders in files of neighbouring customers; each range opens the files that can hold it."""
+    path = scratch_path(spark, "ranges")
+    keyed = table(spark, sf, "orders").selectExpr("case when o_orderkey % 11 <> 0 then o_custkey end as k", "*")
+    keyed.repartitionByRange(16, "k").write.parquet(path)
+    return scan_ranges(spark, path, "k", 7, "o_orderstatus = 'O'", ["o_orderkey", "k"])
+
+
 @check(
     """
     select c_custkey::varchar as c_custkey, c_name, c_nationkey::varchar as c_nationkey,
