@@ -16,6 +16,7 @@ from rowbridge.operators.report import RowCounter
 from rowbridge.operators.report import export_stats as count_export
 from rowbridge.operators.transforms import apply_chain
 from rowbridge.sinks import columnar, partitions
+from rowbridge.sinks.chunks import export_column_chunks as write_column_chunks
 from rowbridge.sinks.chunks import export_row_chunks as write_row_chunks
 from rowbridge.sinks.delimited import export_csv as write_csv
 from rowbridge.plans.job import Job
@@ -264,6 +265,42 @@ def column_chunks(spark, sf):
     return unpivot_columns(number_rows(rows, ["c_custkey"]))
 
 
+@check(
+    """
+    with r as (select (row_number() over (order by o_orderkey) - 1) // 4000 as chunk_id, o_orderkey, o_totalprice,
+                      case when o_orderkey % 3 <> 0 then o_orderpriority end as o_orderpriority from orders),
+         text as (select chunk_id, 1 as col_idx, o_orderkey::varchar as value, 'o_orderkey' as title from r
+                  union all select chunk_id, 2, round(o_totalprice * 100)::bigint::varchar, 'cents' from r
+                  union all select chunk_id, 3, coalesce(o_orderpriority, ''), 'o_orderpriority' from r)
+    select 'text' as form, chunk_id, col_idx, value from text
+    union all select distinct 'text', chunk_id, col_idx, title from text
+    union all select 'parquet', chunk_id, 1, o_orderkey::varchar from r
+    union all select 'parquet', chunk_id, 2, round(o_totalprice * 100)::bigint::varchar from r
+    union all select 'parquet', chunk_id, 3, o_orderpriority from r
+    """
+)
+def export_column_chunks(spark, sf):
+    """The orders column by column, as text and typed."""
+    orders = table(spark, sf, "orders").selectExpr(
+        "o_orderkey", "cast(round(o_totalprice * 100) as bigint) as cents",
+        "case when o_orderkey % 3 <> 0 then o_orderpriority end as o_orderpriority",
+    )
+    path = scratch_path(spark, "columns")
+    write_column_chunks(orders, f"{path}/text", 4000, order_by=["o_orderkey"])
+    write_column_chunks(orders, f"{path}/parquet", 4000, "parquet", order_by=["o_orderkey"])
+    lines = spark.read.schema("value string, col_idx int, chunk_id bigint").text(f"{path}/text")
+    found = lines.select(F.lit("text").alias("form"), "chunk_id", "col_idx", "value")
+    for i, field in enumerate(orders.schema.fields, 1):
+        typed = spark.read.schema(f"{field.name} {field.dataType.simpleString()}, chunk_id bigint").parquet(
+            f"{path}/parquet/col_idx={i:010d}"
+        )
+        cells = typed.select(
+            F.lit("parquet").alias("form"), "chunk_id", F.lit(i).alias("col_idx"), F.col(field.name).cast("string").alias("value")
+        )
+        found = found.unionAll(cells)
+    return found
+
+
 @check(
     """
     select count(*) as source_rows, count(*) filter (where o_totalprice > 100000) as read,

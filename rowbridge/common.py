@@ -93,14 +93,19 @@ def staging(spark: SparkSession):
         drop_staged(spark, paths)
 
 
-def stage(df: DataFrame, purpose: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and continue from the files."""
-    spark = df.sparkSession
+def staged_path(spark: SparkSession, purpose: str) -> str:
+    """A scratch path that is deleted with what else is staged in the block."""
     path = scratch_path(spark, purpose)
     if _scopes.get():
         _scopes.get()[-1].append(path)
+    return path
+
+
+def stage(df: DataFrame, purpose: str) -> DataFrame:
+    """Write ``df`` once to the shared folder and continue from the files."""
+    path = staged_path(df.sparkSession, purpose)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def local_rows(spark: SparkSession, columns: dict[str, list], schema: str) -> DataFrame:

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowbridge.common import column, local_rows, stage, staging
+from rowbridge.common import column, local_rows, session_setting, staged_path, staging
 from rowbridge.functions.kinds import render
 from rowbridge.operators.numbering import column_chunks, number_rows, row_chunks
 from rowbridge.sinks.columnar import dates_as_text
@@ -19,6 +20,8 @@ from rowbridge.sources.delimited import separator
 DEFAULT_CHUNK_ROWS = 1_000_000
 INDEX_DIGITS = 10
 INDEX_FILE = "indexMap.json"
+# Fixed value: what Spark allows a table by default.
+MOST_BUCKETS = 100_000
 
 TEXT_TYPES = ("csv", "txt", "text")
 
@@ -105,7 +108,8 @@ def export_column_chunks(
     """One folder ``col_idx=<0000000001>`` per column, cut into row chunks.
 
     Text columns are written by one job over the long form. Typed formats keep
-    each column's type, so every column is a job reading that column alone.
+    each column's type, so every column is a job reading that column alone; rows
+    are shuffled to their chunks once, whatever the number of columns.
     Returns the name -> index map, which is also written next to the folders.
     """
     path = path.rstrip("/")
@@ -136,11 +140,30 @@ def _export_text_columns(df, path, rows, header, order_by, zone, plain) -> None:
 
 
 def _export_typed_columns(df, path, rows, file_type, order_by, zone) -> None:
+    """Rows move once, into buckets by chunk; a column's job reads whole buckets.
+
+    A chunk then lies in one task without another shuffle, and a file source
+    reads only the column asked for. The buckets are a table of this run.
+    """
+    spark = df.sparkSession
     data = df if file_type == "orc" else dates_as_text(df, zone)
-    # Staged, so that the jobs agree on the row numbers and read one column each.
-    chunked = stage(row_chunks(data, rows, order_by), "columns")
-    for i, name in enumerate(df.columns, 1):
-        cells = chunked.select("chunk_id", "row_id", column(name)).repartition("chunk_id")
-        ordered = cells.sortWithinPartitions("chunk_id", "row_id").select("chunk_id", column(name))
-        writer = _writer(ordered, ["chunk_id"]).option("compression", "none")
-        writer.format(file_type).save(f"{path}/col_idx={i:0{INDEX_DIGITS}d}")
+    chunked = row_chunks(data, rows, order_by)
+    buckets = min(int(spark.conf.get("spark.sql.shuffle.partitions")), MOST_BUCKETS)
+    table = f"rowbridge_columns_{uuid.uuid4().hex}"
+    staged = chunked.repartition(buckets, "chunk_id").write.bucketBy(buckets, "chunk_id")
+    staged.sortBy("chunk_id", "row_id").option("path", staged_path(spark, "columns")).saveAsTable(table)
+    try:
+        # Otherwise Spark cuts files by size where no join or aggregate asks for buckets.
+        with session_setting(spark, "spark.sql.sources.bucketing.autoBucketedScan.enabled", "false"):
+            for i, name in enumerate(df.columns, 1):
+                cells = typed_column(spark.table(table), name)
+                writer = _writer(cells, ["chunk_id"]).option("compression", "none")
+                writer.format(file_type).save(f"{path}/col_idx={i:0{INDEX_DIGITS}d}")
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
+def typed_column(bucketed: DataFrame, name: str) -> DataFrame:
+    """(chunk_id, column) in the order of the rows, from rows in buckets by chunk."""
+    ordered = bucketed.select("chunk_id", "row_id", column(name)).sortWithinPartitions("chunk_id", "row_id")
+    return ordered.select("chunk_id", column(name))

@@ -18,18 +18,18 @@ def spark():
 
 
 @pytest.fixture
-def persons(spark):
-    """The person table: id, name, age, email, create_time."""
+def visitors(spark):
+    """Visitors of a tower: id, name, height in cm, badge, time of entry."""
     rows = [
-        ("1", "张三", 18, "zhangsan@test.com", "2024-01-01 10:00:00"),
-        ("2", "李四", 22, "li4@test.com", "2024-01-02 11:00:00"),
-        ("3", "王五", 30, "wangwu@test.com", "2024-01-03 12:00:00"),
-        ("4", "赵六", 25, "zhaoliu@test.com", "2024-01-04 13:00:00"),
-        ("5", "孙七", 28, "sunqi@test.com", "2024-01-05 14:00:00"),
+        ("1", "Ødegård", 158, "north.17@gate.example", "2031-06-11 08:15:30"),
+        ("2", "Šárka", 172, "east.4@gate.example", "2031-06-11 09:40:00"),
+        ("3", "Ng Wei", 190, "north.3@gate.example", "2031-06-12 17:05:45"),
+        ("4", "Łucja", 175, "west.88@gate.example", "2031-06-13 10:00:10"),
+        ("5", "José", 181, "east.5@gate.example", "2031-06-15 23:59:59"),
     ]
-    return spark.createDataFrame(rows, "id string, name string, age int, email string, create_time string")
+    return spark.createDataFrame(rows, "id string, name string, height int, badge string, entered string")
 
 
 @pytest.fixture
-def three(persons):
-    return persons.where("id <= '3'")
+def three(visitors):
+    return visitors.where("id <= '3'")

@@ -101,20 +101,20 @@ def test_decoding(spark, kind, value, expected):
     assert (row.id, got) == ("r", expected)
 
 
-def test_text_cells_of_the_person_table(spark, three):
+def test_text_cells_of_the_visitors(spark, three):
     declared = [
         {"name": "cf1:id", "type": "string"},
         {"name": "cf1:name", "type": "string"},
-        {"name": "cf1:age", "type": "int"},
+        {"name": "cf1:height", "type": "int"},
     ]
     cells = [
         (r.id, "cf1", q, str(v).encode(), 1)
         for r in three.collect()
-        for q, v in (("id", r.id), ("name", r.name), ("age", r.age))
+        for q, v in (("id", r.id), ("name", r.name), ("height", r.height))
     ]
     df = spark.createDataFrame(cells, "rowkey string, family string, qualifier string, value binary, version long")
     rows = [tuple(r) for r in cells_to_rows(df, "id", declared).orderBy("id").collect()]
-    assert rows == [("1", "张三", 18), ("2", "李四", 22), ("3", "王五", 30)]
+    assert rows == [("1", "Ødegård", 158), ("2", "Šárka", 172), ("3", "Ng Wei", 190)]
     ranged = cells_to_rows(df, "id", declared, start_row="2", stop_row="3").collect()
     assert [r.id for r in ranged] == ["2"]
 

@@ -147,30 +147,30 @@ def test_script_deletes_from_a_plain_table(spark, tmp_path, overwrite):
         spark.sql("drop table if exists loose")
 
 
-def test_extract(spark, persons):
-    out = extract_table(persons, ["id", "age + 1 as next"], "And email like '%@test.com' and id <> '{x}'", "create_time desc")
-    assert [tuple(r) for r in out.collect()] == [("5", 29), ("4", 26), ("3", 31), ("2", 23), ("1", 19)]
+def test_extract(spark, visitors):
+    out = extract_table(visitors, ["id", "height + 1 as next"], "And badge like '%@gate.example' and id <> '{x}'", "entered desc")
+    assert [tuple(r) for r in out.collect()] == [("5", 182), ("4", 176), ("3", 191), ("2", 173), ("1", 159)]
     assert clean_where(" and android_id = 1") == "android_id = 1"
     assert clean_where("android_id = 1") == "android_id = 1"
     assert declared_columns(["a", {"name": "b", "type": "long"}, {"type": "int"}]) == [("a", "STRING"), ("b", "LONG")]
 
 
-def test_filter_and_columns_reach_the_scan(spark, persons, tmp_path):
-    persons.write.parquet(str(tmp_path / "p"))
-    out = extract_table(spark.read.parquet(str(tmp_path / "p")), ["id"], "age > 20")
+def test_filter_and_columns_reach_the_scan(spark, visitors, tmp_path):
+    visitors.write.parquet(str(tmp_path / "p"))
+    out = extract_table(spark.read.parquet(str(tmp_path / "p")), ["id"], "height > 160")
     plan = executed(out)
-    assert "PushedFilters: [IsNotNull(age), GreaterThan(age,20)]" in plan
-    assert "ReadSchema: struct<id:string,age:int>" in plan
+    assert "PushedFilters: [IsNotNull(height), GreaterThan(height,160)]" in plan
+    assert "ReadSchema: struct<id:string,height:int>" in plan
 
 
-def test_catalog_scan(spark, persons, tmp_path):
-    spark.sql(f"create table people (id varchar(3), age int) using parquet location '{tmp_path}/people'")
+def test_catalog_scan(spark, visitors, tmp_path):
+    spark.sql(f"create table people (id varchar(3), height int) using parquet location '{tmp_path}/people'")
     try:
-        persons.select("id", "age").write.insertInto("people")
-        out = read_catalog_table(spark, "people", ["people.id", "age years", "age * 2 twice"], "age > 25", "id")
-        assert out.columns == ["id", "years", "twice"]
-        assert [tuple(r) for r in out.collect()] == [("3", 30, 60), ("5", 28, 56)]
-        assert read_catalog_table(spark, "people", ["*"]).columns == ["id", "age"]
+        visitors.select("id", "height").write.insertInto("people")
+        out = read_catalog_table(spark, "people", ["people.id", "height cm", "height * 2 twice"], "height > 175", "id")
+        assert out.columns == ["id", "cm", "twice"]
+        assert [tuple(r) for r in out.collect()] == [("3", 190, 380), ("5", 181, 362)]
+        assert read_catalog_table(spark, "people", ["*"]).columns == ["id", "height"]
     finally:
         spark.sql("drop table if exists people")
 
