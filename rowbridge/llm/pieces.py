@@ -5,8 +5,9 @@ merge crosses the start of a marked word and the segmentation of a text is that
 of its marked words, one after the other. Each task keeps a table of distinct
 marked words, has the library segment every new one once, and joins the ids back
 by position. The table holds at most ``TABLE_ENTRIES`` words and starts anew
-beyond that, so memory is bounded whatever the vocabulary; results do not depend
-on it. A corpus-wide table would have to shuffle every word of every text.
+beyond that, and texts leave a batch in groups of ``GROUP_BYTES``, so a task
+holds little besides its batch whatever the vocabulary; results depend on
+neither. A corpus-wide table would have to shuffle every word of every text.
 """
 
 from __future__ import annotations
@@ -14,11 +15,12 @@ from __future__ import annotations
 import re
 from array import array
 from collections.abc import Iterable, Iterator
-from itertools import chain
+from itertools import accumulate, chain
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -27,8 +29,8 @@ from rowbridge.common import column
 
 MARK = "▁"
 TABLE_ENTRIES = 250_000
-# Texts are handled in groups of about this many characters.
-GROUP_CHARS = 2_000_000
+# Texts are handled in groups of about this many bytes.
+GROUP_BYTES = 250_000
 _CHUNKS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 
@@ -49,8 +51,10 @@ class Segmenter:
 
     def __init__(self, model: bytes) -> None:
         self.library = sentencepiece.SentencePieceProcessor(model_proto=model)
-        self.table: dict[str, tuple[int, ...]] = {}
-        self.lone_mark = (self.library.piece_to_id(MARK),)
+        # Ids as the bytes of 32-bit integers: a third of the memory of tuples.
+        self.table: dict[str, bytes] = {}
+        self.lone_mark = array("i", [self.library.piece_to_id(MARK)]).tobytes()
+        self.end = array("i", [self.library.eos_id()]).tobytes()
 
     def chunks(self, text: str) -> list[str]:
         """The marked words of a text, each without its first marker."""
@@ -61,7 +65,7 @@ class Segmenter:
             return plain
         return [c[1:] for c in _CHUNKS.findall(MARK + text.replace(" ", MARK))]
 
-    def encode(self, texts: list[str]) -> tuple[array, list[int]]:
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, list[int]]:
         """All ids, and where each text's ids end; every text ends with the end id."""
         parts = [self.chunks(t) for t in texts]
         new = set(chain.from_iterable(parts))
@@ -69,24 +73,22 @@ class Segmenter:
             self.table.clear()
         table = self.table
         new = [c for c in new if c not in table]
-        table.update(zip(new, map(tuple, self.library.encode(new, num_threads=1)), strict=True))
+        for chunk, ids in zip(new, self.library.encode(new, num_threads=1), strict=True):
+            table[chunk] = array("i", ids).tobytes()
         if "" in table:
             table[""] = self.lone_mark
-        ids, ends, end_id = array("i"), [], self.library.eos_id()
-        for part in parts:
-            ids.extend(chain.from_iterable(map(table.__getitem__, part)))
-            ids.append(end_id)
-            ends.append(len(ids))
-        return ids, ends
-
-
-def _groups(texts: list[str]) -> Iterator[tuple[int, int]]:
-    start = chars = 0
-    for i, t in enumerate(texts):
-        chars += len(t)
-        if chars >= GROUP_CHARS:
+        found = [b"".join([*map(table.__getitem__, part), self.end]) for part in parts]
+        ends = list(accumulate(len(f) // 4 for f in found))
+        return np.frombuffer(b"".join(found), dtype=np.int32), ends
+
+
+def _groups(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    start = size = 0
+    for i, n in enumerate(pc.binary_length(texts).to_pylist()):
+        size += n or 0
+        if size >= GROUP_BYTES:
             yield start, i + 1
-            start, chars = i + 1, 0
+            start, size = i + 1, 0
     if start < len(texts):
         yield start, len(texts)
 
@@ -109,14 +111,12 @@ def encode(
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         segmenter = Segmenter(model)
         for batch in batches:
-            texts = [t or "" for t in batch.column(0).to_pylist()]
-            for start, end in _groups(texts):
-                flat, ends = segmenter.encode(texts[start:end])
-                offsets = np.array([0, *ends], dtype=np.int32)
-                values = np.frombuffer(flat, dtype=np.int32)
-                made = [pa.ListArray.from_arrays(offsets, values)]
+            for start, end in _groups(batch.column(0)):
+                texts = [t or "" for t in batch.column(0).slice(start, end - start).to_pylist()]
+                flat, ends = segmenter.encode(texts)
+                made = [pa.ListArray.from_arrays(np.array([0, *ends], dtype=np.int32), flat)]
                 if decoded:
-                    lists = [flat[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+                    lists = [ids.tolist() for ids in np.split(flat, ends[:-1])]
                     made.append(pa.array(segmenter.library.decode(lists, num_threads=1), pa.string()))
                 kept = [c.slice(start, end - start) for c in batch.columns[1:]]
                 yield pa.RecordBatch.from_arrays([*kept, *made], names=schema.names)
