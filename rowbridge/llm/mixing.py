@@ -45,8 +45,8 @@ def schedules(spark, curriculum: list[Knots]) -> DataFrame:
     ``curriculum`` is a parameter of a few entries; knots go from 0 to 1.
     ``knots`` holds segments (x0, w0, slope, before, area).
     """
-    rows = []
-    for turn, knots in enumerate(curriculum):
+    told, integrals = [], []
+    for knots in curriculum:
         if knots[0][0] != 0.0 or knots[-1][0] != 1.0 or any(w < 0 for _, w in knots):
             raise ValueError("a schedule has knots from 0 to 1 and no negative weight")
         segments, before = [], 0.0
@@ -54,11 +54,15 @@ def schedules(spark, curriculum: list[Knots]) -> DataFrame:
             if x1 <= x0:
                 raise ValueError("knots must ascend")
             area = (w0 + w1) / 2 * (x1 - x0)
-            segments.append((float(x0), float(w0), (w1 - w0) / (x1 - x0), before, area))
+            slope = (w1 - w0) / (x1 - x0)
+            segments.append({"x0": float(x0), "w0": float(w0), "slope": slope, "before": float(before), "area": float(area)})
             before += area
-        rows.append((turn, segments, before))
-    return spark.createDataFrame(
-        rows, "turn int, knots array<struct<x0:double,w0:double,slope:double,before:double,area:double>>, integral double"
+        told.append(segments)
+        integrals.append(float(before))
+    # No Python worker: an idle one keeps its memory through the next stage of a pipeline.
+    return local_rows(
+        spark, {"turn": list(range(len(told))), "knots": told, "integral": integrals},
+        "turn int, knots array<struct<x0:double,w0:double,slope:double,before:double,area:double>>, integral double",
     )
 
 

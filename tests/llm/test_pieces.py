@@ -46,3 +46,17 @@ def test_rows_keep_their_ids_across_groups(spark, monkeypatch, texts):
     for r, text in zip(got, texts, strict=True):
         assert r["ids"] == [*library.encode(text or ""), library.eos_id()]
         assert r["decoded"] == library.decode(r["ids"])
+
+
+def test_schedules_of_a_mix_need_no_python_worker(spark):
+    from rowbridge.llm import mixing
+
+    made = mixing.schedules(spark, [[(0.0, 3.0), (0.5, 1.0), (1, 0)], [(0, 1), (1, 2)]])
+    assert "ExistingRDD" not in made._jdf.queryExecution().executedPlan().toString()
+    assert [(r.turn, [tuple(s) for s in r.knots], r.integral) for r in made.orderBy("turn").collect()] == [
+        (0, [(0.0, 3.0, -4.0, 0.0, 1.0), (0.5, 1.0, -2.0, 1.0, 0.25)], 1.25),
+        (1, [(0.0, 1.0, 1.0, 0.0, 1.5)], 1.5),
+    ]
+    assert made.dtypes == [
+        ("turn", "int"), ("knots", "array<struct<x0:double,w0:double,slope:double,before:double,area:double>>"), ("integral", "double")
+    ]
